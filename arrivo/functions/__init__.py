@@ -1,13 +1,13 @@
 """Column-expression builders.  All return JVM-side ``Column`` expressions."""
 
 from arrivo.functions.text import title_case, strip_ws, clean_text
-from arrivo.functions.numeric import rint_round, safe_number, number_or_zero, pct
+from arrivo.functions.numeric import rint_round, safe_number, number_or_zero, num_of, pct
 from arrivo.functions.stats import first_max_by, first_min_by, exact_median, mean_exact
-from arrivo.functions.dates import month_key, month_start, parse_ts, normalise_month_key
+from arrivo.functions.dates import month_key, month_start, parse_ts, ts_of, normalise_month_key
 
 __all__ = [
     "title_case", "strip_ws", "clean_text",
-    "rint_round", "safe_number", "number_or_zero", "pct",
+    "rint_round", "safe_number", "number_or_zero", "num_of", "pct",
     "first_max_by", "first_min_by", "exact_median", "mean_exact",
-    "month_key", "month_start", "parse_ts", "normalise_month_key",
+    "month_key", "month_start", "parse_ts", "ts_of", "normalise_month_key",
 ]

@@ -11,19 +11,30 @@ def _col(c) -> Column:
 
 
 def parse_ts(c, fmt: str | None = None) -> Column:
-    """Text or timestamp to a zone-less timestamp; bad text gives NULL (``errors='coerce'``).
+    """Text to a zone-less timestamp; bad text gives NULL (``errors='coerce'``).
 
-    Tries ``yyyy-MM-dd`` first, then ISO date-time (with or without zone).
-    The result is ``TIMESTAMP_NTZ`` like the landed data (session zone UTC).
+    Without ``fmt`` it accepts dates, ISO date-times and zone suffixes (a zone
+    is converted to UTC) through ``try_cast``, which returns NULL without
+    raising; a pattern-based parse throws internally on every mismatch and is
+    many times slower.  The result is ``TIMESTAMP_NTZ`` like the landed data.
     """
-    x = _col(c)
-    s = x.cast("string")
+    s = _col(c).cast("string")
     if fmt:
         return F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd")),
-        F.try_to_timestamp(s),
-    ).cast("timestamp_ntz")
+    return s.try_cast("timestamp").cast("timestamp_ntz")
+
+
+def ts_of(df, name: str) -> Column:
+    """Column ``name`` of ``df`` as ``TIMESTAMP_NTZ``: typed columns are cast, only text is parsed."""
+    from pyspark.sql import types as T
+
+    t = df.schema[name].dataType
+    c = F.col(f"`{name}`")
+    if isinstance(t, T.TimestampNTZType):
+        return c
+    if isinstance(t, (T.TimestampType, T.DateType)):
+        return c.cast("timestamp_ntz")
+    return parse_ts(c)
 
 
 def month_key(c) -> Column:

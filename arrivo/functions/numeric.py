@@ -32,6 +32,17 @@ def safe_number(c) -> Column:
     return F.when(s.rlike(NUMBER_PATTERN), F.trim(s).try_cast("double"))
 
 
+def num_of(df, name: str) -> Column:
+    """Column ``name`` of ``df`` as double: numeric columns are cast, only text goes through the guard."""
+    from pyspark.sql import types as T
+
+    t = df.schema[name].dataType
+    c = F.col(f"`{name}`")
+    if isinstance(t, T.NumericType):
+        return c.cast("double")
+    return safe_number(c)
+
+
 def number_or_zero(c) -> Column:
     """To number, bad or missing to 0, truncate toward zero to a long."""
     return F.coalesce(safe_number(c), F.lit(0.0)).cast("long")

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from arrivo.functions import mean_exact, month_key, rint_round
 from arrivo.operators.calendar import calendar_features
+from arrivo.session import materialize
 
 KEYS = ["indice_tiempo", "pais_origen", "punto_entrada"]
 
@@ -119,14 +120,20 @@ def median_flag(df: DataFrame, value: str, name: str, median_of: DataFrame | Non
     return df.withColumn(name, flag)
 
 
-def interest_monthly(clean_i: DataFrame) -> DataFrame:
-    """A4 + W3: monthly mean (rounded to 1), max, min, count; high-interest flag vs the median over months."""
+def interest_monthly(clean_i: DataFrame, cut: bool = True) -> DataFrame:
+    """A4 + W3: monthly mean (rounded to 1), max, min, count; high-interest flag vs the median over months.
+
+    With ``cut`` the monthly table (one row per month) is checkpointed first,
+    so the median does not scan the interest series a second time.
+    """
     g = clean_i.groupBy(month_key("fecha").alias("indice_tiempo")).agg(
         rint_round(mean_exact("interes_google"), 1).alias("interes_google_promedio"),
         F.max("interes_google").alias("interes_google_max"),
         F.min("interes_google").alias("interes_google_min"),
         F.count("interes_google").alias("registros"),
     )
+    if cut:
+        g = materialize(g, "interest_monthly")
     return median_flag(g, "interes_google_promedio", "interes_alto", require_match=False)
 
 
@@ -137,11 +144,18 @@ def empty_like(spark, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def join_quotes(fact: DataFrame, qm: DataFrame | None) -> DataFrame:
-    """J1 + W1 + W2: left join the monthly quotes, then the two median flags over the joined rows."""
+def join_quotes(fact: DataFrame, qm: DataFrame | None, cut: bool = True) -> DataFrame:
+    """J1 + W1 + W2: left join the monthly quotes, then the two median flags over the joined rows.
+
+    With ``cut`` the joined table (bounded by months x origins x points) is
+    checkpointed, so the arrival join behind the fact runs once for the rows
+    and both medians.
+    """
     if qm is None:
         qm = empty_like(fact.sparkSession, QUOTES_MONTHLY_SCHEMA)
     j = fact.join(qm.select("indice_tiempo", *QUOTE_COLUMNS), "indice_tiempo", "left")
+    if cut:
+        j = materialize(j, "fact_quotes")
     j = median_flag(j, "precio_promedio_usd", "usd_alto")
     return median_flag(j, "variacion_usd_mensual", "usd_alta_variabilidad", median_of=j.drop("usd_alto"))
 

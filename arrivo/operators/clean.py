@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivo.functions import clean_text, number_or_zero, parse_ts, rint_round, safe_number, strip_ws
+from arrivo.functions import clean_text, num_of, number_or_zero, parse_ts, rint_round, safe_number, strip_ws, ts_of
 from arrivo.operators.calendar import expand_by_frequency
 
 # Column-name keywords that identify each role in a raw file.
@@ -92,17 +92,18 @@ def standardise_arrivals(raw: DataFrame, cat: DataFrame, start: str = "2014-01-0
     broadcast by size.  Output: ``src, indice_tiempo, fecha_std, pais_origen,
     punto_entrada, turistas``.
     """
-    c = small_side(cat.select("src", "frequency", "punto_entrada"))
-    d = parse_ts(F.col("period"))
+    c = cat.select("src", "frequency", "punto_entrada")
+    d = ts_of(raw, "period")
+    visitors = F.coalesce(num_of(raw, "visitors"), F.lit(0.0)).cast("long")
     rows = (
         raw.join(c, "src")
         .select(
             "src", "frequency", "punto_entrada",
             clean_text("country").alias("pais_origen"),
-            number_or_zero("visitors").alias("turistas"),
+            visitors.alias("turistas"),
             d.alias("fecha"),
         )
-        .filter(F.col("fecha").isNotNull() & (F.col("fecha") >= F.lit(start).cast("timestamp")))
+        .filter(F.col("fecha").isNotNull() & (F.col("fecha") >= F.lit(start).cast("timestamp_ntz")))
     )
     out = expand_by_frequency(rows, "fecha", "turistas")
     return out.select("src", "indice_tiempo", "fecha_std", "pais_origen", "punto_entrada", "turistas")
@@ -122,12 +123,11 @@ def clean_quotes(q: DataFrame, house_word: str = "oficial", start: str = "2014-0
     ``run_ts`` stands for "now" and is a parameter so runs are repeatable;
     ``None`` uses the session's current timestamp.
     """
-    end = F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp().cast("timestamp_ntz")
-    fecha = parse_ts(F.col("fecha"))
+    end = F.lit(run_ts).cast("timestamp_ntz") if run_ts else F.current_timestamp().cast("timestamp_ntz")
     return (
         q.filter(F.lower(F.col("casa")).contains(house_word.lower()))
-        .select(F.col("casa"), fecha.alias("fecha"), safe_number("venta").alias("venta"))
-        .filter(F.col("fecha").isNotNull() & (F.col("fecha") >= F.lit(start).cast("timestamp"))
+        .select(F.col("casa"), ts_of(q, "fecha").alias("fecha"), num_of(q, "venta").alias("venta"))
+        .filter(F.col("fecha").isNotNull() & (F.col("fecha") >= F.lit(start).cast("timestamp_ntz"))
                 & (F.col("fecha") <= end) & F.col("venta").isNotNull())
     )
 
@@ -152,8 +152,8 @@ def shape_interest(df: DataFrame, term: str | None = None) -> DataFrame:
 def clean_interest(df: DataFrame, start: str = "2014-01-01") -> DataFrame:
     """C11 + C12 + C13 for the interest series."""
     return (
-        df.select(parse_ts(F.col("fecha")).alias("fecha"), safe_number("interes_google").alias("interes_google"))
-        .filter(F.col("fecha").isNotNull() & (F.col("fecha") >= F.lit(start).cast("timestamp"))
+        df.select(ts_of(df, "fecha").alias("fecha"), num_of(df, "interes_google").alias("interes_google"))
+        .filter(F.col("fecha").isNotNull() & (F.col("fecha") >= F.lit(start).cast("timestamp_ntz"))
                 & F.col("interes_google").isNotNull())
     )
 

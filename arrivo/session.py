@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the engine relies on.  AQE re-plans joins from measured
 # stage sizes (small monthly side tables become broadcasts at run time, hot keys
@@ -60,3 +61,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+    """Compute ``df`` once into a parquet table in the shared checkpoint folder and read it back.
+
+    Used where a small result of an expensive plan is read several times
+    (the fact joined with quotes feeds the rows and two whole-table medians).
+    Unlike ``checkpoint()``, which counts the rows and then recomputes the plan
+    to write them, this is one job; the files survive the loss of an executor,
+    and the read-back carries real file sizes, so later joins against it are
+    planned from measured statistics.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/arrivo-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

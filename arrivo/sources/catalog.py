@@ -57,10 +57,21 @@ class SourceSpec:
     enabled: bool | None = None
 
 
+# A catalogue is configuration; past this many sources it is joined like data.
+MAX_BROADCAST_SOURCES = 10_000
+
+
 def catalog(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
-    """The catalogue as a DataFrame with defaults filled; disabled or path-less sources dropped."""
+    """The catalogue as a DataFrame with defaults filled; disabled or path-less sources dropped.
+
+    The row count is known on the driver (``len(specs)``), so the table is
+    marked for broadcast when under the bound: a driver-built table carries no
+    size statistics and would otherwise be shuffle-joined against the data.
+    """
     rows = [asdict(s) for s in specs]
     df = spark.createDataFrame(rows, CATALOG_SCHEMA)
+    if len(rows) <= MAX_BROADCAST_SOURCES:
+        df = F.broadcast(df)
     return df.select(
         "src",
         F.coalesce("dataset_name", "src").alias("dataset_name"),
