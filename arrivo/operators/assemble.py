@@ -5,8 +5,9 @@ partial + final hash aggregate over the arrival rows) and the two monthly side
 aggregates.  Their outputs are bounded by months x origins x points and by
 months, so every later join is against a small side: AQE turns those joins
 into broadcasts from the measured stage size (no hint on data whose size is not
-proven).  Whole-table statistics (medians, totals) are scalar subqueries:
-one value computed once and compared in the row projection, no join.
+proven).  Medians that decide the flags are taken on month tables (bounded
+by the calendar), so the whole final table is one query plan in which the
+fact aggregate runs once.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import types as T
 
 from arrivo.functions import mean_exact, month_key, rint_round
 from arrivo.operators.calendar import calendar_features
-from arrivo.session import materialize
 
 KEYS = ["indice_tiempo", "pais_origen", "punto_entrada"]
 
@@ -120,21 +120,28 @@ def median_flag(df: DataFrame, value: str, name: str, median_of: DataFrame | Non
     return df.withColumn(name, flag)
 
 
-def interest_monthly(clean_i: DataFrame, cut: bool = True) -> DataFrame:
-    """A4 + W3: monthly mean (rounded to 1), max, min, count; high-interest flag vs the median over months.
+def month_median(value, weight=None):
+    """Median over a table keyed by month, as a window over the whole (small) table.
 
-    With ``cut`` the monthly table (one row per month) is checkpointed first,
-    so the median does not scan the interest series a second time.
+    A month table has one row per calendar month (a few hundred rows for
+    decades), so the single partition this window runs in is bounded by the
+    calendar, not by the data.  Never used on row-level tables.
     """
+    w = Window.partitionBy()
+    p = F.percentile(F.col(value), F.lit(0.5), weight) if weight is not None else F.percentile(F.col(value), F.lit(0.5))
+    return p.over(w)
+
+
+def interest_monthly(clean_i: DataFrame) -> DataFrame:
+    """A4 + W3: monthly mean (rounded to 1), max, min, count; high-interest flag vs the median over months."""
     g = clean_i.groupBy(month_key("fecha").alias("indice_tiempo")).agg(
         rint_round(mean_exact("interes_google"), 1).alias("interes_google_promedio"),
         F.max("interes_google").alias("interes_google_max"),
         F.min("interes_google").alias("interes_google_min"),
         F.count("interes_google").alias("registros"),
     )
-    if cut:
-        g = materialize(g, "interest_monthly")
-    return median_flag(g, "interes_google_promedio", "interes_alto", require_match=False)
+    flag = F.coalesce((F.col("interes_google_promedio") > month_median("interes_google_promedio")).cast("int"), F.lit(0))
+    return g.withColumn("interes_alto", flag)
 
 
 # ---------------------------------------------------------------- J1-J4, W1, W2, final
@@ -144,20 +151,33 @@ def empty_like(spark, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def join_quotes(fact: DataFrame, qm: DataFrame | None, cut: bool = True) -> DataFrame:
-    """J1 + W1 + W2: left join the monthly quotes, then the two median flags over the joined rows.
+def join_quotes(fact: DataFrame, qm: DataFrame | None) -> DataFrame:
+    """J1 + W1 + W2: left join the monthly quotes, flag price and spread above their median over joined rows.
 
-    With ``cut`` the joined table (bounded by months x origins x points) is
-    checkpointed, so the arrival join behind the fact runs once for the rows
-    and both medians.
+    The median over joined rows is row-weighted: a month's price counts once
+    per fact row of that month.  So it is taken on the month table with the
+    fact's row count per month as the frequency (``percentile(v, 0.5, n)``),
+    which gives the same value without a second pass over the rows and
+    without a whole-table window.  The fact is referenced twice in one plan;
+    its aggregate stage is computed once and reused.  When no quote table
+    exists (J4) the columns are typed NULLs; when quotes exist but no month
+    matches, the flags are 0.
     """
     if qm is None:
-        qm = empty_like(fact.sparkSession, QUOTES_MONTHLY_SCHEMA)
-    j = fact.join(qm.select("indice_tiempo", *QUOTE_COLUMNS), "indice_tiempo", "left")
-    if cut:
-        j = materialize(j, "fact_quotes")
-    j = median_flag(j, "precio_promedio_usd", "usd_alto")
-    return median_flag(j, "variacion_usd_mensual", "usd_alta_variabilidad", median_of=j.drop("usd_alto"))
+        j = fact.join(empty_like(fact.sparkSession, QUOTES_MONTHLY_SCHEMA), "indice_tiempo", "left")
+        return j.withColumns({"usd_alto": F.lit(None).cast("int"), "usd_alta_variabilidad": F.lit(None).cast("int")})
+    rows = fact.groupBy("indice_tiempo").agg(F.count(F.lit(1)).alias("_rows"))
+    q = qm.select("indice_tiempo", *QUOTE_COLUMNS).join(rows, "indice_tiempo")
+    q = q.withColumns({
+        "_m_price": month_median("precio_promedio_usd", F.col("_rows")),
+        "_m_spread": month_median("variacion_usd_mensual", F.col("_rows")),
+    })
+    q = q.withColumns({
+        "usd_alto": F.coalesce((F.col("precio_promedio_usd") > F.col("_m_price")).cast("int"), F.lit(0)),
+        "usd_alta_variabilidad": F.coalesce((F.col("variacion_usd_mensual") > F.col("_m_spread")).cast("int"), F.lit(0)),
+    }).drop("_rows", "_m_price", "_m_spread")
+    j = fact.join(q, "indice_tiempo", "left")
+    return j.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("usd_alto", "usd_alta_variabilidad")})
 
 
 def join_interest(df: DataFrame, im: DataFrame | None) -> DataFrame:

@@ -40,38 +40,62 @@ def expand_by_frequency(df: DataFrame, date_col: str, value_col: str, freq_col:
     )
 
 
-def year_month(df: DataFrame, key: str = "indice_tiempo") -> DataFrame:
-    """T5: ``año`` and ``mes`` integers from a ``yyyy-MM`` key (NULL when the key has no dash)."""
+def year_month_cols(key: str = "indice_tiempo") -> dict:
+    """T5 expressions: ``año`` and ``mes`` integers from a ``yyyy-MM`` key (NULL when the key has no dash)."""
     k = F.col(key)
     has = k.contains("-")
-    return df.withColumns({
+    return {
         "año": F.when(has, F.split_part(k, F.lit("-"), F.lit(1)).try_cast("int")),
         "mes": F.when(has, F.split_part(k, F.lit("-"), F.lit(2)).try_cast("int")),
-    })
+    }
 
 
-def month_dummies(df: DataFrame, month: str = "mes") -> DataFrame:
-    """Twelve 0/1 columns ``es_<month>`` (NULL month gives 0, as pandas)."""
-    return df.withColumns({
-        f"es_{name}": F.coalesce((F.col(month) == F.lit(i + 1)).cast("int"), F.lit(0))
-        for i, name in enumerate(MONTH_NAMES)
-    })
+def year_month(df: DataFrame, key: str = "indice_tiempo") -> DataFrame:
+    """T5: add ``año`` and ``mes``."""
+    return df.withColumns(year_month_cols(key))
 
 
-def event_flags(df: DataFrame, month: str = "mes", harvest=HARVEST_MONTHS, winter=WINTER_BREAK_MONTHS,
-                high=HIGH_SEASON_MONTHS) -> DataFrame:
-    """T7 (also used for scoring, quirk Q6): harvest, winter break and high-season flags."""
-    m = F.col(month)
-    return df.withColumns({
+def dummy_cols(m: Column) -> dict:
+    """T6 expressions: twelve 0/1 columns ``es_<month>`` (NULL month gives 0, as pandas)."""
+    return {f"es_{name}": F.coalesce((m == F.lit(i + 1)).cast("int"), F.lit(0)) for i, name in enumerate(MONTH_NAMES)}
+
+
+def flag_cols(m: Column, harvest=HARVEST_MONTHS, winter=WINTER_BREAK_MONTHS, high=HIGH_SEASON_MONTHS) -> dict:
+    """T7 expressions (also used for scoring, quirk Q6): harvest, winter break and high season."""
+    return {
         "mes_vendimia": F.coalesce(m.isin(*harvest).cast("int"), F.lit(0)),
         "vacaciones_invierno": F.coalesce(m.isin(*winter).cast("int"), F.lit(0)),
         "temporada_alta": F.coalesce(m.isin(*high).cast("int"), F.lit(0)),
-    })
+    }
+
+
+def month_dummies(df: DataFrame, month: str = "mes") -> DataFrame:
+    """Add the twelve month dummies."""
+    return df.withColumns(dummy_cols(F.col(month)))
+
+
+def event_flags(df: DataFrame, month: str = "mes", harvest=HARVEST_MONTHS, winter=WINTER_BREAK_MONTHS,
+                high=HIGH_SEASON_MONTHS) -> DataFrame:
+    """Add the three event flags."""
+    return df.withColumns(flag_cols(F.col(month), harvest, winter, high))
+
+
+def calendar_sql(key: str = "indice_tiempo") -> list[str]:
+    """T5 + T6 + T7 as SQL expressions (one JVM call to add all of them)."""
+    has = f"contains(`{key}`, '-')"
+    mes = f"(CASE WHEN {has} THEN try_cast(split_part(`{key}`, '-', 2) AS INT) END)"
+    out = [f"CASE WHEN {has} THEN try_cast(split_part(`{key}`, '-', 1) AS INT) END AS `año`", f"{mes} AS mes"]
+    out += [f"coalesce(CAST({mes} = {i + 1} AS INT), 0) AS es_{name}" for i, name in enumerate(MONTH_NAMES)]
+    for name, months in (("mes_vendimia", HARVEST_MONTHS), ("vacaciones_invierno", WINTER_BREAK_MONTHS),
+                         ("temporada_alta", HIGH_SEASON_MONTHS)):
+        out.append(f"coalesce(CAST({mes} IN ({', '.join(map(str, months))}) AS INT), 0) AS {name}")
+    return out
 
 
 def calendar_features(df: DataFrame, key: str = "indice_tiempo") -> DataFrame:
     """T5 + T6 + T7 in one projection."""
-    return event_flags(month_dummies(year_month(df, key)))
+    keep = [f"`{c}`" for c in df.columns if c not in ("año", "mes")]
+    return df.selectExpr(*keep, *calendar_sql(key))
 
 
 def month_date(year="año", month="mes") -> Column:

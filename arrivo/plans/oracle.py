@@ -151,3 +151,9 @@ def with_(needs: list[str], body: str) -> str:
         return body
     parts = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in names)
     return f"WITH {parts}\n{body}"
+
+
+def with_extra(needs: list[str], extra: str, body: str) -> str:
+    """Like ``with_`` with further query-local CTEs (``name AS (...)``, comma separated) appended."""
+    parts = [f"{n} AS ({CTES[n][1]}\n)" for n in _order(needs)] + [extra.strip()]
+    return "WITH " + ",\n".join(parts) + "\n" + body

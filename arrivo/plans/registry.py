@@ -1,6 +1,7 @@
 """All driver queries and their SQL twins, collected from the query modules."""
 
-from arrivo.plans import queries as _core  # noqa: F401  (registers on import)
+from arrivo.plans import queries as _core  # noqa: F401  (modules register on import)
+from arrivo.plans import queries_reports as _reports  # noqa: F401
 from arrivo.plans.queries import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -6,7 +6,7 @@ joined to data by key; data never passes through the driver.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, asdict
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +44,10 @@ REFERENCE_SOURCES = [
 ]
 
 
+# A catalogue is configuration; past this many sources it is joined like data.
+MAX_BROADCAST_SOURCES = 10_000
+
+
 @dataclass
 class SourceSpec:
     src: str
@@ -57,19 +61,27 @@ class SourceSpec:
     enabled: bool | None = None
 
 
-# A catalogue is configuration; past this many sources it is joined like data.
-MAX_BROADCAST_SOURCES = 10_000
-
-
 def catalog(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
     """The catalogue as a DataFrame with defaults filled; disabled or path-less sources dropped.
 
-    The row count is known on the driver (``len(specs)``), so the table is
-    marked for broadcast when under the bound: a driver-built table carries no
-    size statistics and would otherwise be shuffle-joined against the data.
+    Built as a SQL ``VALUES`` relation (no Python-to-JVM data transfer); its
+    row count is known on the driver (``len(specs)``), so it is marked for
+    broadcast when under the bound: a driver-built table has no file size
+    statistics and would otherwise be shuffle-joined against the data.
     """
-    rows = [asdict(s) for s in specs]
-    df = spark.createDataFrame(rows, CATALOG_SCHEMA)
+    def sql_lit(v, t) -> str:
+        if v is None:
+            return f"CAST(NULL AS {t.simpleString()})"
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        if isinstance(v, (int, float)):
+            return f"CAST({v} AS {t.simpleString()})"
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    fields = CATALOG_SCHEMA.fields
+    rows = ["(" + ", ".join(sql_lit(getattr(s, f.name), f.dataType) for f in fields) + ")" for s in specs]
+    names = ", ".join(f.name for f in fields)
+    df = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({names})")
     if len(rows) <= MAX_BROADCAST_SOURCES:
         df = F.broadcast(df)
     return df.select(

@@ -30,8 +30,23 @@ QUARTERLY_SOURCES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
 MONTHLY_SOURCES = ("5-LOW",)
 
 
+_HANDLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A base table as a DataFrame handle, one per path and application.
+
+    Opening a parquet path lists files and reads footers on the driver; the
+    handle is reused so a plan that scans a table in several branches (and
+    queries built one after another) pays that once.  Data is not cached.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _HANDLES.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _HANDLES[key] = df
+    return df
 
 
 def order_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
