@@ -2,6 +2,7 @@
 
 from arrivo.plans import queries as _core  # noqa: F401  (modules register on import)
 from arrivo.plans import queries_reports as _reports  # noqa: F401
+from arrivo.plans import queries_sources as _sources  # noqa: F401
 from arrivo.plans.queries import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
