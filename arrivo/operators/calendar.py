@@ -80,22 +80,22 @@ def event_flags(df: DataFrame, month: str = "mes", harvest=HARVEST_MONTHS, winte
     return df.withColumns(flag_cols(F.col(month), harvest, winter, high))
 
 
-def calendar_sql(key: str = "indice_tiempo") -> list[str]:
-    """T5 + T6 + T7 as SQL expressions (one JVM call to add all of them)."""
+def calendar_sql(key: str = "indice_tiempo") -> list[tuple[str, str]]:
+    """T5 + T6 + T7 as ``(name, SQL expression)`` pairs (added in one JVM call)."""
     has = f"contains(`{key}`, '-')"
     mes = f"(CASE WHEN {has} THEN try_cast(split_part(`{key}`, '-', 2) AS INT) END)"
-    out = [f"CASE WHEN {has} THEN try_cast(split_part(`{key}`, '-', 1) AS INT) END AS `año`", f"{mes} AS mes"]
-    out += [f"coalesce(CAST({mes} = {i + 1} AS INT), 0) AS es_{name}" for i, name in enumerate(MONTH_NAMES)]
+    out = [("año", f"CASE WHEN {has} THEN try_cast(split_part(`{key}`, '-', 1) AS INT) END"), ("mes", mes)]
+    out += [(f"es_{name}", f"coalesce(CAST({mes} = {i + 1} AS INT), 0)") for i, name in enumerate(MONTH_NAMES)]
     for name, months in (("mes_vendimia", HARVEST_MONTHS), ("vacaciones_invierno", WINTER_BREAK_MONTHS),
                          ("temporada_alta", HIGH_SEASON_MONTHS)):
-        out.append(f"coalesce(CAST({mes} IN ({', '.join(map(str, months))}) AS INT), 0) AS {name}")
+        out.append((name, f"coalesce(CAST({mes} IN ({', '.join(map(str, months))}) AS INT), 0)"))
     return out
 
 
 def calendar_features(df: DataFrame, key: str = "indice_tiempo") -> DataFrame:
     """T5 + T6 + T7 in one projection."""
     keep = [f"`{c}`" for c in df.columns if c not in ("año", "mes")]
-    return df.selectExpr(*keep, *calendar_sql(key))
+    return df.selectExpr(*keep, *[f"{e} AS `{n}`" for n, e in calendar_sql(key)])
 
 
 def month_date(year="año", month="mes") -> Column:

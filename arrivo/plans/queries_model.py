@@ -227,3 +227,72 @@ def q_model_roundtrip(spark, d):
     both = pred.filter(F.col("split") == "test").select(*KEYS, "prediction").join(again, KEYS)
     return both.agg(F.count(F.lit(1)).alias("filas"),
                     F.max(F.abs(F.col("prediction") - F.col("p2"))).alias("max_diferencia"))
+
+
+# ---------------------------------------------------------------- scenarios
+
+from arrivo.operators import scenario as SC  # noqa: E402
+
+# Fixture scenario: a July inside the data's period, a price inside its range.
+SCENARIO = SC.Scenario(year=2001, month=7, price=300000.0)
+SCENARIO_ORIGIN = "Nation_0"
+
+
+def _history(spark, d):
+    return pl.final(spark, d).filter(F.col("turistas") > 0)
+
+
+def _grid_sql() -> str:
+    meds = ", ".join(f'round_even(quantile_cont(CAST("{c}" AS DOUBLE), 0.5) * 1000000.0, 0) / 1000000.0 AS "{c}"'
+                     for c in NUMERIC)
+    mes = SCENARIO.month
+    cal = {"año": float(SCENARIO.year), "mes": float(mes)}
+    cal.update({f"es_{m}": float(mes == i + 1) for i, m in enumerate(O.MONTHS)})
+    cal.update({"mes_vendimia": float(mes in (2, 3)), "vacaciones_invierno": float(mes in (7, 8)),
+                "temporada_alta": float(mes in (1, 2, 3, 7, 8, 12))})
+    sel = []
+    for c in NUMERIC:
+        if c == "precio_promedio_usd":
+            sel.append(f'CAST({SCENARIO.price} AS DOUBLE) AS "{c}"')
+        elif c in cal:
+            sel.append(f'CAST({cal[c]} AS DOUBLE) AS "{c}"')
+        else:
+            sel.append(f'CAST(med."{c}" AS DOUBLE) AS "{c}"')
+    return O.with_extra(["final"], f"""
+cur AS (SELECT * FROM final WHERE turistas > 0),
+med AS (SELECT {meds} FROM cur)""", f"""
+SELECT o.pais_origen, p.punto_entrada, {", ".join(sel)}
+FROM (SELECT DISTINCT pais_origen FROM cur) o, (SELECT DISTINCT punto_entrada FROM cur) p, med""")
+
+
+@query("scenario_grid", _grid_sql())
+def q_scenario_grid(spark, d):
+    """J5 + M19 + M25: scenario rows for every origin x entry point, other features at their history medians."""
+    return SC.grid(_history(spark, d), NUMERIC, CATEGORICAL, SCENARIO)
+
+
+def _scored(spark, d, sc):
+    t = model_table(spark, d)
+    num, cat = feature_lists(t)
+    model, pred, summ = MO.evaluate(t, num, cat, "ridge")
+    train = t.filter(F.col("split") == "train")
+    mean = train.agg(F.avg(F.col("turistas").cast("double"))).scalar()
+    mx = train.agg(F.max(F.col("turistas").cast("double"))).scalar()
+    rmse = summ.select("test_rmse").scalar()
+    rows = SC.grid(_history(spark, d), num, cat, sc)
+    return SC.score(model, rows), mean, mx, rmse
+
+
+@query("scenario_rollup")
+def q_scenario_rollup(spark, d):
+    """M18 + M20 + M22-M24: all origins scored once; totals, shares, rank, band and interval (rows-only)."""
+    scored, mean, mx, rmse = _scored(spark, d, SCENARIO)
+    return SC.rollup(scored, mean, mx, rmse)
+
+
+@query("scenario_bands")
+def q_scenario_bands(spark, d):
+    """One origin over every entry point with shares, history comparison, band, interval (rows-only)."""
+    sc = SC.Scenario(SCENARIO.year, SCENARIO.month, SCENARIO.price, origin=SCENARIO_ORIGIN)
+    scored, mean, mx, rmse = _scored(spark, d, sc)
+    return SC.single_origin(scored, mean, mx, rmse)
