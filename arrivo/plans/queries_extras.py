@@ -130,3 +130,25 @@ def q_fact_with_mean(spark, d):
     """The monthly fact with the mean beside the sum."""
     f = assemble.monthly_fact(pl.standardised(spark, d), with_mean=True)
     return f.withColumn("turistas_promedio", F.rint(F.col("turistas_promedio") * 1e6) / 1e6)
+
+
+# ---------------------------------------------------------------- streaming landing
+
+@query("incremental_landing", O.with_([], "SELECT 'r1' AS run_date, count(*) AS records, count(DISTINCT o_orderkey) AS orders FROM orders"))
+def q_incremental_landing(spark, d):
+    """S5 + S7 + S18: land the quote feed twice through a file stream; the second run lands nothing new.
+
+    Returns the landed table's records per run date (read back from the sink).
+    """
+    import uuid
+
+    from arrivo.session import checkpoint_dir
+    from arrivo.streaming import land_new_files
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/arrivo-landing-{uuid.uuid4().hex}"
+    src = fx.table(spark, d, "orders")
+    for run in ("r1", "r2"):
+        land_new_files(spark, d, src.schema, f"{root}/sink", f"{root}/ckpt", run, file_glob="orders.parquet")
+    landed = spark.read.parquet(f"{root}/sink")
+    return landed.groupBy(F.col("run_date").cast("string").alias("run_date")).agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("o_orderkey").alias("orders"))
