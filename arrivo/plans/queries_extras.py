@@ -49,7 +49,7 @@ FROM final f JOIN (SELECT pais_origen, punto_entrada, mes, avg(CAST(turistas AS
   USING (pais_origen, punto_entrada, mes)"""))
 def q_seasonal_ratio(spark, d):
     """D3: visitors over the same calendar month's mean of the series."""
-    s = extras.seasonal_ratio(pl.final(spark, d))
+    s = extras.seasonal_ratio(pl.curated(spark, d))
     return s.select(*assemble.KEYS, "turistas", "ajuste_estacional")
 
 

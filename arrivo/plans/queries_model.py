@@ -24,8 +24,8 @@ def model_table(spark, d):
     Every fit and metric reads this table several times; the write cuts the
     lineage back to the raw tables, so a lost executor recomputes from it.
     """
-    cur = pl.final(spark, d).filter(F.col("turistas") > 0)
-    return materialize(FE.with_split(cur), "model_table")
+    return pl.written_once(spark, (d, "model_table"),
+                           lambda: FE.with_split(pl.curated(spark, d).filter(F.col("turistas") > 0)))
 
 
 def feature_lists(df):
@@ -239,7 +239,7 @@ SCENARIO_ORIGIN = "Nation_0"
 
 
 def _history(spark, d):
-    return pl.final(spark, d).filter(F.col("turistas") > 0)
+    return pl.curated(spark, d).filter(F.col("turistas") > 0)
 
 
 def _grid_sql() -> str:

@@ -18,7 +18,7 @@ _IN = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
 
 def curated(spark, d):
     """The dashboard's table: the curated table without zero-visitor rows."""
-    return pl.final(spark, d).filter(F.col("turistas") > 0)
+    return pl.curated(spark, d).filter(F.col("turistas") > 0)
 
 
 # ====================================================================== reports
@@ -27,7 +27,7 @@ def curated(spark, d):
 SELECT punto_entrada, CAST(sum(turistas) AS BIGINT) AS turistas, count(*) AS registros FROM final GROUP BY 1"""))
 def q_totals_by_point(spark, d):
     """A5: visitors and rows per entry point."""
-    return reports.totals_by(pl.final(spark, d), ["punto_entrada"], with_count=True)
+    return reports.totals_by(pl.curated(spark, d), ["punto_entrada"], with_count=True)
 
 
 @query("top_pairs", O.with_(["final"], """
@@ -35,14 +35,14 @@ SELECT pais_origen, punto_entrada, CAST(sum(turistas) AS BIGINT) AS turistas FRO
 GROUP BY 1, 2 ORDER BY turistas DESC, pais_origen, punto_entrada LIMIT 5"""))
 def q_top_pairs(spark, d):
     """Top 5 (origin, entry point) by visitors."""
-    return reports.top_k(pl.final(spark, d), ["pais_origen", "punto_entrada"], 5)
+    return reports.top_k(pl.curated(spark, d), ["pais_origen", "punto_entrada"], 5)
 
 
 @query("by_month", O.with_(["final"], """
 SELECT mes, CAST(sum(turistas) AS BIGINT) AS turistas FROM final GROUP BY 1"""))
 def q_by_month(spark, d):
     """Visitors per calendar month over all years."""
-    return reports.totals_by(pl.final(spark, d), ["mes"])
+    return reports.totals_by(pl.curated(spark, d), ["mes"])
 
 
 @query("top_origins", O.with_(["final"], """
@@ -50,7 +50,7 @@ SELECT pais_origen, CAST(sum(turistas) AS BIGINT) AS turistas FROM final
 GROUP BY 1 ORDER BY turistas DESC, pais_origen LIMIT 6"""))
 def q_top_origins(spark, d):
     """Top 6 origins."""
-    return reports.top_k(pl.final(spark, d), ["pais_origen"], 6)
+    return reports.top_k(pl.curated(spark, d), ["pais_origen"], 6)
 
 
 @query("yearly_selected", O.with_(["final"], f"""
@@ -58,7 +58,7 @@ SELECT pais_origen, "año", CAST(sum(turistas) AS BIGINT) AS turistas FROM final
 WHERE pais_origen IN {_IN(SELECTED)} GROUP BY 1, 2"""))
 def q_yearly_selected(spark, d):
     """A9 + C22: yearly visitors of chosen origins, one grouped query for all of them."""
-    f = pl.final(spark, d).filter(F.col("pais_origen").isin(*SELECTED))
+    f = pl.curated(spark, d).filter(F.col("pais_origen").isin(*SELECTED))
     return reports.totals_by(f, ["pais_origen", "año"])
 
 
@@ -67,7 +67,7 @@ SELECT mes, pais_origen, CAST(sum(turistas) AS BIGINT) AS turistas FROM final
 WHERE pais_origen IN {_IN(PAIR)} GROUP BY 1, 2"""))
 def q_month_by_origin(spark, d):
     """A10: visitors by (month, origin) for two chosen origins."""
-    f = pl.final(spark, d).filter(F.col("pais_origen").isin(*PAIR))
+    f = pl.curated(spark, d).filter(F.col("pais_origen").isin(*PAIR))
     return reports.totals_by(f, ["mes", "pais_origen"])
 
 
@@ -117,7 +117,7 @@ SELECT q.*, w.bigote_inf, w.bigote_sup, w.atipicos FROM q JOIN (
 @query("box_stats", O.with_extra(["final"], _BOX_CTES, _BOX_SQL))
 def q_box_stats(spark, d):
     """Quartiles, whiskers and outliers of visitors by winter-break and harvest flags."""
-    return reports.box_stats(pl.final(spark, d), ["vacaciones_invierno", "mes_vendimia"])
+    return reports.box_stats(pl.curated(spark, d), ["vacaciones_invierno", "mes_vendimia"])
 
 
 @query("distincts", O.with_(["final"], """
@@ -125,7 +125,7 @@ SELECT count(DISTINCT indice_tiempo) AS n_indice_tiempo, count(DISTINCT pais_ori
        count(DISTINCT punto_entrada) AS n_punto_entrada, count(DISTINCT "año") AS "n_año" FROM final"""))
 def q_distincts(spark, d):
     """Distinct months, origins, entry points and years."""
-    return reports.distinct_counts(pl.final(spark, d), ["indice_tiempo", "pais_origen", "punto_entrada", "año"])
+    return reports.distinct_counts(pl.curated(spark, d), ["indice_tiempo", "pais_origen", "punto_entrada", "año"])
 
 
 @query("source_summary", O.with_(["std"], f"""
@@ -156,20 +156,20 @@ SELECT pais_origen AS valor, count(*) AS n, round_even(count(*) * 100.0 / (SELEC
 FROM final GROUP BY 1"""))
 def q_category_counts(spark, d):
     """Origin value counts with percent."""
-    return reports.value_counts(pl.final(spark, d), "pais_origen")
+    return reports.value_counts(pl.curated(spark, d), "pais_origen")
 
 
 @query("head_rows", O.with_(["final"], """
 SELECT * FROM final ORDER BY indice_tiempo, pais_origen, punto_entrada LIMIT 10"""))
 def q_head_rows(spark, d):
     """O1 + O2: the first 10 rows of the table in (month, origin, entry point) order."""
-    return reports.head(pl.final(spark, d), 10, KEYS)
+    return reports.head(pl.curated(spark, d), 10, KEYS)
 
 
 @query("sample_rows")
 def q_sample_rows(spark, d):
     """100 rows chosen by a seeded hash of the keys (rows-only check: the hash is Spark's)."""
-    return reports.sample_rows(pl.final(spark, d), 100, KEYS)
+    return reports.sample_rows(pl.curated(spark, d), 100, KEYS)
 
 
 # ====================================================================== profiles
@@ -203,7 +203,7 @@ FROM (SELECT {_casted(FINAL_NUMERIC)} FROM final) UNPIVOT INCLUDE NULLS (v FOR c
 GROUP BY 1"""))
 def q_describe(spark, d):
     """Q-1: describe every numeric column in one aggregate."""
-    return profile.describe(pl.final(spark, d))
+    return profile.describe(pl.curated(spark, d))
 
 
 @query("target_profile", O.with_(["final"], f"""
@@ -215,7 +215,7 @@ FROM (SELECT *, {O.rnd("desviacion / nullif(media, 0) * 100.0")} AS cv_pct FROM
          CAST(min(turistas) AS DOUBLE) AS minimo, CAST(max(turistas) AS DOUBLE) AS maximo FROM final))"""))
 def q_target_profile(spark, d):
     """Q-2: target statistics, coefficient of variation and its band."""
-    return profile.target_profile(pl.final(spark, d))
+    return profile.target_profile(pl.curated(spark, d))
 
 
 _KIND_COLS = [c for c in FINAL_NUMERIC if c != "turistas"]
@@ -226,7 +226,7 @@ _KIND_COLS = [c for c in FINAL_NUMERIC if c != "turistas"]
     + [f"SELECT '{c}', 'categorica', count(DISTINCT \"{c}\") FROM final" for c in ("pais_origen", "punto_entrada")])))
 def q_column_kinds(spark, d):
     """Q-3: feature columns by kind (target and date columns removed) with cardinality."""
-    return profile.column_kinds(pl.final(spark, d))
+    return profile.column_kinds(pl.curated(spark, d))
 
 
 _ALL_FINAL = ["indice_tiempo", "pais_origen", "punto_entrada"] + FINAL_NUMERIC
@@ -239,7 +239,7 @@ SELECT columna, nulos, round_even(nulos * 100.0 / filas * 100.0, 0) / 100.0 AS p
        UNPIVOT INCLUDE NULLS (v FOR columna IN (COLUMNS(*))) GROUP BY 1) WHERE nulos > 0"""))
 def q_null_report(spark, d):
     """Q-4: columns with nulls, count and percent."""
-    return profile.null_report(pl.final(spark, d))
+    return profile.null_report(pl.curated(spark, d))
 
 
 @query("quality_nulls", O.with_([], """
@@ -275,7 +275,7 @@ FROM (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS limite_inferior, q3
       FROM (SELECT quantile_cont(CAST(turistas AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(turistas AS DOUBLE), 0.75) AS q3 FROM final))"""))
 def q_iqr_outliers(spark, d):
     """Q-6: IQR bounds and outlier count."""
-    return profile.iqr_outliers(pl.final(spark, d))
+    return profile.iqr_outliers(pl.curated(spark, d))
 
 
 @query("top_outliers", O.with_(["final"], """
@@ -285,7 +285,7 @@ WHERE turistas > (SELECT quantile_cont(CAST(turistas AS DOUBLE), 0.75) + 1.5 * (
 ORDER BY turistas DESC, indice_tiempo, pais_origen, punto_entrada LIMIT 5"""))
 def q_top_outliers(spark, d):
     """Q-7 + O3: the five largest upper outliers with context."""
-    return profile.top_outliers(pl.final(spark, d))
+    return profile.top_outliers(pl.curated(spark, d))
 
 
 @query("zero_share", O.with_(["final"], """
@@ -293,7 +293,7 @@ SELECT count(*) FILTER (WHERE turistas = 0) AS ceros, count(*) AS filas,
        round_even(count(*) FILTER (WHERE turistas = 0) * 100.0 / count(*) * 100.0, 0) / 100.0 AS pct FROM final"""))
 def q_zero_share(spark, d):
     """Q-8: zero-visitor rows and share."""
-    return profile.zero_share(pl.final(spark, d))
+    return profile.zero_share(pl.curated(spark, d))
 
 
 @query("zero_by_year", O.with_extra(["final"], """
@@ -304,7 +304,7 @@ SELECT "año", ceros, filas, pct, "año" = (SELECT arg_min("año", struct_pack(a
 FROM z"""))
 def q_zero_by_year(spark, d):
     """Q-9: zeros per year with the year's share; the worst year flagged (ties: earliest)."""
-    z = profile.zero_by(pl.final(spark, d), "año")
+    z = profile.zero_by(pl.curated(spark, d), "año")
     worst = profile.worst_key(z, "año").select("año").scalar()
     return z.withColumn("peor", F.col("año") == worst)
 
@@ -314,7 +314,7 @@ SELECT pais_origen, count(*) AS ceros FROM final WHERE turistas = 0
 GROUP BY 1 ORDER BY ceros DESC, pais_origen LIMIT 5"""))
 def q_zero_by_category(spark, d):
     """Q-10: the five origins with most zero rows."""
-    return profile.top_zero(pl.final(spark, d), "pais_origen")
+    return profile.top_zero(pl.curated(spark, d), "pais_origen")
 
 
 def _corr_sql(target_only: bool) -> str:
@@ -368,4 +368,4 @@ def q_category_catalog(spark, d):
 @query("shape", O.with_(["final"], f"SELECT count(*) AS filas, {len(_ALL_FINAL)} AS columnas FROM final"))
 def q_shape(spark, d):
     """Q-23: rows and columns."""
-    return profile.shape(pl.final(spark, d))
+    return profile.shape(pl.curated(spark, d))
