@@ -207,13 +207,13 @@ def write_partitioned(df: DataFrame, path: str, partition_cols=("category", "sou
 
 
 def write_sorted(df: DataFrame, path: str, keys=("indice_tiempo", "pais_origen", "punto_entrada"),
-                 fmt: str = "parquet", partitions: int | None = None) -> None:
+                 fmt: str = "parquet", partitions: int | None = None, sep: str = ";") -> None:
     """Range-partition on the keys and sort inside partitions: globally ordered files, no single task."""
     cols = list(keys)
     out = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     w = out.sortWithinPartitions(*cols).write.mode("overwrite")
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).option("sep", sep)
     w.format(fmt).save(path)
 
 
