@@ -104,7 +104,8 @@ def regressor(kind: str, params: dict | None, train: DataFrame | None = None, la
                                      maxDepth=depth, minInstancesPerNode=leaf,
                                      featureSubsetStrategy=_features_param(p.get("max_features", 1.0)),
                                      subsamplingRate=float(p.get("max_samples") or 1.0), bootstrap=True,
-                                     seed=int(p.get("random_state", 42)), maxMemoryInMB=512, checkpointInterval=10)
+                                     seed=int(p.get("random_state", 42)), maxMemoryInMB=1024, cacheNodeIds=True,
+                                     checkpointInterval=10)
     if kind == "boosting":
         return GBTRegressor(featuresCol="features", labelCol=label, maxIter=int(p.get("n_estimators", 100)),
                             stepSize=float(p.get("learning_rate", 0.1)), maxDepth=depth, minInstancesPerNode=leaf,
