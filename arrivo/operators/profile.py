@@ -214,6 +214,17 @@ def correlation_columns(df: DataFrame, cols: list[str] | None = None, drop=("int
     return keep, means
 
 
+def correlation_exclusions(df: DataFrame, cols: list[str] | None = None, drop=("interes_alto",)) -> DataFrame:
+    """Numeric columns left out of the correlation matrix, with the reason (one aggregate, long form)."""
+    cols = cols or numeric_columns(df)
+    long = to_long(df, cols)
+    g = long.groupBy("columna").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    reason = (F.when(F.col("columna").isin(*drop), F.lit("excluida"))
+              .when(F.col("n") < 2, F.lit("sin_datos"))
+              .when(F.col("lo") == F.col("hi"), F.lit("constante")))
+    return g.select("columna", reason.alias("motivo")).filter(F.col("motivo").isNotNull())
+
+
 def _gram_blocks(cols: list[str], means: list[float]):
     """Per-partition sums for pairwise-complete Pearson correlation (NumPy on Arrow batches).
 

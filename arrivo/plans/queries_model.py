@@ -24,8 +24,11 @@ def model_table(spark, d):
     Every fit and metric reads this table several times; the write cuts the
     lineage back to the raw tables, so a lost executor recomputes from it.
     """
+    from arrivo.operators.clean import drop_all_null_columns, drop_zero_target
+
+    # C20 (columns null in every row are dropped), C21 (zero-target rows removed), then W5/M1/M9
     return pl.written_once(spark, (d, "model_table"),
-                           lambda: FE.with_split(pl.curated(spark, d).filter(F.col("turistas") > 0)))
+                           lambda: FE.with_split(drop_zero_target(drop_all_null_columns(pl.curated(spark, d)))))
 
 
 def feature_lists(df):

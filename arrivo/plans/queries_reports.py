@@ -369,3 +369,54 @@ def q_category_catalog(spark, d):
 def q_shape(spark, d):
     """Q-23: rows and columns."""
     return profile.shape(pl.curated(spark, d))
+
+
+@query("correlation_exclusions", O.with_(["final"], f"""
+SELECT columna, CASE WHEN columna = 'interes_alto' THEN 'excluida' WHEN count(v) < 2 THEN 'sin_datos'
+                     WHEN min(v) = max(v) THEN 'constante' END AS motivo
+FROM (SELECT {_casted(FINAL_NUMERIC)} FROM final WHERE turistas > 0) UNPIVOT INCLUDE NULLS (v FOR columna IN (COLUMNS(*)))
+GROUP BY columna
+HAVING columna = 'interes_alto' OR count(v) < 2 OR min(v) = max(v)"""))
+def q_correlation_exclusions(spark, d):
+    """Numeric columns kept out of the correlation matrix and why."""
+    return profile.correlation_exclusions(curated(spark, d))
+
+
+@query("zero_removal", O.with_(["final"], f"""
+SELECT count(*) AS rows_before, count(*) FILTER (WHERE turistas > 0) AS rows_after,
+       count(*) - count(*) FILTER (WHERE turistas > 0) AS rows_removed,
+       {O.rnd("(count(*) - count(*) FILTER (WHERE turistas > 0)) * 100.0 / count(*)", 4)} AS pct_removed,
+       {O.rnd("avg(turistas)", 4)} AS mean_before, {O.rnd("avg(turistas) FILTER (WHERE turistas > 0)", 4)} AS mean_after,
+       {O.rnd("stddev_samp(turistas)", 4)} AS std_before,
+       {O.rnd("stddev_samp(turistas) FILTER (WHERE turistas > 0)", 4)} AS std_after
+FROM final"""))
+def q_zero_removal(spark, d):
+    """Rows removed for a zero target, and mean and std before and after (one conditional aggregate)."""
+    from arrivo.operators import clean
+
+    from arrivo.functions import rint_round
+
+    r = clean.zero_target_report(pl.curated(spark, d))
+    stats = ("pct_removed", "mean_before", "mean_after", "std_before", "std_after")
+    return r.select("rows_before", "rows_after", "rows_removed", *[rint_round(F.col(c), 4).alias(c) for c in stats])
+
+
+@query("scatter_summary", O.with_(["final"], f"""
+SELECT pais_origen, count(*) AS n, {O.rnd("corr(CAST(precio_promedio_usd AS DOUBLE), CAST(turistas AS DOUBLE))", 6)} AS corr
+FROM final WHERE pais_origen IN {_IN(SELECTED)} GROUP BY 1"""))
+def q_scatter_summary(spark, d):
+    """C26 + C22: price vs visitors pairs of chosen origins, summarised by a correlation per origin."""
+    from arrivo.functions import rint_round
+    from arrivo.operators import clean
+
+    s = clean.scatter_pairs(pl.curated(spark, d), "precio_promedio_usd", "turistas", "pais_origen", SELECTED)
+    return s.select("pais_origen", "n", rint_round(F.col("corr"), 6).alias("corr"))
+
+
+@query("quote_feed_status", O.with_(["quotes_clean"], """
+SELECT count(*) AS records, CASE WHEN count(*) > 0 THEN 'processed' ELSE 'error' END AS status FROM quotes_clean"""))
+def q_quote_feed_status(spark, d):
+    """The quote feed is accepted only when rows survive the filters."""
+    from arrivo.operators import clean
+
+    return clean.quote_feed_status(pl.clean_quotes(spark, d))
