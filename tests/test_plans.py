@@ -28,3 +28,17 @@ def test_final_table_uses_broadcast_for_side_tables(spark, sf):
     for line in final.splitlines():
         if "SinglePartition" in line:
             assert "Exchange" in line
+
+
+def test_fact_plan_without_broadcast_reuses_line_partitioning(spark, sf):
+    """At scale (no broadcast of order-sized tables) the line aggregate's partitioning feeds the join directly."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = pl.fact(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert p.count("hashpartitioning(l_orderkey") == 1
+    assert p.count("hashpartitioning(o_orderkey") == 1
+    assert "partial_sum((cast(l_quantity" in p
