@@ -133,11 +133,23 @@ def null_report(df: DataFrame, only_with_nulls: bool = True) -> DataFrame:
 
 
 def duplicates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Q-5: rows that repeat an earlier row (all columns), and their share of all rows."""
+    """Q-5: rows that repeat an earlier row (all columns), and their share of all rows.
+
+    Exact, in two steps so whole rows (long texts) are not all shuffled: each
+    row's 64-bit hash is computed map-side and only hashes are grouped; the
+    rows whose hash occurs more than once are then grouped by their full
+    contents, which settles hash collisions.  The candidate join is left to
+    AQE (broadcast when the candidate set is small, shuffle join otherwise).
+    """
     cols = cols or df.columns
-    g = df.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
-    out = g.agg(F.sum("_n").cast("long").alias("filas"), F.sum(F.col("_n") - 1).cast("long").alias("duplicados"))
-    return out.withColumn("pct", rint_round(F.col("duplicados") / F.col("filas") * F.lit(100.0), 2))
+    hashed = df.select(*[_q(c) for c in cols], F.xxhash64(*[_q(c) for c in cols]).alias("_h"))
+    cand = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("_h")
+    exact = hashed.join(cand, "_h", "left_semi").groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+    dups = exact.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long")).scalar()
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    return df.sparkSession.range(1).select(
+        rows.alias("filas"), dups.alias("duplicados"),
+        rint_round(dups / rows * F.lit(100.0), 2).alias("pct"))
 
 
 def iqr_bounds(df: DataFrame, target: str = "turistas", k: float = 1.5, accuracy: int | None = None) -> DataFrame:

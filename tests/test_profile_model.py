@@ -107,3 +107,20 @@ def test_metrics_by_hand(spark):
 def test_draws_are_distinct_and_seeded():
     a, b = MO.draw_params("ridge", 30, 42), MO.draw_params("ridge", 30, 42)
     assert a == b and len({tuple(sorted(p.items())) for p in a}) == 30
+
+
+def test_duplicates_exact_with_nulls(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 1), ("b", None), ("b", None), ("c", 2)], "t string, x int")
+    r = profile.duplicates(df).first()
+    assert (r["filas"], r["duplicados"], r["pct"]) == (6, 3, 50.0)
+
+
+def test_role_resolver_rules():
+    from arrivo.operators.clean import ARRIVAL_ROLES, Role, resolve_role, resolve_roles
+
+    cols = ["Periodo", "turistas_total", "turistas_no_residentes", "pais_residencia"]
+    found, missing = resolve_roles(cols, ARRIVAL_ROLES)
+    assert found == {"period": "Periodo", "visitors": "turistas_no_residentes", "country": "pais_residencia"}
+    assert missing == []
+    assert resolve_role(["fecha", "fecha_std"], Role("d", exact=("fecha", "fecha_std"), policy="last")) == "fecha_std"
+    assert resolve_roles(["a", "b"], ARRIVAL_ROLES)[1] == ["period", "visitors", "country"]
