@@ -52,7 +52,7 @@ def season_peak(df: DataFrame, group: str = "pais_origen", month: str = "mes", v
         F.max(v).alias("turistas_pico"),
         first_min_by(month, v).alias("mes_bajo"),
         F.min(v).alias("turistas_bajo"),
-        F.avg(v).alias("promedio"),
+        rint_round(F.avg(v), 6).alias("promedio"),
     )
     return g.withColumn(
         "variacion_pct",
@@ -113,7 +113,7 @@ def date_range(df: DataFrame, key: str = "indice_tiempo", values: list[str] = ()
     """``min - max`` of the month key and mean/median of the given columns (one aggregate)."""
     aggs = [F.min(key).alias("desde"), F.max(key).alias("hasta"), F.count(F.lit(1)).alias("filas")]
     for v in values:
-        aggs += [rint_round(mean_exact(v), 2).alias(f"{v}_promedio"), F.median(v).alias(f"{v}_mediana")]
+        aggs += [rint_round(mean_exact(v), 2).alias(f"{v}_promedio"), rint_round(F.median(v), 6).alias(f"{v}_mediana")]
     out = df.agg(*aggs)
     return out.withColumn("rango", F.concat_ws(" - ", "desde", "hasta"))
 

@@ -91,7 +91,7 @@ def q_seasonality(spark, d):
 SELECT pais_origen,
        arg_min(mes, struct_pack(a := -turistas_promedio, b := mes)) AS mes_pico, max(turistas_promedio) AS turistas_pico,
        arg_min(mes, struct_pack(a := turistas_promedio, b := mes)) AS mes_bajo, min(turistas_promedio) AS turistas_bajo,
-       avg(turistas_promedio) AS promedio,
+       {O.rnd("avg(turistas_promedio)", 6)} AS promedio,
        {O.rnd("(max(turistas_promedio) - min(turistas_promedio)) / nullif(min(turistas_promedio), 0) * 100.0")} AS variacion_pct
 FROM (SELECT pais_origen, mes, {O.mean_exact("turistas")} AS turistas_promedio
       FROM final WHERE turistas > 0 GROUP BY 1, 2) GROUP BY 1"""))
@@ -141,9 +141,9 @@ def q_source_summary(spark, d):
 @query("date_range", O.with_(["quotes_monthly"], f"""
 SELECT min(indice_tiempo) AS desde, max(indice_tiempo) AS hasta, count(*) AS filas,
        {O.rnd(O.mean_exact("precio_promedio_usd"))} AS precio_promedio_usd_promedio,
-       quantile_cont(precio_promedio_usd, 0.5) AS precio_promedio_usd_mediana,
+       {O.rnd("quantile_cont(precio_promedio_usd, 0.5)", 6)} AS precio_promedio_usd_mediana,
        {O.rnd(O.mean_exact("variacion_usd_mensual"))} AS variacion_usd_mensual_promedio,
-       quantile_cont(variacion_usd_mensual, 0.5) AS variacion_usd_mensual_mediana,
+       {O.rnd("quantile_cont(variacion_usd_mensual, 0.5)", 6)} AS variacion_usd_mensual_mediana,
        min(indice_tiempo) || ' - ' || max(indice_tiempo) AS rango
 FROM quotes_monthly"""))
 def q_date_range(spark, d):
