@@ -52,12 +52,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     only a local-mode session gets a private scratch folder when it is unset.
     """
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    path = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+            or (sc.getCheckpointDir() or "").rsplit("/", 1)[0] or None)
     if not path:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="arrivo-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - a core setting may be read-only at run time
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
