@@ -121,13 +121,15 @@ DEFAULT_PARAMS = {"ridge": {"alpha": RIDGE_ALPHA}, "forest": FOREST, "boosting":
 def fit(train: DataFrame, numeric: list[str], categorical: list[str], kind: str, params: dict | None = None) -> PipelineModel:
     """Fit pre-processing + regressor on the train rows (one ``Pipeline``).
 
-    The train rows are spread over the default parallelism first: the model
-    table is small (bounded by months x origins x points) and often lands in
-    one file, and a tree learner makes one pass per level over its input
-    partitions, so one partition would mean one task per pass.
+    For the tree learners the train rows are spread over the default
+    parallelism first: the model table is small (bounded by months x origins x
+    points) and often lands in one file, and a tree learner makes one pass per
+    level over its input partitions, so one partition would mean one task per
+    pass.  Ridge makes a single pass and skips the shuffle.
     """
     params = DEFAULT_PARAMS[kind] if params is None else params
-    train = train.repartition(max(train.sparkSession.sparkContext.defaultParallelism, 1))
+    if kind in ("forest", "boosting"):
+        train = train.repartition(max(train.sparkSession.sparkContext.defaultParallelism, 1))
     stages = preprocessing(numeric, categorical) + [regressor(kind, params, train)]
     return Pipeline(stages=stages).fit(train)
 
