@@ -169,7 +169,9 @@ def join_quotes(fact: DataFrame, qm: DataFrame | None) -> DataFrame:
     if qm is None:
         j = fact.join(empty_like(fact.sparkSession, QUOTES_MONTHLY_SCHEMA), "indice_tiempo", "left")
         return j.withColumns({"usd_alto": F.lit(None).cast("int"), "usd_alta_variabilidad": F.lit(None).cast("int")})
-    rows = fact.groupBy("indice_tiempo").agg(F.count(F.lit(1)).alias("_rows"))
+    # count(turistas) (never NULL, so the row count) keeps this branch's columns equal to the main
+    # branch's, so both read the same fact stage: its exchange is reused, the arrival join runs once
+    rows = fact.groupBy("indice_tiempo").agg(F.count("turistas").alias("_rows"))
     q = qm.select("indice_tiempo", *QUOTE_COLUMNS).join(rows, "indice_tiempo")
     q = q.withColumns({
         "_m_price": month_median("precio_promedio_usd", F.col("_rows")),

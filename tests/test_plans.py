@@ -42,3 +42,11 @@ def test_fact_plan_without_broadcast_reuses_line_partitioning(spark, sf):
     assert p.count("hashpartitioning(l_orderkey") == 1
     assert p.count("hashpartitioning(o_orderkey") == 1
     assert "partial_sum((cast(l_quantity" in p
+
+
+def test_final_table_runs_the_arrival_join_once(spark, sf):
+    df = pl.final(spark, sf)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # one line-table scan for the fact and one for the interest series; the month-count branch reuses
+    assert p.count("lineitem.parquet") == 2 and "ReusedExchange" in p
