@@ -121,15 +121,16 @@ def month_gaps(fact: DataFrame, series: str = "punto_entrada", month: str = "ind
     bounded by the calendar) exploded per series; missing months come from a
     left-anti join against the months present.
     """
-    rng = fact.agg(F.min(month).alias("a"), F.max(month).alias("b"))
+    # every branch derives from one aggregate over the same columns, so the fact stage is computed once
+    present = fact.groupBy(series, month).agg(F.count("turistas" if "turistas" in fact.columns else F.lit(1)).alias("_n"))
+    rng = present.agg(F.min(month).alias("a"), F.max(month).alias("b"))
     first = rng.select("a").scalar()
     last = rng.select("b").scalar()
     months = F.sequence(F.to_date(F.concat(first, F.lit("-01"))), F.to_date(F.concat(last, F.lit("-01"))),
                         F.expr("INTERVAL 1 MONTH"))
-    expected = (fact.select(series).distinct().select(series, F.explode(months).alias("_d"))
+    expected = (present.select(series).distinct().select(series, F.explode(months).alias("_d"))
                 .select(series, F.date_format("_d", "yyyy-MM").alias(month)))
-    present = fact.select(series, month).distinct()
-    return expected.join(present, [series, month], "left_anti")
+    return expected.join(present.select(series, month), [series, month], "left_anti")
 
 
 def run_metrics(ready: DataFrame, coverage: DataFrame, gaps: DataFrame, fact: DataFrame,
