@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivo.functions import clean_text, num_of, number_or_zero, parse_ts, rint_round, safe_number, strip_ws, ts_of
+from arrivo.functions import clean_text, num_of, number_or_zero, rint_round, safe_number, strip_ws, ts_of
 from arrivo.operators.calendar import expand_by_frequency
 
 # Column-name keywords that identify each role in a raw file.

@@ -18,7 +18,6 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivo.functions import rint_round
 from arrivo.operators.features import TARGET, preprocessing
 from arrivo.session import materialize
 

@@ -9,8 +9,6 @@ given, which switches to ``percentile_approx`` for very large groups.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

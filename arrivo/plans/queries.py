@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.functions import clean_text, month_key, normalise_month_key, number_or_zero, parse_ts, rint_round, safe_number
+from arrivo.functions import clean_text, month_key, normalise_month_key, number_or_zero, parse_ts, safe_number
 from arrivo.operators import assemble, calendar, clean
 from arrivo.plans import oracle as O
 from arrivo.plans import pipeline as pl

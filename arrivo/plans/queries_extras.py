@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from arrivo.operators import assemble, calendar, extras, quality
+from arrivo.operators import assemble, extras, quality
 from arrivo.plans import oracle as O
 from arrivo.plans import pipeline as pl
 from arrivo.plans.queries import query
