@@ -133,8 +133,10 @@ def head(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
 def sample_rows(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
     """``min(n, rows)`` rows chosen by a seeded hash of the keys.
 
-    Independent of partitioning and of row order; planned as a top-k over the
-    hash, so no full sort.  Not the same rows pandas ``sample`` would take.
+    The hash is ``md5`` of the keys and the seed joined with ``|`` (a function
+    other engines share, so the choice can be checked elsewhere).  Independent
+    of partitioning and of row order; planned as a top-k over the hash, so no
+    full sort.  Not the same rows pandas ``sample`` would take.
     """
-    h = F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(seed))
+    h = F.md5(F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in keys], F.lit(str(seed))))
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
