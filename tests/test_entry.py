@@ -12,7 +12,7 @@ FAST = ["quarter_to_month", "month_key", "calendar_flags", "clean_text", "coerce
         "quote_filter", "map_categories", "category_report", "monthly_fact", "quotes_monthly", "interest_monthly",
         "final_table", "totals_by_point", "top_pairs", "season_peak", "box_stats", "describe", "null_report",
         "duplicates", "iqr_outliers", "page_links", "page_links_fallback", "newest_link", "lags", "pivot_points",
-        "month_gaps", "ordered_split", "fold_ids", "scenario_grid"]
+        "month_gaps", "ordered_split", "fold_ids", "scenario_grid", "sample_rows", "zero_removal"]
 
 
 def test_entry_runs(spark):
