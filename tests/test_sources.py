@@ -40,3 +40,16 @@ def test_incremental_landing_skips_landed_files(spark, sf):
     n1 = land_new_files(spark, sf, schema, f"{root}/sink", f"{root}/ck", "r1", file_glob="orders.parquet")
     n2 = land_new_files(spark, sf, schema, f"{root}/sink", f"{root}/ck", "r2", file_glob="orders.parquet")
     assert n1 == spark.read.parquet(f"{sf}/orders.parquet").count() and n2 == 0
+
+
+def test_monthly_batch_run_writes_outputs(spark, sf):
+    from arrivo.__main__ import run
+
+    out = tempfile.mkdtemp(prefix="arrivo-run-")
+    res = run(spark, sf, out, "2001-12-31")
+    assert res["final_rows"] > 0
+    rep = spark.read.json(f"{res['out']}/reports/run_report").first()
+    assert rep["status"] == "completed" and rep["acquisition"]["total_files"] == 14
+    cur = spark.read.parquet(f"{res['out']}/curated")
+    assert set(cur.select("source").distinct().toPandas()["source"]) == {"1-URGENT", "2-HIGH", "3-MEDIUM",
+                                                                           "4-NOT SPECIFIED", "5-LOW"}
