@@ -24,10 +24,14 @@ def test_final_table_uses_broadcast_for_side_tables(spark, sf):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final
-    # the only single-partition exchanges are the month-table medians (a few hundred rows at most)
-    for line in final.splitlines():
-        if "SinglePartition" in line:
-            assert "Exchange" in line
+    # the only single-partition exchanges feed the two month-table median windows (quotes, interest),
+    # tables of one row per month; nothing row-level goes through a single task
+    body = final.split("== Initial Plan ==")[0]
+    lines = body.splitlines()
+    single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert len(single) == 2
+    for i in single:
+        assert any("Window [percentile" in lines[j] for j in range(max(0, i - 4), i))
 
 
 def test_fact_plan_without_broadcast_reuses_line_partitioning(spark, sf):
