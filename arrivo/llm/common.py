@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -43,6 +44,20 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[col(c) for c in df.columns])
 
 
+def located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """The table and its (file, row) locator; what is not a plain Parquet scan is written out first."""
+    if docs._jdf.queryExecution().analyzed().children().isEmpty():
+        try:
+            meta = docs.metadataColumn("_metadata")
+            docs.select(meta["file_path"], meta["row_index"])
+            return docs, meta["file_path"], meta["row_index"]
+        except AnalysisException:
+            pass
+    docs = stored(docs, "input")
+    meta = docs.metadataColumn("_metadata")
+    return docs, meta["file_path"], meta["row_index"]
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z only to a-z; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

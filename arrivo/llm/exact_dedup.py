@@ -14,28 +14,13 @@ by name and pass through; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.llm.common import col, lower_ascii, shared_path, stored, whole_row
+from arrivo.llm.common import col, located, lower_ascii, shared_path, stored, whole_row
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
-
-def _located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
-    """The table and its (file, row) locator; what is not a plain Parquet scan is written out first."""
-    if docs._jdf.queryExecution().analyzed().children().isEmpty():
-        try:
-            meta = docs.metadataColumn("_metadata")
-            docs.select(meta["file_path"], meta["row_index"])
-            return docs, meta["file_path"], meta["row_index"]
-        except AnalysisException:
-            pass
-    docs = stored(docs, "dedup-input")
-    meta = docs.metadataColumn("_metadata")
-    return docs, meta["file_path"], meta["row_index"]
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _run_stream(spark: SparkSession, intake: str, schema, state: str) -> DataFrame:
@@ -66,7 +51,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     locators are looked up; the result covers the new rows, with the state of all runs.
     """
     spark = docs.sparkSession
-    docs, file, row = _located(docs)
+    docs, file, row = located(docs)
     norm = lower_ascii(col(text_col))
     sha = F.unhex(F.sha2(norm, 256))
     key = sha if digest is None else digest
@@ -89,7 +74,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if contents is None:
         stays = texts.where("keep.file = file and keep.row = row").select("digest", F.col("norm").alias("kept_norm"))
     else:
-        contents, c_file, c_row = _located(contents)
+        contents, c_file, c_row = located(contents)
         stays = (contents.select(lower_ascii(col(text_col)).alias("kept_norm"), c_file.alias("c_file"), c_row.alias("c_row"))
                  .join(hits.select("digest", "keep"), (F.col("c_file") == F.col("keep.file")) & (F.col("c_row") == F.col("keep.row")))
                  .select("digest", "kept_norm"))

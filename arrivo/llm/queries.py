@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.llm import exact_dedup
+from arrivo.llm import exact_dedup, language, mixing, pieces, simhash, tokens
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -20,6 +20,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary_file(name: str) -> str:
+    """Place of a public tokenizer file; the operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1 over all documents, learned from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.fit_documents(docs), spans=False)
+    doc_id = F.col("row.doc_id")
+    return found.select(doc_id.alias("doc_id"), language.held_out(doc_id).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4 over all documents."""
@@ -32,3 +48,59 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256({_NORM}) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY {_NORM})
 """
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5 over all documents."""
+    return simhash.simhash_groups(_table(spark, sf_dir, "documents"), width=3, max_bits=2).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op6_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6 over all documents: sampled pieces, and whether they decode to the text."""
+    vocabulary = pieces.load(_vocabulary_file("piece_bpe_32k.model"))
+    return pieces.encode(_table(spark, sf_dir, "documents"), vocabulary, keep=[F.col("doc_id")])
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 over all documents: digests read back from the written files."""
+    return tokens.token_files(_table(spark, sf_dir, "documents"), _vocabulary_file("byte_bpe_50k.json"))
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 over all documents: sources weigh 5, 2, 1, repeating, and share 150% of all words."""
+    return mixing.taken_words(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op9_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('0|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+filled AS (
+  SELECT *, 2 * source_size AS cap,
+         sum(2 * source_size) OVER o - 2 * source_size AS cap_before, sum(w) OVER () - (sum(w) OVER o - w) AS w_left
+  FROM s WINDOW o AS (ORDER BY 2 * source_size / w, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+budget AS (SELECT 1.5::DOUBLE * sum(size) AS b FROM d),
+level AS (
+  SELECT max((b - cap_before) / w_left) AS rate FROM filled, budget),
+t AS (
+  SELECT source, source_size, CASE WHEN w * rate > cap THEN CAST(cap AS DOUBLE) ELSE w * rate END AS target FROM filled, level),
+q AS (
+  SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING) AS done
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+queued AS (
+  SELECT *, (done + copy * source_size) / target AS finish FROM q, (SELECT unnest([0, 1]) AS copy) WHERE target > 0),
+taken AS (
+  SELECT doc_id, sum(size) AS taken
+  FROM (SELECT doc_id, size, sum(size) OVER (ORDER BY finish, source NULLS LAST, h, doc_id, copy ROWS UNBOUNDED PRECEDING) AS until
+        FROM queued), (SELECT sum(target) AS all_targets FROM t)
+  WHERE until <= all_targets GROUP BY doc_id)
+SELECT q.doc_id, q.size, q.source_size, q.target, CAST(coalesce(taken.taken, 0) AS BIGINT) AS taken
+FROM q LEFT JOIN taken USING (doc_id)
+"""
