@@ -19,14 +19,20 @@ from pyspark.sql import functions as F
 
 from arrivo.llm.common import col, located, lower_ascii, shared_path, stored, whole_row
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "spark.sql.streaming.stateStore"
+#: State on disk; native memory bounded for all partitions of an executor together, whatever their number.
+STATE_CONF = {
+    f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{STATE}.rocksdb.boundedMemoryUsage": "true", f"{STATE}.rocksdb.maxMemoryUsageMB": "192",
+    f"{STATE}.rocksdb.writeBufferSizeMB": "2", f"{STATE}.maintenanceInterval": "10s",
+}
 
 
 def _run_stream(spark: SparkSession, intake: str, schema, state: str) -> DataFrame:
     """Feed all new intake files to the keyed state and return the state: one row per digest."""
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKS)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         (spark.readStream.schema(schema).parquet(intake)
          .groupBy("digest")
@@ -38,7 +44,8 @@ def _run_stream(spark: SparkSession, intake: str, schema, state: str) -> DataFra
         return stored(entries.select(F.col("key.digest").alias("digest"), F.col(keep).alias("keep"),
                                      F.col(n).alias("n")), "dedup-state")
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Column | None = None,
