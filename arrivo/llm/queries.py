@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivo.llm import exact_dedup, language, mixing, pieces, simhash, tokens
+from arrivo.llm import chat, exact_dedup, language, mixing, pieces, quality, sharding, simhash, tokens, urls
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -36,6 +36,47 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(doc_id.alias("doc_id"), language.held_out(doc_id).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2 over all documents, 40 shards."""
+    rows = sharding.shard(_table(spark, sf_dir, "documents"), shards=40, keep=[])
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+# Fixed values of the query: (host, path, allowed).
+URL_RULES = [("net", "/", False), ("example.net", "/en/", True), ("example.com", "/de/", False), ("org", "/fr/", True)]
+
+
+@query
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3 over all pages, with the four rules of the query."""
+    return urls.judge(_table(spark, sf_dir, "pages"), [urls.Rule(*r) for r in URL_RULES], keep=[F.col("page_id")])
+
+
+def _urls_twin() -> str:
+    alone = lambda terms: f"(^|[^a-z0-9])({'|'.join(terms)})($|[^a-z0-9])"
+    rules = ", ".join(f"('{h}', '{p}', '{'allow' if a else 'block'}')" for h, p, a in URL_RULES)
+    soft = " + ".join(f"CAST(regexp_matches(url, '{alone([t])}') AS INT)" for t in urls.SOFT)
+    down = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rest = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
+    return f"""
+WITH r(rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
+u AS (SELECT page_id, {down.format("coalesce(url, '')")} AS url, {rest.replace("url", "coalesce(url, '')")} AS rest FROM pages),
+p AS (SELECT page_id, url, {down.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+f AS (SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+             arg_max(rule_verdict, length(rule_host || rule_path)) AS rule_verdict
+      FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN regexp_matches(url, '{alone(urls.STRICT)}') OR {soft} >= 2
+       THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN f USING (page_id)
+"""
+
+
+ORACLE["op3_urls"] = _urls_twin()
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4 over all documents."""
@@ -69,12 +110,29 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_files(_table(spark, sf_dir, "documents"), _vocabulary_file("byte_bpe_50k.json"))
 
 
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8 over all conversations and one made conversation, read back from the formatted table."""
+    said = "</s>[INST] ok [/INST]"
+    made = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(made)
+    return chat.chat_digests(rows)
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 over all documents: sources weigh 5, 2, 1, repeating, and share 150% of all words."""
     return mixing.taken_words(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10 over all documents, fitted on a sample of the labelled ones."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model, keep=[F.col("doc_id")])
+
+
 ORACLE["op9_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
