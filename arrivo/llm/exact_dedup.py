@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 from arrivo.llm.common import col, located, lower_ascii, shared_path, stored, whole_row
 
 STATE = "spark.sql.streaming.stateStore"
-#: State on disk; native memory bounded for all partitions of an executor together, whatever their number.
+#: State on disk; native memory bounded for all partitions of an executor together, whatever their number; no
+#: space is reserved ahead for the logs of partitions with little state.
 STATE_CONF = {
     f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{STATE}.rocksdb.boundedMemoryUsage": "true", f"{STATE}.rocksdb.maxMemoryUsageMB": "192",
     f"{STATE}.rocksdb.writeBufferSizeMB": "2", f"{STATE}.maintenanceInterval": "10s",
+    f"{STATE}.rocksdb.allowFAllocate": "false",
 }
 
 

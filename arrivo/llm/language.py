@@ -213,7 +213,7 @@ def _labeller(model: Model, penalty: float, spans: bool):
             new = np.ones(len(doc), dtype=bool)
             new[1:] = (doc[1:] != doc[:-1]) | (label[1:] != label[:-1])
             head = np.flatnonzero(new)
-            tail = np.append(head[1:], len(doc)) - 1
+            tail = np.append(head[1:], len(doc))[:len(head)] - 1
             counts = np.bincount(doc[head], minlength=len(lengths))
             items = pa.StructArray.from_arrays(
                 [pa.array(begin[head].astype(np.int32)), pa.array(end[tail].astype(np.int32)),

@@ -6,7 +6,7 @@ Rules per whole text: words ``[^\\x20\\x09-\\x0D]+``, their code points, symbols
 
 Classifier: logistic regression on hashed word unigrams, word bigrams and character bigrams and trigrams (each
 kind as shares of its occurrences), fitted on a bounded sample of labelled rows (``fit_docs`` expected per
-label) in one task, calibrated by Platt's method on sampled rows that the fit did not see. A text that passes the
+label) in one task, calibrated by Platt's method on scores from fits that did not see the row. A text that passes the
 rules is kept if its probability of good quality is at least ``threshold``.
 
 Edge cases: null or empty text has no words and fails the rules; without labels of both kinds the probability is 1, so
@@ -112,10 +112,11 @@ def _grams(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pairs(w: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and text of each word bigram."""
+    """Bucket and text of each word bigram; a word after itself is one feature, whatever the word."""
     at = np.flatnonzero(w.doc[:-1] == w.doc[1:]) if len(w.doc) > 1 else np.zeros(0, np.int64)
     own = hashes[w.codes]
-    return (mix64(own[at] * np.uint64(3) + own[at + 1]) & np.uint64(BUCKETS - 1)).astype(np.int64), w.doc[at]
+    bucket = (mix64(own[at] * np.uint64(3) + own[at + 1]) & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return np.where(w.codes[at] == w.codes[at + 1], 0, bucket), w.doc[at]
 
 
 def _per(total: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -157,42 +158,52 @@ def _matrix(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _fit(texts: list[str], good: np.ndarray, unseen: np.ndarray, steps: int = 120, rate: float = 0.05) -> tuple[np.ndarray, float, float]:
-    """Weights by full-batch gradient steps (Adam), then slope and intercept of the calibration on unseen rows."""
-    parts, base = [], 0
-    for at in range(0, len(texts), 64):
-        chunk = split(texts[at:at + 64])
-        if len(chunk.codes):
-            row, bucket, value = _matrix(chunk)
-            parts.append((row + base, bucket, value))
-        base += len(chunk.counts)
-    row, bucket, value = (np.concatenate(x) for x in zip(*parts, strict=True))
-    value = value.astype(np.float32)
-    n = len(texts)
-    seen = ~unseen
+def _descend(matrix, good: np.ndarray, seen: np.ndarray, steps: int, rate: float) -> np.ndarray:
+    """Scores of all rows and, at the end, weights and bias, by full-batch gradient steps (Adam) on the seen rows."""
+    row, bucket, value = matrix
+    n = len(good)
     balance = np.where(good, 0.5 / max(1, (good & seen).sum()), 0.5 / max(1, (~good & seen).sum())) * seen
-    weights = np.zeros(BUCKETS)
-    bias, slow, fast = 0.0, np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
+    weights = np.zeros(BUCKETS + 1)  # the last is the bias
+    slow, fast = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     for t in range(1, steps + 1):
-        z = np.bincount(row, weights=value * weights[bucket], minlength=n) + bias
-        miss = (1 / (1 + np.exp(-z)) - good) * balance
-        grad = np.append(np.bincount(bucket, weights=value * miss[row], minlength=BUCKETS) + 1e-4 * weights, miss.sum())
+        z = np.bincount(row, weights=value * weights[bucket], minlength=n) + weights[-1]
+        miss = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - good) * balance
+        grad = np.append(np.bincount(bucket, weights=value * miss[row], minlength=BUCKETS) + 1e-4 * weights[:-1], miss.sum())
         slow, fast = 0.9 * slow + 0.1 * grad, 0.99 * fast + 0.01 * grad * grad
-        step = rate * (slow / (1 - 0.9**t)) / (np.sqrt(fast / (1 - 0.99**t)) + 1e-6)
-        weights, bias = weights - step[:-1], bias - step[-1]
-    z = np.bincount(row, weights=value * weights[bucket], minlength=n) + bias
-    held = unseen if good[unseen].any() and (~good)[unseen].any() else seen
-    x, y = z[held], good[held]
-    # Platt: targets drawn in from 0 and 1 by the class sizes; two numbers by Newton steps.
+        weights -= rate * (slow / (1 - 0.9**t)) / (np.sqrt(fast / (1 - 0.99**t)) + 1e-6)
+    return np.bincount(row, weights=value * weights[bucket], minlength=n) + weights[-1], weights
+
+
+def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of the probability of y, by Newton steps; targets drawn in by the class sizes."""
     goal = np.where(y, (y.sum() + 1) / (y.sum() + 2), 1 / ((~y).sum() + 2))
-    a, b = 1.0, 0.0
-    for _ in range(50):
+    a, b = 1.0 / max(1.0, float(np.abs(x).max())), 0.0
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
         h = p * (1 - p)
         hess = np.array([[(h * x * x).sum() + 1e-6, (h * x).sum()], [(h * x).sum(), h.sum() + 1e-6]])
         da, db = np.linalg.solve(hess, [((p - goal) * x).sum(), (p - goal).sum()])
         a, b = a - np.clip(da, -1, 1), b - np.clip(db, -5, 5)
-    return weights, a, a * bias + b
+    return a, b
+
+
+def _fit(texts: list[str], good: np.ndarray, folds: int = 3, steps: int = 60, rate: float = 0.1) -> tuple[np.ndarray, float, float]:
+    """Weights fitted on all rows; calibration on the scores that each row gets from a fit without its fold."""
+    parts, base = [], 0
+    for at in range(0, len(texts), 64):
+        chunk = split(texts[at:at + 64])
+        if len(chunk.codes):
+            row, bucket, value = _matrix(chunk)
+            parts.append((row + base, bucket, value.astype(np.float32)))
+        base += len(chunk.counts)
+    matrix = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    fold = np.arange(len(texts)) % folds
+    unseen = np.zeros(len(texts))
+    for k in range(folds):
+        unseen[fold == k] = _descend(matrix, good, fold != k, steps, rate)[0][fold == k]
+    slope, shift = _platt(unseen, good)
+    weights = _descend(matrix, good, np.ones(len(texts), dtype=bool), steps, rate)[1]
+    return weights[:-1], slope, slope * weights[-1] + shift
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 1500) -> tuple[np.ndarray, float, float] | None:
@@ -208,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 1500) -> tuple[np.nd
         good = np.array([x[2] == 1 for x in found], dtype=bool)
         texts = [x[3] for x in found]
         if good.any() and not good.all() and any(t.split() for t in texts):
-            weights, slope, shift = _fit(texts, good, np.arange(len(found)) % 4 == 3)
+            weights, slope, shift = _fit(texts, good)
             yield pa.RecordBatch.from_arrays([pa.array([weights.astype("<f4").tobytes()]), pa.array([slope]), pa.array([shift])],
                                              names=["weights", "slope", "shift"])
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivo.llm.common import col, in_bytes, shared_path
+from arrivo.llm.common import col, in_bytes, shared_path, stored
 
 MAGIC = b"DAC1"
 BLOCK = 512  # bits per entry of a rank directory
@@ -202,9 +202,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     before = lambda order, by: F.sum("tokens").over(Window.partitionBy(*by).orderBy(order)) - F.col("tokens")
     parts = (files.groupBy("part").agg(F.sum("tokens").alias("tokens"))
              .select("part", before("part", []).alias("part_start")))
-    starts = files.select("part", "seq", before("seq", ["part"]).alias("seq_start"))
-    placed = (files.join(starts, ["part", "seq"]).join(parts, "part")
-              .select((F.col("part_start") + F.col("seq_start")).alias("start"), "doc_ids", "counts", "payload"))
+    starts = files.select("part", "seq", before("seq", ["part"]).alias("seq_start")).join(parts, "part")
+    index = stored(starts.select("part", "seq", (F.col("part_start") + F.col("seq_start")).alias("start")), "token-index")
+    placed = files.join(index, ["part", "seq"]).select("start", "doc_ids", "counts", "payload")
 
     def run(batches):
         for batch in batches:
