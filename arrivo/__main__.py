@@ -29,7 +29,7 @@ def run(spark, sf_dir: str, out: str, run_date: str, csv: bool = False) -> dict:
     pl.quotes_monthly(spark, sf_dir).write.mode("overwrite").format(fmt).save(f"{base}/processed/quotes_monthly")
     pl.interest_monthly(spark, sf_dir).write.mode("overwrite").format(fmt).save(f"{base}/processed/interest_monthly")
     catalog.write_sorted(pl.final(spark, sf_dir), f"{base}/processed/final", fmt=fmt)
-    checks = quality.file_checks(catalog.file_sizes(spark, f"{sf_dir}/*.parquet"),
+    checks = quality.file_checks(catalog.file_sizes(spark, sf_dir),
                                  {n: fx.table(spark, sf_dir, n) for n in fx.TABLES}, CATEGORY_OF)
     ready = quality.readiness(checks, quality.issues(checks))
     report = quality.run_report(ready, quality.category_rollup(checks), run_date, len(fx.TABLES))

@@ -10,18 +10,46 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_ts(c, fmt: str | None = None) -> Column:
+# Date forms beside ISO: two numbers then a year, a year first with other signs, and eight digits.
+_NUMBERS_YEAR = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})(.*)$"
+_YEAR_FIRST = r"^\s*(\d{4})[/.](\d{1,2})[/.](\d{1,2})(.*)$"
+_EIGHT_DIGITS = r"^\s*(\d{4})(\d{2})(\d{2})\s*$"
+
+
+def iso_text(c, day_first: bool = False) -> Column:
+    """A date text in one of the listed forms as ``yyyy-MM-dd`` plus its rest; other text unchanged.
+
+    ``03/04/2014`` is read month first unless ``day_first``; a first (or
+    second) number over 12 can only be the day.
+    """
+    s = _col(c).cast("string")
+
+    def iso(pattern: str, year: int, month: Column, day: Column, rest: bool) -> Column:
+        tail = [F.regexp_extract(s, pattern, 4)] if rest else []
+        return F.concat(F.regexp_extract(s, pattern, year), F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"), *tail)
+
+    a, b = (F.regexp_extract(s, _NUMBERS_YEAR, k) for k in (1, 2))
+    first, second = (F.coalesce(x.try_cast("int"), F.lit(0)) for x in (a, b))
+    a_is_day = ((first > 12) | F.lit(day_first)) & ~((second > 12) & F.lit(day_first))
+    return (F.when(s.rlike(_NUMBERS_YEAR), iso(_NUMBERS_YEAR, 3, F.when(a_is_day, b).otherwise(a), F.when(a_is_day, a).otherwise(b), True))
+            .when(s.rlike(_YEAR_FIRST), iso(_YEAR_FIRST, 1, F.regexp_extract(s, _YEAR_FIRST, 2), F.regexp_extract(s, _YEAR_FIRST, 3), True))
+            .when(s.rlike(_EIGHT_DIGITS), iso(_EIGHT_DIGITS, 1, F.regexp_extract(s, _EIGHT_DIGITS, 2), F.regexp_extract(s, _EIGHT_DIGITS, 3), False))
+            .otherwise(s))
+
+
+def parse_ts(c, fmt: str | None = None, day_first: bool = False) -> Column:
     """Text to a zone-less timestamp; bad text gives NULL (``errors='coerce'``).
 
     Without ``fmt`` it accepts dates, ISO date-times and zone suffixes (a zone
-    is converted to UTC) through ``try_cast``, which returns NULL without
-    raising; a pattern-based parse throws internally on every mismatch and is
-    many times slower.  The result is ``TIMESTAMP_NTZ`` like the landed data.
+    is converted to UTC) and the forms of ``iso_text`` through ``try_cast``,
+    which returns NULL without raising; a pattern-based parse throws
+    internally on every mismatch and is many times slower.  The result is
+    ``TIMESTAMP_NTZ`` like the landed data.
     """
     s = _col(c).cast("string")
     if fmt:
         return F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")
-    return s.try_cast("timestamp").cast("timestamp_ntz")
+    return iso_text(s, day_first).try_cast("timestamp").cast("timestamp_ntz")
 
 
 def ts_of(df, name: str) -> Column:

@@ -44,8 +44,8 @@ def num_of(df, name: str) -> Column:
 
 
 def number_or_zero(c) -> Column:
-    """To number, bad or missing to 0, truncate toward zero to a long."""
-    return F.coalesce(safe_number(c), F.lit(0.0)).cast("long")
+    """To number, truncate toward zero to a long; bad, missing or beyond a long to 0."""
+    return F.coalesce(safe_number(c).try_cast("long"), F.lit(0).cast("long"))
 
 
 def pct(num, den, digits: int | None = 2) -> Column:

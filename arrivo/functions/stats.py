@@ -31,12 +31,19 @@ def exact_median(c) -> Column:
     return F.percentile(_col(c), F.lit(0.5))
 
 
-def mean_exact(c, scale: int = 4) -> Column:
-    """Mean whose value does not depend on row order.
+def significant(c, digits: int = 12) -> Column:
+    """Round to ``digits`` significant digits: takes off the last bits, which depend on the order of a sum."""
+    x = _col(c).cast("double")
+    places = F.lit(digits - 1) - F.floor(F.log10(F.abs(x))).cast("int")
+    up, down = F.pow(F.lit(10.0), F.greatest(places, F.lit(0))), F.pow(F.lit(10.0), F.greatest(-places, F.lit(0)))
+    return F.when((x == 0) | x.isNull(), x).otherwise(F.rint(x / down * up) / up * down)
 
-    The sum is taken as a decimal, so every engine and every partitioning gives
-    the same double; a double sum changes its last digits with the order.
-    """
-    x = _col(c)
-    s = F.sum(x.cast(f"decimal(38,{scale})")).cast("double")
-    return F.try_divide(s, F.count(x).cast("double"))
+
+def mean_of(c) -> Column:
+    """Mean of the values as they are, to 12 significant digits, so that it does not depend on row order."""
+    return significant(F.avg(_col(c).cast("double")))
+
+
+def std_of(c) -> Column:
+    """Sample standard deviation, to 12 significant digits; one value gives NULL."""
+    return significant(F.stddev_samp(_col(c).cast("double")))

@@ -24,8 +24,8 @@ def title_case(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing whitespace of any kind."""
-    return F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing whitespace of any kind (Unicode blanks and separators too)."""
+    return F.regexp_replace(_col(c).cast("string"), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def clean_text(c) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrivo.functions import mean_exact, month_key, rint_round
+from arrivo.functions import mean_of, month_key, rint_round
 from arrivo.operators.calendar import calendar_features
 
 KEYS = ["indice_tiempo", "pais_origen", "punto_entrada"]
@@ -84,11 +84,11 @@ def conservation(raw: DataFrame, std: DataFrame, fact: DataFrame, raw_value: str
 def quotes_monthly(clean_q: DataFrame) -> DataFrame:
     """A3: monthly mean/min/max/count of the quote, spread and percent spread, rounded half-even to 2.
 
-    The mean is taken from a decimal sum so it does not depend on row order.
+    The mean is rounded to 12 significant digits, so it does not depend on row order.
     A zero minimum gives a NULL percent (no error).
     """
     g = clean_q.groupBy(month_key("fecha").alias("indice_tiempo")).agg(
-        mean_exact("venta").alias("_mean"),
+        mean_of("venta").alias("_mean"),
         F.min("venta").alias("_min"),
         F.max("venta").alias("_max"),
         F.count("venta").alias("dias"),
@@ -138,7 +138,7 @@ def month_median(value, weight=None):
 def interest_monthly(clean_i: DataFrame) -> DataFrame:
     """A4 + W3: monthly mean (rounded to 1), max, min, count; high-interest flag vs the median over months."""
     g = clean_i.groupBy(month_key("fecha").alias("indice_tiempo")).agg(
-        rint_round(mean_exact("interes_google"), 1).alias("interes_google_promedio"),
+        rint_round(mean_of("interes_google"), 1).alias("interes_google_promedio"),
         F.max("interes_google").alias("interes_google_max"),
         F.min("interes_google").alias("interes_google_min"),
         F.count("interes_google").alias("registros"),
@@ -230,8 +230,8 @@ def positional_rank(df: DataFrame, keys=KEYS, name: str = "pos") -> DataFrame:
     by ``row_number`` inside that month (one task per month; a month holds at
     most origins x entry points fact rows), and each month gets the offset of
     all earlier months from a cumulative sum over the per-month count table,
-    which has one row per month and is broadcast back.  Deterministic: no
-    row ids, no sampling.
+    which has one row per month (a missing month is one, ordered first).
+    Deterministic: no row ids, no sampling.
     """
     first, rest = keys[0], list(keys[1:])
     per = df.groupBy(first).agg(F.count(F.lit(1)).alias("_n"))
@@ -243,7 +243,7 @@ def positional_rank(df: DataFrame, keys=KEYS, name: str = "pos") -> DataFrame:
     w = Window.partitionBy(first).orderBy(*[F.col(f"`{k}`") for k in rest])
     return (
         df.withColumn("_local", F.row_number().over(w))
-        .join(F.broadcast(offsets), first)
+        .join(offsets.withColumnRenamed(first, "_first"), F.col(f"`{first}`").eqNullSafe(F.col("_first")))
         .withColumn(name, (F.col("_off") + F.col("_local")).cast("long"))
-        .drop("_local", "_off")
+        .drop("_local", "_off", "_first")
     )

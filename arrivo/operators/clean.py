@@ -94,7 +94,7 @@ def standardise_arrivals(raw: DataFrame, cat: DataFrame, start: str = "2014-01-0
     """
     c = cat.select("src", "frequency", "punto_entrada")
     d = ts_of(raw, "period")
-    visitors = F.coalesce(num_of(raw, "visitors"), F.lit(0.0)).cast("long")
+    visitors = F.coalesce(num_of(raw, "visitors").try_cast("long"), F.lit(0).cast("long"))
     rows = (
         raw.join(c, "src")
         .select(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivo.functions import mean_exact, month_key, rint_round
+from arrivo.functions import mean_of, month_key, rint_round
 
 # Class labels and thresholds from the reference configuration.
 PRICE_CLASSES = ["bajo", "medio", "alto", "muy_alto"]
@@ -25,7 +25,7 @@ LAGS = (1, 12)
 def quote_volatility(clean_q: DataFrame, threshold: float = VOLATILITY_THRESHOLD) -> DataFrame:
     """Monthly std of the quote, volatility = std / mean x 100, and its class at the threshold."""
     g = clean_q.groupBy(month_key("fecha").alias("indice_tiempo")).agg(
-        mean_exact("venta").alias("_m"), F.stddev_samp("venta").alias("_s"), F.count("venta").alias("dias"))
+        mean_of("venta").alias("_m"), F.stddev_samp("venta").alias("_s"), F.count("venta").alias("dias"))
     vol = rint_round(F.try_divide(F.col("_s"), F.col("_m")) * F.lit(100.0), 4)
     return g.select(
         "indice_tiempo", "dias", rint_round("_s", 4).alias("precio_std"), vol.alias("volatilidad_pct"),
@@ -99,7 +99,7 @@ def price_rules(clean_q: DataFrame, lo: float = PRICE_MIN, hi: float = PRICE_MAX
     runs over one house's whole history.  ``reciente`` says whether the
     house's last day is within ``recent_days`` of ``run_ts``.
     """
-    day = clean_q.groupBy("casa", F.to_date("fecha").alias("dia")).agg(mean_exact("venta").alias("precio"))
+    day = clean_q.groupBy("casa", F.to_date("fecha").alias("dia")).agg(mean_of("venta").alias("precio"))
     prev = day.select("casa", F.date_add("dia", 1).alias("dia"), F.col("precio").alias("precio_anterior"))
     j = day.join(prev, ["casa", "dia"], "left")
     change = rint_round(F.try_divide(F.col("precio") - F.col("precio_anterior"), F.col("precio_anterior")) * F.lit(100.0), 4)

@@ -2,8 +2,8 @@
 
 Each profile is one aggregate with many expressions (never one job per
 column), reshaped to long form with ``stack``.  Means and standard deviations
-are taken from decimal sums, so they are the same on any partitioning and in
-any engine; quantiles are exact (``percentile``) unless an ``accuracy`` is
+take the values as they are and are rounded to 12 significant digits, so they
+are the same on any partitioning; quantiles are exact (``percentile``) unless an ``accuracy`` is
 given, which switches to ``percentile_approx`` for very large groups.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrivo.functions import first_max_by, mean_exact, rint_round
+from arrivo.functions import first_max_by, mean_of, rint_round, std_of
 
 # Date-like columns that are never features.
 DATE_DENY = ["indice_tiempo", "fecha", "mes_ano", "indice_tiempo_dt"]
@@ -33,37 +33,19 @@ def text_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
 
 
-def std_exact(c: Column, scale: int = 2) -> Column:
-    """Sample standard deviation from exact decimal sums (order-independent)."""
-    x = c.cast(f"decimal(38,{scale})")
-    n = F.count(x).cast("double")
-    s1 = F.sum(x).cast("double")
-    s2 = F.sum(x * x).cast("double")
-    var = F.try_divide(s2 - s1 * s1 / n, n - F.lit(1.0))
-    return F.sqrt(F.greatest(var, F.lit(0.0)))
-
-
 def _quantile(c: Column, p: float, accuracy: int | None) -> Column:
     if accuracy:
         return F.percentile_approx(c, F.lit(p), F.lit(accuracy)).cast("double")
     return F.percentile(c, F.lit(p))
 
 
-def _stack(prefixes: list[str], cols: list[str], fields: list[str], key: str = "columna") -> str:
-    parts = []
-    for c in cols:
-        parts.append(f"'{c}'")
-        parts += [f"`{f}__{c}`" for f in fields]
-    return f"stack({len(cols)}, {', '.join(parts)}) as ({key}, {', '.join(fields)})"
-
-
 def to_long(df: DataFrame, cols: list[str], key: str = "columna", value: str = "v", cast: str = "double") -> DataFrame:
     """Unpivot ``cols`` to ``(key, value)`` rows with one ``stack`` projection (no shuffle)."""
     parts = ", ".join(f"'{c}', CAST(`{c}` AS {cast})" for c in cols)
     return df.selectExpr(f"stack({len(cols)}, {parts}) as ({key}, {value})")
 
 
-def describe(df: DataFrame, cols: list[str] | None = None, accuracy: int | None = None, scale: int = 2) -> DataFrame:
+def describe(df: DataFrame, cols: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
     """Q-1: count, mean, std, min, quartiles, max of every numeric column, one row per column.
 
     Columns are stacked to long form and grouped by name, so one aggregate of
@@ -77,8 +59,8 @@ def describe(df: DataFrame, cols: list[str] | None = None, accuracy: int | None
           else F.percentile(v, F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])))
     g = long.groupBy("columna").agg(
         F.count(v).alias("count"),
-        rint_round(mean_exact(v, scale), 6).alias("mean"),
-        rint_round(std_exact(v, scale), 6).alias("std"),
+        rint_round(mean_of(v), 6).alias("mean"),
+        rint_round(std_of(v), 6).alias("std"),
         F.min(v).alias("min"),
         qs.alias("_q"),
         F.max(v).alias("max"),
@@ -90,13 +72,13 @@ def describe(df: DataFrame, cols: list[str] | None = None, accuracy: int | None
     )
 
 
-def target_profile(df: DataFrame, target: str = "turistas", scale: int = 2) -> DataFrame:
+def target_profile(df: DataFrame, target: str = "turistas") -> DataFrame:
     """Q-2: mean, median, std, min, max, range, coefficient of variation and its band."""
     t = _q(target)
     g = df.agg(
-        mean_exact(t, scale).alias("media"),
+        mean_of(t).alias("media"),
         F.percentile(t.cast("double"), F.lit(0.5)).alias("mediana"),
-        rint_round(std_exact(t, scale), 6).alias("desviacion"),
+        rint_round(std_of(t), 6).alias("desviacion"),
         F.min(t).cast("double").alias("minimo"),
         F.max(t).cast("double").alias("maximo"),
     )
@@ -130,24 +112,23 @@ def null_report(df: DataFrame, only_with_nulls: bool = True) -> DataFrame:
     return out.filter(F.col("nulos") > 0) if only_with_nulls else out
 
 
+def with_digests(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Text columns replaced by their SHA-256 digest (NULL stays NULL), so that no later exchange carries the texts."""
+    cols = cols or text_columns(df)
+    return df.select(*[F.unhex(F.sha2(_q(c), 256)).alias(c) if c in cols else _q(c) for c in df.columns])
+
+
 def duplicates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Q-5: rows that repeat an earlier row (all columns), and their share of all rows.
 
-    Exact, in two steps so whole rows (long texts) are not all shuffled: each
-    row's 64-bit hash is computed map-side and only hashes are grouped; the
-    rows whose hash occurs more than once are then grouped by their full
-    contents, which settles hash collisions.  The candidate join is left to
-    AQE (broadcast when the candidate set is small, shuffle join otherwise).
+    Texts are compared by SHA-256, taken before the only exchange; rows and
+    duplicates come from one aggregate over the groups.
     """
-    cols = cols or df.columns
-    hashed = df.select(*[_q(c) for c in cols], F.xxhash64(*[_q(c) for c in cols]).alias("_h"))
-    cand = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("_h")
-    exact = hashed.join(cand, "_h", "left_semi").groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
-    dups = exact.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long")).scalar()
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    return df.sparkSession.range(1).select(
-        rows.alias("filas"), dups.alias("duplicados"),
-        rint_round(dups / rows * F.lit(100.0), 2).alias("pct"))
+    thin = with_digests(df.select(*[_q(c) for c in cols]) if cols else df)
+    g = thin.groupBy(*[_q(c) for c in thin.columns]).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("filas"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicados"))
+    return g.withColumn("pct", rint_round(F.try_divide(F.col("duplicados"), F.col("filas")) * F.lit(100.0), 2))
 
 
 def iqr_bounds(df: DataFrame, target: str = "turistas", k: float = 1.5, accuracy: int | None = None) -> DataFrame:
@@ -309,23 +290,12 @@ def correlations(df: DataFrame, cols: list[str] | None = None, drop=("interes_al
 
 
 def target_correlations(df: DataFrame, target: str = "turistas", n: int = 10, drop=("interes_alto",)) -> DataFrame:
-    """Q-12: the ``n`` columns most correlated with the target (largest first, ties by name)."""
-    c = correlations(df, drop=drop)
-    t = (c.filter((F.col("columna_a") == target) | (F.col("columna_b") == target))
-         .select(F.when(F.col("columna_a") == target, F.col("columna_b")).otherwise(F.col("columna_a")).alias("columna"),
-                 "correlacion")
-         .filter(F.col("correlacion").isNotNull()))
-    return t.orderBy(F.col("correlacion").desc(), "columna").limit(n)
-
-
-def integrity(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Q-19: per column, nulls, zeros, min and max (one aggregate, long form)."""
-    aggs = []
-    for c in cols:
-        x = _q(c).cast("double")
-        aggs += [F.count_if(x.isNull()).alias(f"nulos__{c}"), F.count_if(x == 0).alias(f"ceros__{c}"),
-                 F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
-    return df.agg(*aggs).selectExpr(_stack([], cols, ["nulos", "ceros", "min", "max"]))
+    """Q-12: the ``n`` columns most correlated with the target (largest first, ties by name); one aggregate."""
+    cols = [c for c in numeric_columns(df, exclude=[target, *drop])]
+    pairs = [F.corr(_q(target).cast("double"), _q(c).cast("double")).alias(c) for c in cols]
+    t = to_long(df.agg(*pairs), cols, value="r").select("columna", rint_round("r", 6).alias("correlacion"))
+    return (t.filter(F.col("correlacion").isNotNull() & ~F.isnan("correlacion"))
+            .orderBy(F.col("correlacion").desc(), "columna").limit(n))
 
 
 def category_catalog(df: DataFrame, cols: list[str]) -> DataFrame:

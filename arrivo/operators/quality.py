@@ -3,8 +3,7 @@
 A landed file is described by a manifest row (path, size, status, category).
 Per-file content checks are one aggregate per table, all unioned into one
 plan; the roll-ups over files are small grouped aggregates.  Row counts and
-empty-column counts are exact over the whole file (the reference looked at
-the first 100 rows; ``rows_sampled`` keeps its capped count for comparison).
+empty-column counts are over the whole table, and decide.
 """
 
 from __future__ import annotations
@@ -16,13 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivo.functions import rint_round
-from arrivo.sources.catalog import DEFAULTS, base_name, header_status
+from arrivo.sources.catalog import DEFAULTS, header_status, small_file_rule
 
 # Categories, critical ones, and column keywords per category.
 CATEGORIES = ["turismo", "economico", "infraestructura", "general", "trends"]
 CRITICAL = ["turismo", "economico"]
 TOURISM_KEYWORDS = ["turista", "visitante", "pernoctacion", "ocupacion"]
-SAMPLE_ROWS = 100
 MIN_ROWS = DEFAULTS["min_rows_per_table"]
 READY_RATE, READY_MAX_ISSUES = 70.0, 5
 ADVICE = [
@@ -47,31 +45,29 @@ def table_profile(name: str, df: DataFrame, keywords=TOURISM_KEYWORDS) -> DataFr
 def file_checks(files: DataFrame, tables: dict[str, DataFrame], categories: dict[str, str],
                 min_bytes: int = DEFAULTS["min_bytes"], min_rows: int = MIN_ROWS,
                 header_words=TOURISM_KEYWORDS) -> DataFrame:
-    """S5 + S6 + S7 + S13 + Q-13 + Q-14: one validation row per landed file.
+    """S5 + S6 + S7 + S13 + Q-13 + Q-14: one validation row per landed table.
 
-    ``files`` is ``(path, size)`` (binary-file listing, contents not read);
-    ``tables`` maps a file's base name to its DataFrame; ``categories`` maps it
-    to a category.  Status: ``cached`` when at least ``min_bytes`` long (already
+    ``files`` is as from ``catalog.file_sizes`` (one row per table, whatever its
+    number of part files); ``tables`` maps a table's name to its DataFrame;
+    ``categories`` maps it to a category.  Status: ``cached`` when at least ``min_bytes`` long (already
     landed), else ``downloaded_small``, upgraded by the small-file rule (S6) or
     ``rejected``; the header check (S13) marks tables with no expected word.
     """
     prof = reduce(lambda a, b: a.unionByName(b), [table_profile(n, t) for n, t in tables.items()])
     cat = files.sparkSession.createDataFrame(list(categories.items()), "name string, category string")
-    f = files.select(base_name(F.col("path")).alias("name"), "path", "size")
-    j = f.join(prof, "name").join(F.broadcast(cat), "name", "left").withColumn(
-        "category", F.coalesce("category", F.lit("general")))
+    j = files.join(prof, "name").join(cat, "name", "left").withColumn("category", F.coalesce("category", F.lit("general")))
     small = F.col("size") < F.lit(min_bytes)
-    accepted_small = (F.col("rows") > 0) & (F.col("columns") > 2)
-    status = F.when(~small, F.lit("cached")).when(accepted_small, F.lit("downloaded_small")).otherwise(F.lit("rejected"))
-    sampled = F.least(F.col("rows"), F.lit(SAMPLE_ROWS))
+    accepted = small_file_rule(F.col("rows"), F.col("columns"), F.col("size"), F.lit(min_bytes))
+    status = F.when(~small, F.lit("cached")).when(accepted, F.lit("downloaded_small")).otherwise(F.lit("rejected"))
+    enough = F.col("rows") >= F.lit(min_rows)
     return j.select(
-        "name", "path", "category", "size",
+        "name", "path", "category", "size", "files",
         rint_round(F.col("size") / F.lit(1024.0 * 1024.0), 3).alias("size_mb"),
         status.alias("status"),
         header_status(F.col("column_names"), header_words, F.lit(False)).alias("header_status"),
-        "rows", sampled.alias("rows_sampled"), "columns", "empty_columns", "numeric_columns",
-        "keyword_columns", (sampled >= F.lit(min_rows)).alias("has_data"),
-        F.when(sampled >= F.lit(min_rows), F.lit("good")).otherwise(F.lit("needs_review")).alias("data_quality"),
+        "rows", "columns", "empty_columns", "numeric_columns",
+        "keyword_columns", enough.alias("has_data"),
+        F.when(enough, F.lit("good")).otherwise(F.lit("needs_review")).alias("data_quality"),
     )
 
 
@@ -109,8 +105,8 @@ def issues(checks: DataFrame, min_rows: int = MIN_ROWS, critical=CRITICAL) -> Da
     ok = checks.filter(ok_status())
     no_num = ok.filter((F.col("category") == "economico") & (F.col("numeric_columns") == 0)).select(
         "name", F.lit("sin columnas numericas").alias("issue"))
-    few = ok.filter(F.col("rows_sampled") < F.lit(min_rows)).select(
-        "name", F.concat(F.lit("solo "), F.col("rows_sampled").cast("string"), F.lit(f" filas (minimo {min_rows})")).alias("issue"))
+    few = ok.filter(F.col("rows") < F.lit(min_rows)).select(
+        "name", F.concat(F.lit("solo "), F.col("rows").cast("string"), F.lit(f" filas (minimo {min_rows})")).alias("issue"))
     crit = spark.createDataFrame([(c,) for c in critical], "category string")
     present = checks.select("category").distinct()
     missing = crit.join(present, "category", "left_anti").select(

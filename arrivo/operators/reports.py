@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivo.functions import first_max_by, first_min_by, mean_exact, rint_round
+from arrivo.functions import first_max_by, first_min_by, mean_of, rint_round
 
 
 def _sum_long(c: str = "turistas"):
@@ -37,7 +37,7 @@ def top_k(df: DataFrame, keys: list[str], k: int, value: str = "turistas") -> Da
 
 def mean_by(df: DataFrame, keys: list[str], value: str = "turistas") -> DataFrame:
     """Mean per key set (all origins at once, not one query per origin)."""
-    return df.groupBy(*keys).agg(mean_exact(value).alias(f"{value}_promedio"))
+    return df.groupBy(*keys).agg(mean_of(value).alias(f"{value}_promedio"))
 
 
 def season_peak(df: DataFrame, group: str = "pais_origen", month: str = "mes", value: str = "turistas") -> DataFrame:
@@ -102,7 +102,7 @@ def source_summary(std: DataFrame) -> DataFrame:
         _sum_long("turistas").alias("turistas_total"),
         F.min("turistas").alias("turistas_min"),
         F.max("turistas").alias("turistas_max"),
-        mean_exact("turistas").alias("turistas_promedio"),
+        mean_of("turistas").alias("turistas_promedio"),
         F.min("punto_entrada").alias("punto_entrada"),
         F.min("fecha_std").alias("desde"),
         F.max("fecha_std").alias("hasta"),
@@ -113,7 +113,7 @@ def date_range(df: DataFrame, key: str = "indice_tiempo", values: list[str] = ()
     """``min - max`` of the month key and mean/median of the given columns (one aggregate)."""
     aggs = [F.min(key).alias("desde"), F.max(key).alias("hasta"), F.count(F.lit(1)).alias("filas")]
     for v in values:
-        aggs += [rint_round(mean_exact(v), 2).alias(f"{v}_promedio"), rint_round(F.median(v), 6).alias(f"{v}_mediana")]
+        aggs += [rint_round(mean_of(v), 2).alias(f"{v}_promedio"), rint_round(F.median(v), 6).alias(f"{v}_mediana")]
     out = df.agg(*aggs)
     return out.withColumn("rango", F.concat_ws(" - ", "desde", "hasta"))
 

@@ -24,8 +24,19 @@ def rnd(expr: str, digits: int = 2) -> str:
     return f"(round_even(({expr}) * {scale}.0, 0) / {scale}.0)"
 
 
-def mean_exact(expr: str, scale: int = 4) -> str:
-    return f"(CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE) / nullif(count({expr}), 0))"
+def significant(expr: str, digits: int = 12) -> str:
+    """Rounding to significant digits."""
+    e = f"CAST(floor(log10(abs({expr}))) AS INTEGER)"
+    up, down = f"pow(10.0, greatest({digits - 1} - {e}, 0))", f"pow(10.0, greatest({e} - {digits - 1}, 0))"
+    return f"CASE WHEN ({expr}) = 0 THEN 0.0 ELSE round_even(({expr}) / {down} * {up}, 0) / {up} * {down} END"
+
+
+def mean_of(expr: str) -> str:
+    return significant(f"avg(CAST({expr} AS DOUBLE))")
+
+
+def std_of(expr: str) -> str:
+    return significant(f"stddev_samp(CAST({expr} AS DOUBLE))")
 
 
 P = DEFAULT
@@ -80,7 +91,7 @@ cte("quotes_monthly", ["quotes_clean"], f"""
          {rnd("m")} AS precio_promedio_usd, {rnd("mn")} AS precio_minimo_usd, {rnd("mx")} AS precio_maximo_usd,
          dias, {rnd("mx - mn")} AS variacion_usd_mensual,
          {rnd("(mx - mn) / nullif(mn, 0) * 100.0")} AS variacion_porcentual_usd
-  FROM (SELECT strftime(fecha, '%Y-%m') AS indice_tiempo, {mean_exact("venta")} AS m,
+  FROM (SELECT strftime(fecha, '%Y-%m') AS indice_tiempo, {mean_of("venta")} AS m,
                min(venta) AS mn, max(venta) AS mx, count(venta) AS dias
         FROM quotes_clean GROUP BY 1)""")
 
@@ -90,11 +101,11 @@ cte("interest_clean", [], f"""
 
 cte("interest_monthly", ["interest_clean"], f"""
   SELECT g.*, CAST(coalesce(g.interes_google_promedio > (SELECT quantile_cont(interes_google_promedio, 0.5)
-                                FROM (SELECT {rnd(mean_exact("interes_google"), 1)} AS interes_google_promedio
+                                FROM (SELECT {rnd(mean_of("interes_google"), 1)} AS interes_google_promedio
                                       FROM interest_clean GROUP BY strftime(fecha, '%Y-%m'))), false) AS INTEGER)
               AS interes_alto
   FROM (SELECT strftime(fecha, '%Y-%m') AS indice_tiempo,
-               {rnd(mean_exact("interes_google"), 1)} AS interes_google_promedio,
+               {rnd(mean_of("interes_google"), 1)} AS interes_google_promedio,
                max(interes_google) AS interes_google_max, min(interes_google) AS interes_google_min,
                count(interes_google) AS registros
         FROM interest_clean GROUP BY 1) g""")

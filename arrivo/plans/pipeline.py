@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from arrivo.operators import assemble, clean
 from arrivo.sources import catalog as cat
 from arrivo.sources import fixtures as fx
+from arrivo.sources.catalog import input_state
 
 
 @dataclass(frozen=True)
@@ -72,29 +73,23 @@ def final(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
 _WRITTEN: dict[tuple, DataFrame] = {}
 
 
-def curated(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    """The curated table as the analyses read it: built by ``final`` once per application and written
-    to the shared checkpoint folder (the reference writes its final table once per run and its notebooks
-    and dashboard read that file).  Analysis queries start from here; pipeline queries use ``final``.
+def written_once(spark: SparkSession, sf_dir: str, name: str, build, *more) -> DataFrame:
+    """Write ``build()`` to the shared folder once per application, name and state of the input; later calls read it.
+
+    The state is the number, size and last change of the input files, so a
+    changed input under the same path is built anew.
     """
     from arrivo.session import materialize
 
-    key = (spark.sparkContext.applicationId, sf_dir, p, "curated")
-    df = _WRITTEN.get(key)
-    if df is None:
-        df = materialize(final(spark, sf_dir, p), "curated")
-        _WRITTEN[key] = df
-    return df
-
+    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), name, more)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = materialize(build(), re.sub(r"[^A-Za-z0-9]+", "_", name)[:40])
+    return _WRITTEN[key]
 
-def written_once(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Write ``build()`` once per application and key to the shared folder; later calls read it."""
-    from arrivo.session import materialize
 
-    k = (spark.sparkContext.applicationId, *key)
-    df = _WRITTEN.get(k)
-    if df is None:
-        name = re.sub(r"[^A-Za-z0-9]+", "_", str(key[-1]))[:40] or "t"
-        df = materialize(build(), name)
-        _WRITTEN[k] = df
-    return df
+def curated(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    """The curated table as the analyses read it: built by ``final`` once and written
+    to the shared checkpoint folder (the reference writes its final table once per run and its notebooks
+    and dashboard read that file).  Analysis queries start from here; pipeline queries use ``final``.
+    """
+    return written_once(spark, sf_dir, "curated", lambda: final(spark, sf_dir, p), p)

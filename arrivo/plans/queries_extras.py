@@ -8,7 +8,7 @@ from arrivo.operators import assemble, extras, quality
 from arrivo.plans import oracle as O
 from arrivo.plans import pipeline as pl
 from arrivo.plans.queries import query
-from arrivo.plans.queries_sources import _checks
+from arrivo.plans.queries_sources import _CHECKS_SQL, MIN_ROWS, _checks
 from arrivo.sources import fixtures as fx
 
 POINTS = list(fx.QUARTERLY_SOURCES) + list(fx.MONTHLY_SOURCES)
@@ -17,7 +17,7 @@ POINTS = list(fx.QUARTERLY_SOURCES) + list(fx.MONTHLY_SOURCES)
 @query("quote_volatility", O.with_(["quotes_clean"], f"""
 SELECT indice_tiempo, dias, {O.rnd("s", 4)} AS precio_std, {O.rnd("s / nullif(m, 0) * 100.0", 4)} AS volatilidad_pct,
        CASE WHEN {O.rnd("s / nullif(m, 0) * 100.0", 4)} > 5.0 THEN 'volatil' ELSE 'estable' END AS periodo
-FROM (SELECT strftime(fecha, '%Y-%m') AS indice_tiempo, {O.mean_exact("venta")} AS m, stddev_samp(venta) AS s,
+FROM (SELECT strftime(fecha, '%Y-%m') AS indice_tiempo, {O.mean_of("venta")} AS m, stddev_samp(venta) AS s,
              count(venta) AS dias FROM quotes_clean GROUP BY 1)"""))
 def q_quote_volatility(spark, d):
     """Monthly quote std, volatility percent and class at 5.0."""
@@ -94,8 +94,8 @@ SELECT d.casa, d.dia, {O.rnd("d.precio", 4)} AS precio, d.precio >= 10.0 AND d.p
        {O.rnd("(d.precio - p.precio) / nullif(p.precio, 0) * 100.0", 4)} AS cambio_pct,
        coalesce(abs({O.rnd("(d.precio - p.precio) / nullif(p.precio, 0) * 100.0", 4)}) <= 50.0, true) AS cambio_ok,
        date_diff('day', l.ultimo, DATE '{pl.DEFAULT.run_ts[:10]}') <= 7 AS reciente
-FROM (SELECT casa, CAST(fecha AS DATE) AS dia, {O.mean_exact("venta")} AS precio FROM quotes_clean GROUP BY 1, 2) d
-LEFT JOIN (SELECT casa, CAST(fecha AS DATE) + 1 AS dia, {O.mean_exact("venta")} AS precio FROM quotes_clean GROUP BY 1, 2) p
+FROM (SELECT casa, CAST(fecha AS DATE) AS dia, {O.mean_of("venta")} AS precio FROM quotes_clean GROUP BY 1, 2) d
+LEFT JOIN (SELECT casa, CAST(fecha AS DATE) + 1 AS dia, {O.mean_of("venta")} AS precio FROM quotes_clean GROUP BY 1, 2) p
   USING (casa, dia)
 JOIN (SELECT casa, max(CAST(fecha AS DATE)) AS ultimo FROM quotes_clean GROUP BY 1) l USING (casa)"""))
 def q_price_rules(spark, d):
@@ -114,11 +114,17 @@ def q_month_gaps(spark, d):
     return extras.month_gaps(pl.fact(spark, d))
 
 
-@query("run_metrics")
+@query("run_metrics", O.with_extra(["final", "fact"], _CHECKS_SQL + """,
+pairs AS (SELECT DISTINCT punto_entrada, indice_tiempo FROM fact),
+span AS (SELECT date_diff('month', CAST(min(indice_tiempo) || '-01' AS DATE), CAST(max(indice_tiempo) || '-01' AS DATE)) + 1 AS n FROM fact)""", f"""
+SELECT (SELECT success_rate FROM ready) AS success_rate,
+       (SELECT {O.rnd("count(precio_promedio_usd) * 100.0 / count(*)")} FROM final) AS cobertura_precio_pct,
+       (SELECT {O.rnd("count(interes_google_promedio) * 100.0 / count(*)")} FROM final) AS cobertura_interes_pct,
+       (SELECT {O.rnd("count(*) * 100.0 / (any_value(n) * count(DISTINCT punto_entrada))")} FROM pairs, span) AS completitud_pct"""))
 def q_run_metrics(spark, d):
-    """Success rate, side-table coverage and month completeness in one row (rows-only: uses file sizes)."""
+    """Success rate, side-table coverage and month completeness in one row."""
     c = _checks(spark, d)
-    ready = quality.readiness(c, quality.issues(c))
+    ready = quality.readiness(c, quality.issues(c, MIN_ROWS))
     fact = pl.fact(spark, d)
     return extras.run_metrics(ready, assemble.join_coverage(pl.final(spark, d)), extras.month_gaps(fact), fact)
 
@@ -148,7 +154,7 @@ def q_incremental_landing(spark, d):
     root = f"{checkpoint_dir(spark).rstrip('/')}/arrivo-landing-{uuid.uuid4().hex}"
     src = fx.table(spark, d, "orders")
     for run in ("r1", "r2"):
-        land_new_files(spark, d, src.schema, f"{root}/sink", f"{root}/ckpt", run, file_glob="orders.parquet")
+        land_new_files(spark, f"{d}/orders.parquet", src.schema, f"{root}/sink", f"{root}/ckpt", run)
     landed = spark.read.parquet(f"{root}/sink")
     return landed.groupBy(F.col("run_date").cast("string").alias("run_date")).agg(
         F.count(F.lit(1)).alias("records"), F.count_distinct("o_orderkey").alias("orders"))

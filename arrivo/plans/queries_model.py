@@ -10,6 +10,7 @@ from arrivo.operators import model as MO
 from arrivo.plans import oracle as O
 from arrivo.plans import pipeline as pl
 from arrivo.plans.queries import query
+from arrivo.sources.catalog import input_state
 from arrivo.plans.queries_reports import FINAL_NUMERIC
 from arrivo.session import checkpoint_dir
 
@@ -27,7 +28,7 @@ def model_table(spark, d):
     from arrivo.operators.clean import drop_all_null_columns, drop_zero_target
 
     # C20 (columns null in every row are dropped), C21 (zero-target rows removed), then W5/M1/M9
-    return pl.written_once(spark, (d, "model_table"),
+    return pl.written_once(spark, d, "model_table",
                            lambda: FE.with_split(drop_zero_target(drop_all_null_columns(pl.curated(spark, d)))))
 
 
@@ -144,25 +145,27 @@ def q_nonfinite_check(spark, d):
 _FITTED: dict = {}
 
 
-def _summary(spark, d, kind, params=None):
-    """Fit ``kind`` on the train rows (always) and keep the fitted pipeline for this run."""
+def _fit_key(spark, d, kind, params):
     import json
 
+    return spark.sparkContext.applicationId, d, input_state(spark, d), kind, json.dumps(params, sort_keys=True)
+
+
+def _summary(spark, d, kind, params=None):
+    """Fit ``kind`` on the train rows (always) and keep the fitted pipeline for this run."""
     t = model_table(spark, d)
     num, cat = feature_lists(t)
     model, pred, summ = MO.evaluate(t, num, cat, kind, params)
-    _FITTED[(spark.sparkContext.applicationId, d, kind, json.dumps(params, sort_keys=True))] = (model, pred, summ)
+    _FITTED[_fit_key(spark, d, kind, params)] = (model, pred, summ)
     return t, pred, summ
 
 
 def _fitted(spark, d, kind, params=None):
     """The pipeline fitted earlier in this run (the reference fits once, then evaluates and scores); fit if none."""
-    import json
-
-    got = _FITTED.get((spark.sparkContext.applicationId, d, kind, json.dumps(params, sort_keys=True)))
+    got = _FITTED.get(_fit_key(spark, d, kind, params))
     if got is None:
         _summary(spark, d, kind, params)
-        got = _FITTED[(spark.sparkContext.applicationId, d, kind, json.dumps(params, sort_keys=True))]
+        got = _FITTED[_fit_key(spark, d, kind, params)]
     return got
 
 

@@ -80,7 +80,7 @@ def q_top8_origins(spark, d):
 
 
 @query("seasonality", O.with_(["final"], f"""
-SELECT pais_origen, mes, {O.mean_exact("turistas")} AS turistas_promedio
+SELECT pais_origen, mes, {O.mean_of("turistas")} AS turistas_promedio
 FROM final WHERE turistas > 0 GROUP BY 1, 2"""))
 def q_seasonality(spark, d):
     """Mean visitors per (origin, calendar month), every origin at once."""
@@ -93,7 +93,7 @@ SELECT pais_origen,
        arg_min(mes, struct_pack(a := turistas_promedio, b := mes)) AS mes_bajo, min(turistas_promedio) AS turistas_bajo,
        {O.rnd("avg(turistas_promedio)", 6)} AS promedio,
        {O.rnd("(max(turistas_promedio) - min(turistas_promedio)) / nullif(min(turistas_promedio), 0) * 100.0")} AS variacion_pct
-FROM (SELECT pais_origen, mes, {O.mean_exact("turistas")} AS turistas_promedio
+FROM (SELECT pais_origen, mes, {O.mean_of("turistas")} AS turistas_promedio
       FROM final WHERE turistas > 0 GROUP BY 1, 2) GROUP BY 1"""))
 def q_season_peak(spark, d):
     """best/worst month per origin (ties: earliest month), spread percent, mean of monthly means."""
@@ -130,7 +130,7 @@ def q_distincts(spark, d):
 
 @query("source_summary", O.with_(["std"], f"""
 SELECT src, count(*) AS filas, CAST(sum(turistas) AS BIGINT) AS turistas_total, min(turistas) AS turistas_min,
-       max(turistas) AS turistas_max, {O.mean_exact("turistas")} AS turistas_promedio,
+       max(turistas) AS turistas_max, {O.mean_of("turistas")} AS turistas_promedio,
        min(punto_entrada) AS punto_entrada, min(fecha_std) AS desde, max(fecha_std) AS hasta
 FROM std GROUP BY 1"""))
 def q_source_summary(spark, d):
@@ -140,9 +140,9 @@ def q_source_summary(spark, d):
 
 @query("date_range", O.with_(["quotes_monthly"], f"""
 SELECT min(indice_tiempo) AS desde, max(indice_tiempo) AS hasta, count(*) AS filas,
-       {O.rnd(O.mean_exact("precio_promedio_usd"))} AS precio_promedio_usd_promedio,
+       {O.rnd(O.mean_of("precio_promedio_usd"))} AS precio_promedio_usd_promedio,
        {O.rnd("quantile_cont(precio_promedio_usd, 0.5)", 6)} AS precio_promedio_usd_mediana,
-       {O.rnd(O.mean_exact("variacion_usd_mensual"))} AS variacion_usd_mensual_promedio,
+       {O.rnd(O.mean_of("variacion_usd_mensual"))} AS variacion_usd_mensual_promedio,
        {O.rnd("quantile_cont(variacion_usd_mensual, 0.5)", 6)} AS variacion_usd_mensual_mediana,
        min(indice_tiempo) || ' - ' || max(indice_tiempo) AS rango
 FROM quotes_monthly"""))
@@ -189,17 +189,9 @@ def _casted(cols):
     return ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in cols)
 
 
-def _std_sql(v: str = "v", scale: int = 2) -> str:
-    x = f"CAST({v} AS DECIMAL(38,{scale}))"
-    n = f"CAST(count({v}) AS DOUBLE)"
-    s1 = f"CAST(sum({x}) AS DOUBLE)"
-    s2 = f"CAST(sum({x} * {x}) AS DOUBLE)"
-    return f"sqrt(greatest(({s2} - {s1} * {s1} / {n}) / nullif({n} - 1.0, 0.0), 0.0))"
-
-
 @query("describe", O.with_(["final"], f"""
-SELECT columna, count(v) AS count, {O.rnd(O.mean_exact("v", 2), 6)} AS mean,
-       {O.rnd(_std_sql(), 6)} AS std, min(v) AS min,
+SELECT columna, count(v) AS count, {O.rnd(O.mean_of("v"), 6)} AS mean,
+       {O.rnd(O.std_of("v"), 6)} AS std, min(v) AS min,
        {O.rnd("quantile_cont(v, 0.25)", 6)} AS q25, {O.rnd("quantile_cont(v, 0.5)", 6)} AS q50,
        {O.rnd("quantile_cont(v, 0.75)", 6)} AS q75, max(v) AS max
 FROM (SELECT {_casted(FINAL_NUMERIC)} FROM final) UNPIVOT INCLUDE NULLS (v FOR columna IN (COLUMNS(*)))
@@ -213,8 +205,8 @@ def q_describe(spark, d):
 SELECT media, mediana, desviacion, minimo, maximo, maximo - minimo AS rango, cv_pct,
        CASE WHEN cv_pct > 100 THEN 'alta' WHEN cv_pct > 50 THEN 'moderada' ELSE 'baja' END AS variabilidad
 FROM (SELECT *, {O.rnd("desviacion / nullif(media, 0) * 100.0")} AS cv_pct FROM (
-  SELECT {O.mean_exact("turistas", 2)} AS media, quantile_cont(CAST(turistas AS DOUBLE), 0.5) AS mediana,
-         {O.rnd(_std_sql("turistas"), 6)} AS desviacion,
+  SELECT {O.mean_of("turistas")} AS media, quantile_cont(CAST(turistas AS DOUBLE), 0.5) AS mediana,
+         {O.rnd(O.std_of("turistas"), 6)} AS desviacion,
          CAST(min(turistas) AS DOUBLE) AS minimo, CAST(max(turistas) AS DOUBLE) AS maximo FROM final))"""))
 def q_target_profile(spark, d):
     """Q-2: target statistics, coefficient of variation and its band."""
@@ -265,7 +257,7 @@ FROM (SELECT count(*) AS n FROM documents d LEFT JOIN labels l USING (doc_id)
 def q_duplicates(spark, d):
     """Q-5: exact duplicate rows (all columns but the id) of the labelled documents, whole texts compared."""
     docs = fx.table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    q = docs.join(fx.table(spark, d, "labels"), "doc_id", "left").drop("doc_id")
+    q = profile.with_digests(docs, ["text"]).join(fx.table(spark, d, "labels"), "doc_id", "left").drop("doc_id")
     return profile.duplicates(q)
 
 

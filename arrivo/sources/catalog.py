@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,19 +37,6 @@ DEFAULTS = {
     "min_rows_per_table": 3,
 }
 
-# The reference's arrival sources, their period and entry point.
-REFERENCE_SOURCES = [
-    ("eti_aeropuerto", "trimestral", "Aeropuerto Mendoza"),
-    ("eti_cristo_redentor", "trimestral", "Paso Cristo Redentor"),
-    ("eti_ezeiza_aeroparque", "mensual", "Aeropuerto Buenos Aires"),
-    ("eti_cordoba_aeropuerto", "trimestral", "Aeropuerto Córdoba"),
-    ("eti_puerto_buenos_aires", "trimestral", "Puerto Buenos Aires"),
-]
-
-
-# A catalogue is configuration; past this many sources it is joined like data.
-MAX_BROADCAST_SOURCES = 10_000
-
 
 @dataclass
 class SourceSpec:
@@ -64,10 +54,8 @@ class SourceSpec:
 def catalog(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
     """The catalogue as a DataFrame with defaults filled; disabled or path-less sources dropped.
 
-    Built as a SQL ``VALUES`` relation (no Python-to-JVM data transfer); its
-    row count is known on the driver (``len(specs)``), so it is marked for
-    broadcast when under the bound: a driver-built table has no file size
-    statistics and would otherwise be shuffle-joined against the data.
+    Built as a SQL ``VALUES`` relation (no Python-to-JVM data transfer), whose
+    exact size Spark knows when it chooses the join.
     """
     def sql_lit(v, t) -> str:
         if v is None:
@@ -82,8 +70,6 @@ def catalog(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
     rows = ["(" + ", ".join(sql_lit(getattr(s, f.name), f.dataType) for f in fields) + ")" for s in specs]
     names = ", ".join(f.name for f in fields)
     df = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({names})")
-    if len(rows) <= MAX_BROADCAST_SOURCES:
-        df = F.broadcast(df)
     return df.select(
         "src",
         F.coalesce("dataset_name", "src").alias("dataset_name"),
@@ -115,25 +101,46 @@ def read_json(spark: SparkSession, path, schema: T.StructType | str | None = Non
 
 
 def read_first(spark: SparkSession, paths: list[str], reader=None) -> DataFrame:
-    """The first path that exists (full table, then sample); same schema expected."""
+    """The first path that exists (full table, then sample); same schema expected.
+
+    Only a missing path leads on to the next one; any other error is raised.
+    """
     reader = reader or (lambda p: spark.read.parquet(p))
-    last = None
     for p in paths:
         try:
             return reader(p)
-        except Exception as e:  # noqa: BLE001 - missing path is the expected case
-            last = e
-    raise FileNotFoundError(f"none of {paths} could be read: {last}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    raise FileNotFoundError(f"none of {paths} exists")
 
 
 # ---------------------------------------------------------------- manifest
 
-def file_sizes(spark: SparkSession, glob: str) -> DataFrame:
-    """Landed files with their byte size, from the binary-file source (contents not read)."""
-    return (
-        spark.read.format("binaryFile").load(glob)
-        .select(F.col("path"), F.col("length").alias("size"))
-    )
+def file_sizes(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
+    """Landed tables under the folder ``root``: name, path, size in bytes and number of files.
+
+    A table is one file or a folder of part files right under ``root``; sizes
+    come from the binary-file source (contents not read).
+    """
+    root = root.rstrip("/")
+    entry = F.regexp_extract("path", f".*/{re.escape(root.rsplit('/', 1)[-1])}/([^/]+)", 1)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+             .load(root).select(entry.alias("entry"), "length"))
+    return files.groupBy("entry").agg(F.sum("length").alias("size"), F.count(F.lit(1)).alias("files")).select(
+        base_name(F.col("entry")).alias("name"), F.concat(F.lit(f"{root}/"), "entry").alias("path"), "size", "files")
+
+
+def input_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Number, total size and last change of the files under ``path`` (a listing, nothing is read)."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(conf).listFiles(root, True)
+    n = size = changed = 0
+    while files.hasNext():
+        f = files.next()
+        n, size, changed = n + 1, size + f.getLen(), max(changed, f.getModificationTime())
+    return n, size, changed
 
 
 def base_name(path_col) -> F.Column:
@@ -146,11 +153,11 @@ def landing_manifest(files: DataFrame, cat: DataFrame) -> DataFrame:
 
     A landed file at least ``min_bytes`` long is ``cached`` (already landed, no
     new download needed); a shorter one is ``downloaded_small``; none is
-    ``error``.  ``files`` has ``path, size``; a file belongs to the source whose
-    ``dataset_name`` equals its base name (an equi-join, so any number of files
-    is joined by hash, never pair by pair).
+    ``error``.  ``files`` is as from ``file_sizes``; a table belongs to the
+    source whose ``dataset_name`` equals its name (an equi-join, so any number
+    of tables is joined by hash, never pair by pair).
     """
-    f = files.select(F.col("path").alias("file_path"), "size", base_name(F.col("path")).alias("dataset_name"))
+    f = files.select(F.col("path").alias("file_path"), "size", F.col("name").alias("dataset_name"))
     joined = cat.drop("path").join(f, "dataset_name", "left")
     status = (
         F.when(F.col("file_path").isNull(), F.lit("error"))
