@@ -14,10 +14,12 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from arrivo.functions import mean_of
 from arrivo.operators.features import TARGET, preprocessing
 from arrivo.session import materialize
 
@@ -53,6 +55,7 @@ SEARCH_DRAWS = {"forest": 40, "boosting": 50, "ridge": 30}
 MAX_DEPTH_CAP = 30  # Spark trees stop at depth 30; "no limit" maps here
 RATIO_BANDS = [(1.2, "excelente"), (1.5, "buena"), (2.5, "overfitting moderado")]
 RATIO_BANDS_FINAL = [(1.1, "excelente"), (1.3, "muy bueno"), (1.5, "bueno"), (2.5, "moderado")]
+RATIO_BANDS_TUNED = [(1.5, "excelente"), (2.0, "buena")]
 R2_BANDS = [(0.9, "EXCELENTE"), (0.7, "MUY BUENO"), (0.5, "BUENO"), (0.3, "REGULAR")]
 REL_ERROR_BANDS = [(30.0, "bajo"), (50.0, "moderado")]
 KEEP_RATIO = 2.0
@@ -85,7 +88,8 @@ def regressor(kind: str, params: dict | None, train: DataFrame | None = None, la
     to ``minInstancesPerNode`` (``min_samples_split`` has no Spark equivalent;
     a split needs two children of ``minInstancesPerNode`` rows, so
     ``ceil(min_samples_split / 2)`` is used as the lower bound), ``max_samples`` /
-    ``subsample`` to ``subsamplingRate``; depth is capped at 30.
+    ``subsample`` to ``subsamplingRate``; no depth limit means Spark's limit of
+    30, a larger depth is refused.
     """
     p = dict(params or {})
     if kind == "ridge":
@@ -97,7 +101,9 @@ def regressor(kind: str, params: dict | None, train: DataFrame | None = None, la
                                 standardization=False, solver=solver, maxIter=int(p.get("max_iter", 100)))
     leaf = max(int(p.get("min_samples_leaf", 1)), -(-int(p.get("min_samples_split", 2)) // 2))
     depth = p.get("max_depth")
-    depth = MAX_DEPTH_CAP if depth is None else min(int(depth), MAX_DEPTH_CAP)
+    if depth is not None and int(depth) > MAX_DEPTH_CAP:
+        raise ValueError(f"Spark trees stop at depth {MAX_DEPTH_CAP}")
+    depth = MAX_DEPTH_CAP if depth is None else int(depth)
     if kind == "forest":
         return RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=int(p.get("n_estimators", 100)),
                                      maxDepth=depth, minInstancesPerNode=leaf,
@@ -133,6 +139,32 @@ def fit(train: DataFrame, numeric: list[str], categorical: list[str], kind: str,
     return Pipeline(stages=stages).fit(train)
 
 
+def mean_predictor(df: DataFrame, keys: list[str], rows: DataFrame | None = None, label: str = TARGET) -> DataFrame:
+    """``rows`` (default ``df``) with ``prediction``: the train mean per keys, the overall train mean for unseen keys."""
+    train = df.filter(F.col("split") == "train")
+    overall = train.agg(mean_of(label)).scalar()
+    rows = df if rows is None else rows
+    if not keys:
+        return rows.withColumn("prediction", overall)
+    means = train.groupBy(*keys).agg(mean_of(label).alias("_mean"))
+    return rows.join(means, keys, "left").withColumn("prediction", F.coalesce("_mean", overall)).drop("_mean")
+
+
+def normal_equations(model: PipelineModel, train: DataFrame, alpha: float = RIDGE_ALPHA, label: str = TARGET) -> DataFrame:
+    """How many equations the fitted ridge has, and whether all hold: ``X'r = alpha w`` and ``sum(r) = 0``.
+
+    The weights are read on the driver (one per feature); each side's size is
+    taken from the sum of absolute terms, so the check has no unit.
+    """
+    w = [*model.stages[-1].coefficients.toArray().tolist(), 0.0]
+    x = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+    rows = model.transform(train).select(F.posexplode(x).alias("j", "x"), (F.col(label) - F.col("prediction")).alias("r"))
+    sums = rows.groupBy("j").agg(F.sum(F.col("x") * F.col("r")).alias("s"), F.sum(F.abs(F.col("x") * F.col("r"))).alias("size"))
+    weight = F.element_at(F.array(*[F.lit(v) for v in w]), F.col("j") + 1) * F.lit(alpha)
+    holds = F.abs(F.col("s") - weight) <= F.lit(1e-6) * (F.col("size") + F.abs(weight) + F.lit(1e-12))
+    return sums.agg(F.count(F.lit(1)).alias("ecuaciones"), F.bool_and(holds).alias("todas_cumplidas"))
+
+
 # ---------------------------------------------------------------- M10, M11, M16 metrics
 
 def metrics(pred: DataFrame, by: str = "split", label: str = TARGET, prediction: str = "prediction") -> DataFrame:
@@ -183,6 +215,7 @@ def summary(pred: DataFrame, model_name: str) -> DataFrame:
     ).withColumns({
         "generalizacion": band("overfitting_ratio", RATIO_BANDS, "overfitting severo"),
         "diagnostico": band("overfitting_ratio", RATIO_BANDS_FINAL, "alto"),
+        "generalizacion_final": band("overfitting_ratio", RATIO_BANDS_TUNED, "overfitting moderado"),
         "r2_clase": r2_band("test_r2"),
         "error_clase": band("error_relativo_pct", REL_ERROR_BANDS, "alto"),
     })

@@ -80,8 +80,9 @@ def score(model, rows: DataFrame) -> DataFrame:
     return model.transform(rows)
 
 
-def rollup(scored: DataFrame, train_mean, train_max, rmse, origin_col: str = "pais_origen") -> DataFrame:
-    """M20 + M22 + M23 + M24: per-origin totals with share, rank, and the scenario's overall numbers.
+def rollup(scored: DataFrame, train_mean, train_max, rmse, origin_col: str = "pais_origen",
+           point_col: str = "punto_entrada", top: int = 5) -> DataFrame:
+    """M20 + M22 + M23 + M24: per-origin totals with share, rank, top, breakdown, and the scenario's overall numbers.
 
     Totals are grouped sums; the scenario total and origin count are scalar
     subqueries (one value each), the rank is a window over the per-origin
@@ -89,17 +90,21 @@ def rollup(scored: DataFrame, train_mean, train_max, rmse, origin_col: str = "pa
     """
     from pyspark.sql import Window
 
-    per = scored.groupBy(origin_col).agg(F.sum("prediction").alias("prediccion"),
-                                         F.count(F.lit(1)).alias("puntos"))
+    part = F.struct(F.col(point_col).alias("p"), F.rint("prediction").cast("long").alias("v"))
+    per = scored.groupBy(origin_col).agg(F.sum("prediction").alias("prediccion"), F.count(F.lit(1)).alias("puntos"),
+                                         F.sort_array(F.collect_list(part)).alias("_parts"))
+    rank = F.rank().over(Window.orderBy(F.col("prediccion").desc(), origin_col))
     total = scored.agg(F.sum("prediction")).scalar()
     n_orig = scored.agg(F.count_distinct(origin_col)).scalar()
     interval = F.lit(rmse) * F.sqrt(n_orig.cast("double"))
     return per.select(
         origin_col, "puntos", "prediccion",
         rint_round(F.col("prediccion") / total * F.lit(100.0), 1).alias("pct_total"),
-        F.rank().over(Window.orderBy(F.col("prediccion").desc(), origin_col)).alias("rank"),
+        rank.alias("rank"), (rank <= top).alias(f"top_{top}"),
+        F.array_join(F.transform("_parts", lambda x: F.concat(x["p"], F.lit(": "), x["v"].cast("string"))), ", ").alias("desglose"),
         total.alias("total"), (total / n_orig).alias("promedio_por_pais"),
         (F.try_divide(total - F.lit(train_mean), F.lit(train_mean)) * F.lit(100.0)).alias("vs_media_pct"),
+        (F.try_divide(total, F.lit(train_max)) * F.lit(100.0)).alias("pct_maximo"),
         demand_band(total, train_mean).alias("demanda"),
         F.greatest(F.lit(0.0), total - interval).alias("intervalo_inf"),
         (total + interval).alias("intervalo_sup"),

@@ -4,6 +4,7 @@ from arrivo.plans import queries as _core  # noqa: F401  (modules register on im
 from arrivo.plans import queries_reports as _reports  # noqa: F401
 from arrivo.plans import queries_sources as _sources  # noqa: F401
 from arrivo.plans import queries_model as _model  # noqa: F401
+from arrivo.plans import queries_evaluation as _evaluation  # noqa: F401
 from arrivo.plans import queries_extras as _extras  # noqa: F401
 from arrivo.plans.queries import ORACLE, QUERIES
 
