@@ -16,6 +16,8 @@ results; extra columns are not read by name and pass through in ``row``; an empt
 
 from __future__ import annotations
 
+import itertools
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField
 
-from arrivo.llm.common import BLANKS, col, map_texts, mix64, whole_row
+from arrivo.llm.common import BLANKS, col, map_texts, mix64, stored, whole_row
 
 # Fixed values of the rules.
 SYMBOLS = "#*$%&|<>"
@@ -44,11 +46,11 @@ class Words:
 
 
 def split(texts: list[str | None]) -> Words:
-    known, codes, counts = {}, [], []
+    known, codes, counts = defaultdict(itertools.count().__next__), [], []
     for text in texts:
         words = text.encode().split() if text else []  # bytes split at exactly the six blanks
         counts.append(len(words))
-        codes.extend([known.setdefault(w, len(known)) for w in words])
+        codes.extend(map(known.__getitem__, words))
     counts = np.array(counts, dtype=np.int64)
     return Words(list(known), np.array(codes, dtype=np.int64), np.repeat(np.arange(len(counts)), counts), counts)
 
@@ -212,6 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 1500) -> tuple[np.nd
     known = known.withColumn("h", F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)))
     n = known.groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
     chosen = known.join(n, "quality").where(F.col("h") * F.col("n") < F.lit(fit_docs << 20)).select("doc_id", "quality", "h")
+    chosen = stored(chosen, "labelled-sample")  # a bounded table of known size, so no text is shuffled to meet it
     rows = docs.select("doc_id", "text").where("text is not null").join(chosen, "doc_id").select("h", "doc_id", "quality", "text")
 
     def train(batches):
