@@ -236,9 +236,9 @@ def cross_validate(train: DataFrame, numeric: list[str], categorical: list[str],
     """Contiguous k-fold CV of every parameter map; one row per map with RMSE mean/std and R2 mean.
 
     Each fold's pre-processing is fitted once on the fold's train rows and
-    reused by every parameter map; fits run in ``parallelism`` driver threads.
-    Fold metrics are one grouped aggregate over the union of the held-out
-    predictions.
+    reused by every parameter map; fits run in ``parallelism`` driver threads,
+    and each returns one row of metrics over its held-out rows. Maps that give
+    Spark the same estimator are fitted once and share their scores.
     """
     spark = train.sparkSession
     prepared = []
@@ -254,16 +254,16 @@ def cross_validate(train: DataFrame, numeric: list[str], categorical: list[str],
     def one(task):
         i, params, (f, tr_x, val_x, stats) = task
         m = regressor(kind, params, tr_x, stats=stats).fit(tr_x)
-        return m.transform(val_x).select(F.lit(i).alias("map_id"), F.lit(f).alias("fold"), F.col(TARGET), "prediction")
+        r = metrics(m.transform(val_x).withColumn("_all", F.lit(1)), by="_all").first()
+        return i, f, r["rmse"], r["r2"]
 
-    tasks = [(i, p, prep) for i, p in enumerate(param_maps) for prep in prepared]
+    same: dict[tuple, int] = {}  # first map of each estimator
+    first = [same.setdefault(effective(kind, p), i) for i, p in enumerate(param_maps)]
+    tasks = [(i, param_maps[i], prep) for i in same.values() for prep in prepared]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        preds = list(ex.map(one, tasks))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    per_fold = metrics(allp.withColumn("k", F.concat_ws(":", "map_id", "fold")), by="k") \
-        .withColumn("map_id", F.split_part("k", F.lit(":"), F.lit(1)).cast("int"))
+        fits = list(ex.map(one, tasks))
+    rows = [(k, f, rmse, r2) for k, i in enumerate(first) for j, f, rmse, r2 in fits if j == i]
+    per_fold = spark.createDataFrame(rows, "map_id int, fold int, rmse double, r2 double")
     agg = per_fold.groupBy("map_id").agg(F.avg("rmse").alias("cv_rmse"), F.stddev_pop("rmse").alias("cv_rmse_std"),
                                          F.avg("r2").alias("cv_r2"), F.count(F.lit(1)).alias("folds"))
     maps = spark.createDataFrame([(i, json.dumps(p, sort_keys=True)) for i, p in enumerate(param_maps)],
@@ -271,25 +271,41 @@ def cross_validate(train: DataFrame, numeric: list[str], categorical: list[str],
     return agg.join(maps, "map_id").select("map_id", "params", "folds", "cv_rmse", "cv_rmse_std", "cv_r2")
 
 
+def effective(kind: str, params: dict) -> tuple:
+    """What Spark's estimator gets for a parameter map: two maps with an equal result are the same model."""
+    est = regressor(kind, params, stats=(1, 1.0))
+    got = {p.name: v for p, v in est.extractParamMap().items()}
+    if kind == "ridge" and got["solver"] == "normal":
+        got.pop("maxIter", None)  # the closed form makes no iterations
+    return tuple(sorted((k, str(v)) for k, v in got.items()))
+
+
 def draw_params(kind: str, n: int | None = None, seed: int = 42) -> list[dict]:
-    """``n`` distinct parameter maps drawn from the model's search space with a fixed seed."""
+    """``n`` parameter maps from the model's search space with a fixed seed, distinct in what Spark gets.
+
+    All combinations are shuffled and taken in turn; fewer come back only if
+    the space holds fewer distinct estimators.
+    """
     space = SEARCH_SPACE[kind]
     n = SEARCH_DRAWS[kind] if n is None else n
     keys = sorted(space)
     total = 1
     for k in keys:
         total *= len(space[k])
-    rng = random.Random(seed)
+    order = random.Random(seed).sample(range(total), total)
     seen, out = set(), []
-    while len(out) < min(n, total):
-        pick = tuple(rng.randrange(len(space[k])) for k in keys)
-        if pick in seen:
-            continue
-        seen.add(pick)
-        p = {k: space[k][i] for k, i in zip(keys, pick)}
+    for number in order:
+        p = {}
+        for k in keys:
+            number, i = divmod(number, len(space[k]))
+            p[k] = space[k][i]
         if kind != "ridge":
             p["random_state"] = 42
-        out.append(p)
+        if (e := effective(kind, p)) not in seen:
+            seen.add(e)
+            out.append(p)
+        if len(out) == n:
+            break
     return out
 
 

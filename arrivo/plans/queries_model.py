@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from arrivo.functions import rint_round
@@ -189,15 +191,13 @@ def q_boosting_metrics(spark, d):
 
 @query("cross_validation")
 def q_cross_validation(spark, d):
-    """M9: 5-fold contiguous CV of the ridge model: RMSE mean/std, R2 mean (rows-only).
-
-    The forest and boosting CV is the same call with their kind
-    (``MO.cross_validate``); it is left out of the driver set for its run time.
-    """
+    """M9: 5-fold contiguous CV of the three models: RMSE mean/std, R2 mean (rows-only)."""
     t = model_table(spark, d)
     num, cat = feature_lists(t)
     train = t.filter(F.col("split") == "train")
-    return MO.cross_validate(train, num, cat, "ridge", [MO.DEFAULT_PARAMS["ridge"]]).withColumn("modelo", F.lit("ridge"))
+    return reduce(lambda a, b: a.unionByName(b), [
+        MO.cross_validate(train, num, cat, kind, [MO.DEFAULT_PARAMS[kind]]).withColumn("modelo", F.lit(kind))
+        for kind in ("ridge", "forest", "boosting")])
 
 
 @query("model_ranking")

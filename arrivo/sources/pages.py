@@ -13,8 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# An anchor with a double-quoted href, and its inner HTML (may span lines).
-ANCHOR = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+from arrivo.functions import strip_ws
+
+# An opening anchor tag with an href (double-quoted, single-quoted or bare) and what follows it up to its
+# closing tag, the next anchor or the end of the page.
+ANCHOR = (r"""(?is)<a\s[^>]*?(?<![\w-])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>"""
+          r"""(.*?)(?=</a\s*>|<a\s|\z)""")
+
+# Named HTML entities decoded in hrefs and texts (``&amp;`` is decoded last, numeric ones by rule).
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "iexcl": "¡", "iquest": "¿", "copy": "©", "reg": "®",
+    "middot": "·", "laquo": "«", "raquo": "»", "ndash": "–", "mdash": "—", "hellip": "…", "euro": "€", "deg": "°",
+    "ordm": "º", "ordf": "ª", "aacute": "á", "eacute": "é", "iacute": "í", "oacute": "ó", "uacute": "ú", "ntilde": "ñ",
+    "uuml": "ü", "Aacute": "Á", "Eacute": "É", "Iacute": "Í", "Oacute": "Ó", "Uacute": "Ú", "Ntilde": "Ñ", "Uuml": "Ü",
+    "agrave": "à", "egrave": "è", "ccedil": "ç", "ecirc": "ê", "ouml": "ö", "auml": "ä", "szlig": "ß",
+}
 
 # The reference's discovery parameters.
 TARGET_FILES = ["turistas_no_residentes_por_residencia_aeropuerto_mendoza",
@@ -29,22 +42,31 @@ DATA_SUFFIX = ".csv"
 
 
 def unescape(c: Column) -> Column:
-    """The five basic HTML entities, as a parser would decode them."""
+    """HTML entities as a parser would decode them: the named ones of ``ENTITIES``, decimal and hexadecimal ones."""
     out = c
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    for name, ch in ENTITIES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(ch))
+
+    def char(code: Column) -> Column:
+        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+    def decoded(text: Column, pattern: str, code) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+        return F.aggregate(found, text, lambda acc, m: F.replace(acc, m, char(code(F.regexp_extract(m, pattern, 1)))))
+
+    out = decoded(out, "&#([0-9]{1,7});", lambda m: m.cast("long"))
+    out = decoded(out, "&#[xX]([0-9a-fA-F]{1,6});", lambda m: F.conv(m, 16, 10).cast("long"))
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
 
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """All anchors of every page: ``page_id, url, pos, href, text`` (text without tags, stripped)."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), 1)
-    texts = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), 2)
-    z = pages.select("page_id", "url", F.posexplode(F.arrays_zip(hrefs.alias("h"), texts.alias("t"))).alias("pos", "a"))
+    """All anchors of every page: ``page_id, url, pos, href, text`` (text without tags, stripped). One pass over a page."""
+    found = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))
+    z = pages.select("page_id", "url", F.posexplode(found).alias("pos", "a"))
     return z.select(
         "page_id", "url", "pos",
-        unescape(F.col("a.h")).alias("href"),
-        F.trim(unescape(F.regexp_replace(F.col("a.t"), r"<[^>]*>", ""))).alias("text"),
+        unescape(F.regexp_replace(F.regexp_extract("a", ANCHOR, 1), r"""^["']|["']$""", "")).alias("href"),
+        strip_ws(unescape(F.regexp_replace(F.regexp_extract("a", ANCHOR, 2), r"<[^>]*>", ""))).alias("text"),
     )
 
 
@@ -75,10 +97,10 @@ def target_links(pages: DataFrame, targets=TARGET_FILES, suffix: str = DATA_SUFF
     match, the later one on the page wins (``max_by`` on the position).
     """
     ln = links(pages)
-    t = F.explode(F.array(*[F.lit(x) for x in targets])).alias("target")
-    hit = (F.lower("href").contains(F.col("target")) | F.lower("text").contains(F.col("target")))
     kept = F.col("href").startswith("http") | F.col("href").startswith("/")
-    m = ln.select("*", t).filter(hit & F.col("href").endswith(suffix) & kept)
+    low_h, low_t = F.lower("href"), F.lower("text")
+    hits = F.filter(F.array(*[F.lit(x) for x in targets]), lambda t: low_h.contains(t) | low_t.contains(t))
+    m = ln.filter(F.col("href").endswith(suffix) & kept).select("*", F.explode(hits).alias("target"))
     return m.groupBy("page_id", "target").agg(
         F.max_by(resolve(F.col("href"), F.col("url")), F.col("pos")).alias("link"),
         F.max("pos").alias("pos"),
@@ -95,11 +117,12 @@ def keyword_links(pages: DataFrame, keyword_sets=KEYWORD_SETS, suffix: str = DAT
     if exclude is not None:
         pages = pages.join(exclude.select("page_id").distinct(), "page_id", "left_anti")
     ln = links(pages)
-    sets = F.posexplode(F.array(*[F.array(*[F.lit(k) for k in ks]) for ks in keyword_sets])).alias("set_no", "kws")
     low_h, low_t = F.lower("href"), F.lower("text")
-    every = F.forall(F.col("kws"), lambda k: low_h.contains(k) | low_t.contains(k))
-    m = ln.filter(F.col("href").endswith(suffix)).select("*", sets).filter(every)
-    return m.groupBy("page_id", (F.col("set_no") + 1).alias("set_no")).agg(
+    hits = F.array_compact(F.array(*[
+        F.when(F.forall(F.array(*[F.lit(k) for k in ks]), lambda k: low_h.contains(k) | low_t.contains(k)), F.lit(i + 1))
+        for i, ks in enumerate(keyword_sets)]))
+    m = ln.filter(F.col("href").endswith(suffix)).select("*", F.explode(hits).alias("set_no"))
+    return m.groupBy("page_id", "set_no").agg(
         F.max_by(resolve(F.col("href"), F.col("url")), F.col("pos")).alias("link"),
         F.max("pos").alias("pos"),
     )

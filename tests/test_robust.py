@@ -129,3 +129,25 @@ def test_changed_input_under_one_path_is_read_anew(spark, tmp_path, sf):
     assert pl.written_once(spark, str(tmp_path), "n", build).first()[0] == 3
     spark.range(5).write.mode("append").parquet(path)
     assert pl.written_once(spark, str(tmp_path), "n", build).first()[0] == 8
+
+
+def test_links_of_any_quoting_and_entities(spark):
+    from arrivo.sources import pages
+
+    html = ("<a href=\"/one.csv\">One</a> <A class=x HREF='/dos.csv'>A&ntilde;o &oacute; &#243; &#xF1; &#8364;</A><a href=/tres.csv>3"
+            "<p>text</p><a data-href='/no' name=n>none</a><a href=\"/q?a=1&amp;b=2\"><b>&lt;4&gt;</b>\u00a0</a><a href='/last.csv'>open")
+    rows = pages.links(spark.createDataFrame([(1, "https://h.org/d/p", html)], "page_id int, url string, html string")).orderBy("pos").collect()
+    assert [(r.href, r.text) for r in rows] == [("/one.csv", "One"), ("/dos.csv", "A\u00f1o \u00f3 \u00f3 \u00f1 \u20ac"),
+                                                ("/tres.csv", "3text"), ("/q?a=1&b=2", "<4>"), ("/last.csv", "open")]
+    found = pages.target_links(spark.createDataFrame([(1, "https://h.org/d/p", html)], "page_id int, url string, html string"), ["a\u00f1o", "last"])
+    assert {(r.target, r.link) for r in found.collect()} == {("a\u00f1o", "https://h.org/dos.csv"), ("last", "https://h.org/last.csv")}
+
+
+def test_drawn_maps_differ_in_what_spark_gets(spark):
+    from arrivo.operators import model as MO
+
+    for kind, n in MO.SEARCH_DRAWS.items():
+        maps = MO.draw_params(kind)
+        assert len({MO.effective(kind, p) for p in maps}) == len(maps) == n
+    with pytest.raises(ValueError):
+        MO.regressor("forest", {"max_depth": 31})
