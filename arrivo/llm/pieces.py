@@ -18,7 +18,9 @@ columns pass through in ``row``; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,8 +37,13 @@ OUTSIDE, END = 0x110001, 0x110002  # no piece has these
 
 @dataclass
 class Vocabulary:
-    """Trie of pieces as sorted (node, character) keys; ``weight`` and ``data`` by piece id."""
+    """Trie of pieces; ``weight`` and ``data`` by piece id.
 
+    ``first`` leads from a character to a node; further steps are looked up by (node, character) in a hash
+    table with linear probing (``keys``, ``child``; -1: empty). ``piece`` is the piece that ends in a node, or -1.
+    """
+
+    first: np.ndarray
     keys: np.ndarray
     child: np.ndarray
     piece: np.ndarray
@@ -46,6 +53,10 @@ class Vocabulary:
     chunks: str
 
 
+def _slot(keys: np.ndarray, size: int) -> np.ndarray:
+    return (mix64(keys.astype(np.uint64)) & np.uint64(size - 1)).astype(np.int64)
+
+
 def load(path: str, alpha: float = 1.0) -> Vocabulary:
     """Read a SentencePiece model file with byte pieces."""
     import sentencepiece
@@ -81,34 +92,73 @@ def load(path: str, alpha: float = 1.0) -> Vocabulary:
                 piece.append(-1)
             node = edges[key]
         piece[node] = i
-    keys = np.array(sorted(edges), dtype=np.int64)
-    child = np.array([edges[k] for k in keys.tolist()], dtype=np.int64)
+    first = np.full(END + 1, -1, dtype=np.int32)
+    size = 1 << (8 * len(edges)).bit_length()
+    keys, child = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.int32)
+    for key, node in edges.items():
+        if key >> 21 == 0:
+            first[key] = node
+            continue
+        at = int(_slot(np.array([key]), size)[0])
+        while keys[at] >= 0:
+            at = (at + 1) % size
+        keys[at], child[at] = key, node
     used = {c for i in plain for c in names[i]}
     alone = "".join(c for c in "\n\t\r" if c not in used)
     chunks = (f"[{alone}]|" if alone else "") + f" *[^ {alone}]+| +"
-    return Vocabulary(keys, child, np.array(piece, dtype=np.int64), weight, byte_ids, data, chunks)
-
-
-def _edges(v: Vocabulary, cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All pieces in the characters, as (from, to, piece id); -1 where a character falls back to bytes."""
-    at, node = np.flatnonzero(cp != END), None
-    inner = at
-    alone = np.zeros(len(cp), dtype=bool)
-    out = []
-    length = 0
-    while len(at):
-        key = cp[at + length] if node is None else node << 21 | cp[at + length]
-        i = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
-        hit = v.keys[i] == key
-        at, node = at[hit], v.child[i[hit]]
+    return Vocabulary(first, keys, child, np.array(piece, dtype=np.int32), weight, byte_ids, data, chunks)
+
+
+def _step(v: Vocabulary, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+    """The nodes after one more character, -1 where the trie has none."""
+    key = node.astype(np.int64) << 21 | char
+    at = _slot(key, len(v.keys))
+    out = np.full(len(key), -1, dtype=np.int32)
+    open_ = np.arange(len(key))
+    while len(open_):
+        there = v.keys[at]
+        hit = there == key
+        out[open_[hit]] = v.child[at[hit]]
+        on = ~hit & (there >= 0)  # another key sits here: look at the next place
+        open_, key, at = open_[on], key[on], (at[on] + 1) & (len(v.keys) - 1)
+    return out
+
+
+def _edges(v: Vocabulary, cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All pieces in the characters, ordered by the node they lead to, then by length.
+
+    (edges into each node, where a node's edges start, from, piece id; -1 where a character falls back to bytes).
+    """
+    inner = np.flatnonzero(cp != END)
+    at, node = inner, v.first[cp[inner]]
+    found = []
+    length = 1
+    while True:
+        at, node = at[node >= 0], node[node >= 0]
+        if not len(at):
+            break
+        piece = v.piece[node]
+        own = piece >= 0
+        found.append((at[own], length, piece[own]))
+        node = _step(v, node, cp[at + length])
         length += 1
-        found = v.piece[node] >= 0
-        out.append((at[found], at[found] + length, v.piece[node][found]))
-        if length == 1:
-            alone[at[found]] = True
+    alone = np.zeros(len(cp), dtype=bool)
+    if found:
+        alone[found[0][0]] = True
     rest = inner[~alone[inner]]
-    out.append((rest, rest + 1, np.full(len(rest), -1)))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    found.insert(0, (rest, 1, np.full(len(rest), -1, dtype=np.int32)))
+    degree = np.zeros(len(cp), dtype=np.int32)
+    ranks = []
+    for begin, length, _ in found:  # a node has at most one edge of each length and kind
+        ranks.append(degree[begin + length])
+        degree[begin + length] += 1
+    head = np.cumsum(degree) - degree
+    start = np.empty(int(degree.sum()), dtype=np.int32)
+    ids = np.empty(len(start), dtype=np.int32)
+    for (begin, length, piece), rank in zip(found, ranks, strict=True):
+        to = head[begin + length] + rank
+        start[to], ids[to] = begin, piece
+    return degree, head, start, ids
 
 
 def _byte_lengths(cp: np.ndarray) -> np.ndarray:
@@ -118,11 +168,11 @@ def _byte_lengths(cp: np.ndarray) -> np.ndarray:
 def sample(v: Vocabulary, texts: list[str], keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts, one after the other, and the number of each text."""
     cut = re.compile(v.chunks).findall
-    known, codes, counts = {}, [], []
+    known, codes, counts = defaultdict(itertools.count().__next__), [], []
     for text in texts:
         found = cut(" " + text) if text else []
         counts.append(len(found))
-        codes.extend([known.setdefault(c, len(known)) for c in found])
+        codes.extend(map(known.__getitem__, found))
     if not codes:
         return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
     codes, counts = np.array(codes, dtype=np.int64), np.array(counts, dtype=np.int64)
@@ -134,63 +184,69 @@ def sample(v: Vocabulary, texts: list[str], keys: np.ndarray, seed: int) -> tupl
     raw = np.frombuffer("\n".join([*known, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
     cp = np.where(raw == BLANK, OUTSIDE, np.where(raw == 0x20, BLANK, raw))
     cp[ends] = END
-    a, b, piece = _edges(v, cp)
+    degree, head, begin, piece = _edges(v, cp)
     weight = np.where(piece >= 0, v.weight[piece], 0.0)
-    back = piece < 0
-    weight[back] = v.weight.min() * _byte_lengths(raw[a[back]])
+    back = np.flatnonzero(piece < 0)
+    weight[back] = v.weight.min() * _byte_lengths(raw[begin[back]])
     offset = np.arange(len(cp)) - np.repeat(starts, sizes + 1)
-    order = np.lexsort((b, offset[b]))
-    a, b, piece, weight = a[order], b[order], piece[order], weight[order]
 
     # Forward: log of the summed weights up to each node, all chunks step by step together.
     forward = np.full(len(cp), -np.inf)
     forward[starts] = 0.0
-    bounds = np.searchsorted(offset[b], np.arange(1, sizes.max() + 2))
+    most = int(sizes.max())
+    nodes = np.argsort(offset.astype(np.int16) if most < 1 << 15 else offset, kind="stable")
+    bounds = np.searchsorted(offset[nodes], np.arange(1, most + 2))
     for x, y in zip(bounds[:-1], bounds[1:], strict=True):
-        value, to = forward[a[x:y]] + weight[x:y], b[x:y]
-        head = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
-        top = np.maximum.reduceat(value, head)
-        rest = np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.append(head, y - x)))), head)
-        forward[to[head]] = top + np.log(rest)
+        to = nodes[x:y]
+        many = degree[to]
+        first = np.cumsum(many) - many
+        at = np.arange(int(many.sum())) + np.repeat(head[to] - first, many)
+        value = forward[begin[at]] + weight[at]
+        top = np.maximum.reduceat(value, first)
+        forward[to] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, many)), first))
 
     # Distribution over the edges into each node, as integers so that no batch changes a comparison.
-    order = np.argsort(b, kind="stable")
-    a, b, piece, weight = a[order], b[order], piece[order], weight[order]
-    share = np.exp(forward[a] + weight - forward[b])
-    head = np.append(True, b[1:] != b[:-1])
-    place = np.arange(len(b)) - np.maximum.accumulate(np.where(head, np.arange(len(b)), 0))
-    for k in range(1, int(place.max()) + 1):
-        at = np.flatnonzero(place == k)
-        share[at] += share[at - 1]
+    into = np.repeat(np.arange(len(cp)), degree)
+    share = np.exp(forward[begin] + weight - forward[into])
+    last = head + degree - 1
+    k = 1
+    own = head[degree > k]
+    while len(own):
+        share[own + k] += share[own + k - 1]
+        k += 1
+        own = head[degree > k]
     limit = np.minimum((share * 2.0**32).astype(np.int64), 0xFFFFFFFF)
-    limit[np.append(head[1:], True)] = 0xFFFFFFFF
-    table = b << 32 | limit
+    limit[last[degree > 0]] = 0xFFFFFFFF
+    table = into << 32 | limit
+    del into, share, limit, weight, forward, nodes
 
     # Backward: all occurrences draw their last piece, then the one before it, until their chunk's start.
     doc = np.repeat(np.arange(len(texts)), counts)
     nth = np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)
     stream = mix64(mix64(keys.astype(np.int64).view(np.uint64) + np.uint64(seed))[doc] + nth.astype(np.uint64))
-    live, node, first = np.arange(len(codes)), ends[codes], starts[codes]
+    live = np.argsort(codes, kind="stable")  # equal chunks side by side: near lookups, the draws stay the same
+    node, first = ends[codes[live]], starts[codes[live]]
     drawn = np.zeros(len(codes), dtype=np.int64)
-    steps = []
-    k = 0
+    steps, k = [], 0
     while len(live):
         u = (mix64(stream[live] + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(32)).astype(np.int64)
-        e = np.searchsorted(table, node << 32 | u)
+        e = np.searchsorted(table, node << 32 | u).astype(np.int32)
         steps.append((live, e))
         drawn[live] += 1
-        node = a[e]
+        node = begin[e].astype(np.int64)
         more = node > first
         live, node, first = live[more], node[more], first[more]
         k += 1
+    del table, stream
     until = np.cumsum(drawn)
-    edge = np.empty(int(until[-1]), dtype=np.int64)
+    edge = np.empty(int(until[-1]), dtype=np.int32)
     for k, (at, e) in enumerate(steps):
         edge[until[at] - 1 - k] = e
+    del steps
     ids = piece[edge]
     per_chunk = drawn
     if (ids < 0).any():  # bytes instead of a piece
-        char = raw[a[edge]]
+        char = raw[begin[edge]]
         times = np.where(ids < 0, _byte_lengths(char), 1)
         wide = np.repeat(ids, times)
         lost = np.flatnonzero(ids < 0)
@@ -236,7 +292,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
     def run(batches):
         decoder = Decoder(vocabulary)
         for batch in batches:
-            for part in in_bytes(batch, n + 1, 4 << 20):
+            for part in in_bytes(batch, n + 1, 2 << 20):
                 texts = part.column(n + 1).to_pylist()
                 ids, counts = sample(vocabulary, texts, part.column(n).to_numpy(), seed)
                 back = decoder.texts(ids, counts)
