@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivo.functions import clean_text, num_of, number_or_zero, rint_round, safe_number, strip_ws, ts_of
+from arrivo.functions import clean_text, num_of, rint_round, strip_ws, ts_of
 from arrivo.operators.calendar import expand_by_frequency
 
 # Column-name keywords that identify each role in a raw file.
@@ -21,20 +22,6 @@ INTEREST_DATE_NAMES = ["fecha", "date", "fecha_std"]
 INTEREST_VALUE_NAMES = ["interes_google", "interes", "interest", "value"]
 
 
-# A configuration table joined to data is broadcast only below this many rows.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a configuration table after checking its row count; beyond the bound, a plain join.
-
-    Meant for driver-built tables (catalogue, rules): they carry no size
-    statistics, so Spark would otherwise plan a shuffle join against data.
-    The count is one tiny job over configuration, never over data.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 # ---------------------------------------------------------------- C1-C5 roles
 
 @dataclass(frozen=True)
@@ -54,6 +41,11 @@ ARRIVAL_ROLES = (
 )
 
 
+# Feeds whose columns go by listed names only (C4).
+QUOTE_ROLES = (Role("fecha", exact=tuple(QUOTE_DATE_NAMES)), Role("venta", exact=tuple(QUOTE_PRICE_NAMES)))
+INTEREST_ROLES = (Role("fecha", exact=tuple(INTEREST_DATE_NAMES)), Role("interes_google", exact=tuple(INTEREST_VALUE_NAMES)))
+
+
 def resolve_role(columns: list[str], role: Role) -> str | None:
     """Pick the column for one role from the names alone (driver metadata, no job)."""
     exact = [c for c in columns if c.lower() in role.exact]
@@ -80,6 +72,22 @@ def to_roles(df: DataFrame, roles=ARRIVAL_ROLES, keep=("src",)) -> DataFrame | N
     return df.select(*[c for c in keep if c in df.columns], *[F.col(v).alias(k) for k, v in found.items()])
 
 
+def union_by_roles(sources: dict[str, DataFrame], roles=ARRIVAL_ROLES, keep=("src",)) -> tuple[DataFrame, dict[str, list[str]]]:
+    """U1 + C5: the sources projected onto their roles and concatenated; a source that lacks a role is skipped.
+
+    Also returns the roles that each skipped source lacks.
+    """
+    found, skipped = [], {}
+    for name, df in sources.items():
+        if missing := resolve_roles(df.columns, roles)[1]:
+            skipped[name] = missing
+        else:
+            found.append(to_roles(df, roles, keep))
+    if not found:
+        raise ValueError(f"no source has all roles: {skipped}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found), skipped
+
+
 # ---------------------------------------------------------------- C6-C13 standardise
 
 def standardise_arrivals(raw: DataFrame, cat: DataFrame, start: str = "2014-01-01") -> DataFrame:
@@ -109,11 +117,6 @@ def standardise_arrivals(raw: DataFrame, cat: DataFrame, start: str = "2014-01-0
     return out.select("src", "indice_tiempo", "fecha_std", "pais_origen", "punto_entrada", "turistas")
 
 
-def coerce_number_column(c, drop_bad: bool = False) -> Column:
-    """To number; bad to 0 and truncated (C10), or NULL for a later filter (C11)."""
-    return safe_number(c) if drop_bad else number_or_zero(c)
-
-
 # ---------------------------------------------------------------- C14-C16 side feeds
 
 def clean_quotes(q: DataFrame, house_word: str = "oficial", start: str = "2014-01-01",
@@ -216,13 +219,6 @@ def map_category(c, rules: dict) -> Column:
     return strip_ws(F.coalesce(F.element_at(_rule_map(rules), s), s))
 
 
-def category_counts(df: DataFrame, col: str) -> DataFrame:
-    """Value, count and percent of all rows (total from a one-row aggregate, broadcast)."""
-    counts = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.select("value", "n", rint_round(F.col("n") / total * F.lit(100.0), 2).alias("pct"))
-
-
 def category_report(df: DataFrame, col: str, rules: dict) -> DataFrame:
     """Value counts before and after the rules, with the rule hit per raw value.
 
@@ -320,3 +316,8 @@ def scatter_pairs(df: DataFrame, x: str, y: str, group: str | None = None, group
         F.count(F.lit(1)).alias("n"),
         F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("corr"),
     )
+
+
+def scatter_rows(df: DataFrame, x: str, y: str, group: str) -> DataFrame:
+    """The pairs themselves, with their group."""
+    return df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y, group)

@@ -38,10 +38,7 @@ def fixture_catalog(spark: SparkSession) -> DataFrame:
 
 def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed arrivals projected onto their roles."""
-    out = clean.to_roles(fx.landed_arrivals(spark, sf_dir))
-    if out is None:
-        raise ValueError("landed arrivals lack a period, visitors or country column")
-    return out
+    return clean.union_by_roles({"landed": fx.landed_arrivals(spark, sf_dir)})[0]
 
 
 def standardised(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:

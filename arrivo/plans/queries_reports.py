@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from arrivo.operators import assemble, profile, reports
+from arrivo.operators import assemble, clean, profile, reports
 from arrivo.plans import oracle as O
 from arrivo.plans import pipeline as pl
 from arrivo.plans.queries import query
@@ -58,7 +58,7 @@ SELECT pais_origen, "año", CAST(sum(turistas) AS BIGINT) AS turistas FROM final
 WHERE pais_origen IN {_IN(SELECTED)} GROUP BY 1, 2"""))
 def q_yearly_selected(spark, d):
     """A9 + C22: yearly visitors of chosen origins, one grouped query for all of them."""
-    f = pl.curated(spark, d).filter(F.col("pais_origen").isin(*SELECTED))
+    f = clean.filter_values(pl.curated(spark, d), "pais_origen", SELECTED)
     return reports.totals_by(f, ["pais_origen", "año"])
 
 
@@ -67,7 +67,7 @@ SELECT mes, pais_origen, CAST(sum(turistas) AS BIGINT) AS turistas FROM final
 WHERE pais_origen IN {_IN(PAIR)} GROUP BY 1, 2"""))
 def q_month_by_origin(spark, d):
     """A10: visitors by (month, origin) for two chosen origins."""
-    f = pl.curated(spark, d).filter(F.col("pais_origen").isin(*PAIR))
+    f = clean.filter_values(pl.curated(spark, d), "pais_origen", PAIR)
     return reports.totals_by(f, ["mes", "pais_origen"])
 
 
