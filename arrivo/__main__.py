@@ -46,9 +46,11 @@ def main() -> None:
     ap.add_argument("--csv", action="store_true", help="write CSV (';' for the final table) instead of parquet")
     args = ap.parse_args()
     from arrivo import get_spark
+    from arrivo.session import remove_scratch
 
     spark = get_spark()
     print(run(spark, args.sf_dir, args.out, args.run_date, args.csv))
+    remove_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -146,12 +146,10 @@ def q_incremental_landing(spark, d):
 
     Returns the landed table's records per run date (read back from the sink).
     """
-    import uuid
-
-    from arrivo.session import checkpoint_dir
+    from arrivo.session import scratch_path
     from arrivo.streaming import land_new_files
 
-    root = f"{checkpoint_dir(spark).rstrip('/')}/arrivo-landing-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "landing")
     src = fx.table(spark, d, "orders")
     for run in ("r1", "r2"):
         land_new_files(spark, f"{d}/orders.parquet", src.schema, f"{root}/sink", f"{root}/ckpt", run)

@@ -14,7 +14,7 @@ from arrivo.plans import pipeline as pl
 from arrivo.plans.queries import query
 from arrivo.sources.catalog import input_state
 from arrivo.plans.queries_reports import FINAL_NUMERIC
-from arrivo.session import checkpoint_dir
+from arrivo.session import scratch_path
 
 KEYS = ["indice_tiempo", "pais_origen", "punto_entrada"]
 NUMERIC = [c for c in FINAL_NUMERIC if c != "turistas"]
@@ -237,12 +237,10 @@ def q_drift_alert(spark, d):
 @query("model_roundtrip")
 def q_model_roundtrip(spark, d):
     """S20 + M18: save the fitted pipeline with metadata, load it back, score the test rows (rows-only)."""
-    import uuid
-
     t = model_table(spark, d)
     num, cat = feature_lists(t)
     model, pred, summ = MO.evaluate(t, num, cat, "ridge")
-    path = f"{checkpoint_dir(spark).rstrip('/')}/arrivo-model-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "model")
     MO.save(model, path, summ)
     loaded, meta = MO.load(spark, path)
     again = loaded.transform(t.filter(F.col("split") == "test")).select(*KEYS, F.col("prediction").alias("p2"))

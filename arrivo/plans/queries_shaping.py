@@ -3,15 +3,13 @@ C19, C24, C26, D7, Q-10, S1, S3, U1, W4)."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from arrivo.operators import assemble, clean
 from arrivo.plans import oracle as O
 from arrivo.plans import pipeline as pl
 from arrivo.plans.queries import query
-from arrivo.session import checkpoint_dir
+from arrivo.session import scratch_path
 from arrivo.sources import catalog
 from arrivo.sources import fixtures as fx
 
@@ -148,7 +146,7 @@ def q_zero_examples(spark, d):
 def q_csv_comma_roundtrip(spark, d):
     """The monthly quotes as comma CSV, read back with their schema."""
     df = pl.quotes_monthly(spark, d).select("indice_tiempo", "precio_promedio_usd", "dias")
-    path = f"{checkpoint_dir(spark).rstrip('/')}/arrivo-comma-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "comma")
     catalog.write_sorted(df, path, keys=("indice_tiempo",), fmt="csv", sep=",")
     return catalog.read_csv(spark, path, schema=df.schema, sep=",")
 
@@ -157,7 +155,7 @@ def q_csv_comma_roundtrip(spark, d):
 def q_json_list_roundtrip(spark, d):
     """S3: one JSON document holding a list of records (a month table, bounded by the calendar), read back as rows."""
     df = pl.quotes_monthly(spark, d).select("indice_tiempo", "precio_promedio_usd", "dias")
-    path = f"{checkpoint_dir(spark).rstrip('/')}/arrivo-list-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "list")
     df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")).coalesce(1).write.text(path)
     return catalog.read_json(spark, path, schema=df.schema)
 

@@ -58,15 +58,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="arrivo-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # noqa: BLE001 - a core setting may be read-only at run time
-            pass
+        spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder, remembered for ``remove_scratch``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/arrivo-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this application made; for the end of a run, when no result reads them any more."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
+
+
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Compute ``df`` once into a parquet table in the shared checkpoint folder and read it back.
 
@@ -78,6 +95,6 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     planned from measured statistics.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/arrivo-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
