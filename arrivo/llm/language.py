@@ -16,14 +16,16 @@ get equal results; extra columns pass through in ``row``; an empty table gives a
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from arrivo.llm.common import col, map_texts, mix64, stored, whole_row
 
@@ -84,7 +86,7 @@ def fit(docs: DataFrame, lang: Column, text: Column, usable: Column, key: Column
     """
     rows = docs.where(usable & lang.isNotNull() & text.isNotNull()).select(
         lang.alias("lang"), text.alias("text"), F.pmod(F.xxhash64(key, F.lit("fit")), F.lit(1 << 20)).alias("h"))
-    n = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    n = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")  # small, so no text is shuffled to meet it
     sample = rows.join(n, "lang").where(F.col("h") * F.col("n") < F.lit(fit_docs << 20))
 
     def count(batches):
@@ -185,7 +187,7 @@ def _labeller(model: Model, penalty: float, spans: bool):
     count = max(1, len(langs))
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        known, codes, lengths, begins = {}, [], [], []
+        known, codes, lengths, begins = defaultdict(itertools.count().__next__), [], [], []
         for text in texts.to_pylist():
             if spans:
                 found = list(LETTERS.finditer(text or "")) if langs else []
@@ -194,7 +196,7 @@ def _labeller(model: Model, penalty: float, spans: bool):
             else:
                 found = LETTERS.findall(text) if text and langs else []
             lengths.append(len(found))
-            codes.extend([known.setdefault(w, len(known)) for w in found])
+            codes.extend(map(known.__getitem__, found))
         lengths = np.array(lengths, dtype=np.int64)
         codes = np.array(codes, dtype=np.int64)
         words = list(known)
