@@ -115,7 +115,9 @@ def _splitter():
 class Encoder:
     """Ids of texts by the tokenizers library; ``cache`` bounds the words remembered."""
 
-    def __init__(self, path: str, cache: int = 400_000):
+    JOINED = 50  # words encoded in one call
+
+    def __init__(self, path: str, cache: int = 350_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -129,29 +131,52 @@ class Encoder:
         self.split = _splitter().findall
         self.other = re.compile("[^\\x00-\\u024f]").search
         self.cache, self.known = cache, {}
+        # bytes of each id: a byte-level vocabulary has one character per byte
+        self.size = np.zeros(max(model["vocab"].values()) + 1, dtype=np.int64) if self.by_words else None
+        if self.by_words:
+            for piece, i in model["vocab"].items():
+                self.size[i] = len(piece)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        out = []
-        for text in texts:
-            if self.by_words and not self.other(text) and not any(s in text for s in self.special):
-                words = self.split(text)
-                try:
-                    out.append(b"".join([self.known[w] for w in words]))
-                except KeyError:
-                    self._learn(words)
-                    out.append(b"".join([self.known[w] for w in words]))
-            else:
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes())
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) > self.cache:
-            self.known.clear()
-        new = list({w for w in words if w not in self.known})
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = e.ids
-            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
+        words = [self.split(t) if self.by_words and not self.other(t) and not any(s in t for s in self.special) else None for t in texts]
+        used = set().union(*(w for w in words if w))
+        if len(self.known) + len(used) > self.cache:  # go on with the words of these texts only
+            self.known = {w: self.known[w] for w in used if w in self.known}
+        self._learn(used.difference(self.known))
+        known = self.known.__getitem__
+        return [self._whole(t) if w is None else b"".join(map(known, w)) for t, w in zip(texts, words, strict=True)]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, new: set[str]) -> None:
+        """Encode new words, many at a time: a line break after each keeps them apart, and the ids' byte
+        lengths tell where each word ends. Words of blanks only are encoded alone."""
+        alone = [w for w in new if w.isspace()]
+        self.known.update((w, self._whole(w)) for w in alone)
+        new = list(new.difference(alone))
+        groups = [new[k:k + self.JOINED] for k in range(0, len(new), self.JOINED)]
+        for k in range(0, len(groups), 32):
+            texts = ["\n".join(g) + "\n" for g in groups[k:k + 32]]
+            for group, text, e in zip(groups[k:k + 32], texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, dtype="<u4")
+                ends = np.cumsum([len(w) + 1 for w in (group if text.isascii() else [w.encode() for w in group])])
+                at = np.searchsorted(np.cumsum(self.size[ids]), ends)  # the line break after each word
+                data, begin = ids.tobytes(), 0
+                for w, to in zip(group, (4 * at).tolist(), strict=True):
+                    self.known[w] = data[begin:to]
+                    begin = to + 4
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder per Python worker: its words are kept from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -164,7 +189,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
     end = struct.pack("<I", end_id)
 
     def run(batches):
-        encoder = Encoder(tokenizer)
+        encode = encoder(tokenizer).ids
         part, seq = TaskContext.get().partitionId(), 0
         ids, counts, data, size = [], [], [], 0
 
@@ -176,8 +201,8 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
                                   ("counts", pa.list_(pa.int64())), ("tokens", pa.int64()), ("payload", pa.binary())]))
 
         for batch in batches:
-            for piece in in_bytes(batch, 1, 1 << 20):
-                for doc, got in zip(piece.column(0).to_pylist(), encoder.ids(piece.column(1).to_pylist()), strict=True):
+            for piece in in_bytes(batch, 1, 2 << 20):
+                for doc, got in zip(piece.column(0).to_pylist(), encode(piece.column(1).to_pylist()), strict=True):
                     ids.append(doc)
                     counts.append(len(got) // 4 + 1)
                     data.append(got)
