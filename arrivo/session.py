@@ -57,8 +57,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="arrivo-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = tempfile.mkdtemp(prefix="arrivo-ckpt-")  # found again through the context's checkpoint folder
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
