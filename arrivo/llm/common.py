@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from arrivo.session import checkpoint_dir
+from arrivo.session import scratch_path
 
 #: Fixed value: the characters that part words (blank, and tab to carriage return).
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -24,7 +23,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all machines share."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, f"llm-{name}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
