@@ -188,21 +188,14 @@ def correlation_columns(df: DataFrame, cols: list[str] | None = None, drop=("int
 
     A column is dropped when it is constant (``min == max``), has fewer than
     two values (its correlations are all NaN) or is listed in ``drop``.  One
-    aggregate row of 4 numbers per column is read on the driver: its size is
-    the column count, not the row count.
+    row of numbers per column is read on the driver: their number is the
+    column count, not the row count.
     """
     cols = [c for c in (cols or numeric_columns(df)) if c not in drop]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = _q(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.avg(x).alias(f"m{i}")]
-    row = df.agg(*aggs).first()
-    keep, means = [], []
-    for i, c in enumerate(cols):
-        if row[f"n{i}"] >= 2 and row[f"lo{i}"] != row[f"hi{i}"]:
-            keep.append(c)
-            means.append(row[f"m{i}"])
-    return keep, means
+    stats = to_long(df, cols).groupBy("columna").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.avg("v").alias("m"), F.count("v").alias("n"))
+    found = {r["columna"]: r["m"] for r in stats.collect() if r["n"] >= 2 and r["lo"] != r["hi"]}
+    keep = [c for c in cols if c in found]
+    return keep, [found[c] for c in keep]
 
 
 def correlation_exclusions(df: DataFrame, cols: list[str] | None = None, drop=("interes_alto",)) -> DataFrame:
