@@ -110,15 +110,35 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_files(_table(spark, sf_dir, "documents"), _vocabulary_file("byte_bpe_50k.json"))
 
 
+#: Fixed value of the query: what both turns of the made conversation say.
+SAID = "</s>[INST] ok [/INST]"
+
+
 @query
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 8 over all conversations and one made conversation, read back from the formatted table."""
-    said = "</s>[INST] ok [/INST]"
-    made = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    made = spark.createDataFrame([(-1, 0, "user", SAID), (-1, 1, "assistant", SAID)], "conv_id bigint, turn bigint, role string, text string")
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(made)
     return chat.chat_digests(rows)
 
 
+# The twin counts the formatted text by its parts: the opening, and per turn the mark, the role, two line breaks around
+# the text, a backslash per control string, and the end. Roles are plain names in this table.
+_IN_ORDER = "ORDER BY turn NULLS FIRST, role NULLS FIRST, text"
+ORACLE["op8_chat"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '{SAID}'), (-1, 1, 'assistant', '{SAID}')) made(conv_id, turn, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' {_IN_ORDER})) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' {_IN_ORDER}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST({len(chat.BEGIN)} + sum({len(chat.TURN) + 1 + len(chat.TAIL)} + length(role) + length(text)
+            + len(regexp_extract_all(text, '{chat.ANY_RE2}'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 over all documents: sources weigh 5, 2, 1, repeating, and share 150% of all words."""

@@ -117,7 +117,7 @@ class Encoder:
 
     JOINED = 50  # words encoded in one call
 
-    def __init__(self, path: str, cache: int = 350_000):
+    def __init__(self, path: str, cache: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

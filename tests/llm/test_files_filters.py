@@ -243,6 +243,10 @@ def test_chats_against_plain_version(spark, sf):
     assert got[-1][2] == len(said)
 
 
+def test_chats_twin(spark):
+    same_as_twin(queries.QUERIES["op8_chat"](spark, SF), queries.ORACLE["op8_chat"], SF)
+
+
 def test_chats_edges_and_long_conversation(spark, tmp_path):
     rows = [(1, k, "assistant" if k % 2 else "user", f"turn {k} <s> " * 20) for k in range(25_000)]
     rows += [(2, None, None, None), (2, 0, "user", "x"), (2, 0, "user", "x"), (None, 0, "assistant", "y" * 100_000), (3, 1, "weird\nrole", "")]
