@@ -25,10 +25,11 @@ from pyspark.sql.types import StringType, StructField
 from arrivo.llm.common import LOWER, UPPER, col, map_texts, whole_row
 
 # A small general vocabulary; callers may pass their own.
-STRICT = ["casino", "cheap-pills", "cialis", "escort", "hentai", "malware", "phishing", "porn", "porno", "spam-farm",
-          "viagra", "warez", "xxx"]
-SOFT = ["adult", "bet", "bonus", "cam", "cheap", "cracked", "dating", "discount", "free", "gambling", "hot", "jackpot",
-        "keygen", "loan", "nude", "pharmacy", "pills", "poker", "replica", "sex", "spam", "torrent", "win"]
+STRICT = ["adult", "casino", "casinos", "cheap-pills", "cialis", "escort", "escorts", "hentai", "malware", "phishing", "porn",
+          "porno", "spam-farm", "viagra", "warez", "xxx"]
+SOFT = ["ad", "ads", "bet", "bets", "betting", "bonus", "cam", "cams", "cheap", "click", "clicks", "cracked", "dating", "discount",
+        "farm", "free", "gambling", "hot", "jackpot", "keygen", "loan", "loans", "nude", "pharmacy", "pills", "poker", "popup",
+        "promo", "replica", "sex", "slots", "spam", "torrent", "track", "tracker", "tracking", "win", "winner"]
 
 DOWN = str.maketrans(UPPER, LOWER)
 REST = re.compile(r"([^/?#]*)([^?#]*)")
