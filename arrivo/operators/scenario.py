@@ -23,6 +23,12 @@ from arrivo.operators.profile import to_long
 # Demand bands relative to the train mean.
 DEMAND_BANDS = [(1.5, "Demanda Muy Alta"), (1.0, "Demanda Por Encima del Promedio"), (0.7, "Demanda Moderada")]
 LOW_DEMAND = "Demanda Baja"
+# Domains and constants used without a model's metadata and without history.
+DEFAULT_DOMAINS = {
+    "pais_origen": ["Brasil", "Chile", "EEUU, Canadá y México", "Europa y Resto del Mundo", "Paraguay", "Resto de América", "Uruguay"],
+    "punto_entrada": ["Aeropuerto Buenos Aires", "Aeropuerto Córdoba", "Aeropuerto Mendoza", "Paso Cristo Redentor", "Puerto Buenos Aires"],
+}
+DEFAULT_PRICE, DEFAULT_NUMBER, DEFAULT_CATEGORY = 850.0, 0.0, "Desconocido"
 CALENDAR_COLS = ["año", "mes", "es_enero", "es_febrero", "es_marzo", "es_abril", "es_mayo", "es_junio", "es_julio",
                  "es_agosto", "es_septiembre", "es_octubre", "es_noviembre", "es_diciembre",
                  "mes_vendimia", "vacaciones_invierno", "temporada_alta"]
@@ -43,22 +49,42 @@ def defaults(history: DataFrame, numeric: list[str], categorical: list[str]) ->
     return med.groupBy().pivot("columna", numeric).agg(F.first("m"))
 
 
-def grid(history: DataFrame, numeric: list[str], categorical: list[str], sc: Scenario,
-         origin_col: str = "pais_origen", point_col: str = "punto_entrada") -> DataFrame:
+def model_domains(train: DataFrame, cols=("pais_origen", "punto_entrada")) -> DataFrame:
+    """The sorted domains that a model was trained on, one row with an array per column (its metadata)."""
+    return train.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in cols])
+
+
+def constant(feature: str) -> float:
+    """The value of a numeric feature without a history table."""
+    return DEFAULT_PRICE if "precio" in feature.lower() or "usd" in feature.lower() else DEFAULT_NUMBER
+
+
+def grid(history: DataFrame | None, numeric: list[str], categorical: list[str], sc: Scenario,
+         origin_col: str = "pais_origen", point_col: str = "punto_entrada", metadata: DataFrame | None = None,
+         spark=None) -> DataFrame:
     """J5 + M19 + M25: the scenario rows, one per (origin, entry point) of the chosen domains.
 
-    Domains are the sorted distinct values of the history (scalar subqueries
-    over one aggregate); a fixed origin or point replaces its domain.  Only the
+    A domain comes from the model's ``metadata`` (``model_domains``), else from
+    the sorted distinct values of the history (scalar subqueries over one
+    aggregate), else from the defaults; a fixed origin or point replaces it.
+    Without a history (``spark`` given instead) features take constants.  Only the
     mean price follows the scenario (quirk Q7); calendar columns are rebuilt
     from the scenario month with the training calendar (quirk Q6 fixed).
     """
-    base = defaults(history, numeric, categorical)
-    dom_o = (F.array(F.lit(sc.origin)) if sc.origin is not None
-             else history.agg(F.sort_array(F.collect_set(origin_col))).scalar())
-    dom_p = (F.array(F.lit(sc.point)) if sc.point is not None
-             else history.agg(F.sort_array(F.collect_set(point_col))).scalar())
+    def domain(col: str, fixed: str | None):
+        if fixed is not None:
+            return F.array(F.lit(fixed))
+        if metadata is not None:
+            return metadata.select(col).scalar()
+        if history is not None:
+            return history.agg(F.sort_array(F.collect_set(col))).scalar()
+        return F.array(*[F.lit(v) for v in DEFAULT_DOMAINS[col]])
+
+    base = (defaults(history, numeric, categorical) if history is not None
+            else spark.range(1).select(*[F.lit(constant(c)).alias(c) for c in numeric]))
+    dom_o, dom_p = domain(origin_col, sc.origin), domain(point_col, sc.point)
     other_cat = [c for c in categorical if c not in (origin_col, point_col)]
-    modes = {c: history.agg(F.mode(F.col(c), True)).scalar() for c in other_cat}
+    modes = {c: history.agg(F.mode(F.col(c), True)).scalar() if history is not None else F.lit(DEFAULT_CATEGORY) for c in other_cat}
     g = base.select("*", F.explode(dom_o).alias(origin_col)).select("*", F.explode(dom_p).alias(point_col))
     g = g.withColumn("indice_tiempo", F.lit(f"{sc.year:04d}-{sc.month:02d}"))
     cal = dict(calendar_sql("indice_tiempo"))

@@ -291,6 +291,15 @@ def q_scenario_grid(spark, d):
     return SC.grid(_history(spark, d), NUMERIC, CATEGORICAL, SCENARIO)
 
 
+@query("scenario_domains", O.with_extra(["final"], _SPLIT_CTE, """
+SELECT pais_origen, punto_entrada FROM (SELECT DISTINCT pais_origen FROM ms2 WHERE split = 'train')
+CROSS JOIN (SELECT DISTINCT punto_entrada FROM ms2 WHERE split = 'train')"""))
+def q_scenario_domains(spark, d):
+    """The scenario pairs from the domains that a model was trained on (its metadata)."""
+    domains = SC.model_domains(model_table(spark, d).filter(F.col("split") == "train"))
+    return SC.grid(_history(spark, d), NUMERIC, CATEGORICAL, SCENARIO, metadata=domains).select("pais_origen", "punto_entrada")
+
+
 def _scored(spark, d, sc):
     t = model_table(spark, d)
     num, cat = feature_lists(t)

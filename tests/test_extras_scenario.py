@@ -52,3 +52,12 @@ def test_demand_band_and_interval(spark):
     r = {x["pais_origen"]: x for x in SC.rollup(scored, 20.0, 100.0, 5.0).collect()}
     assert r["a"]["prediccion"] == 40.0 and r["a"]["rank"] == 1 and r["a"]["pct_total"] == 66.7
     assert r["a"]["demanda"] == "Demanda Muy Alta" and abs(r["a"]["intervalo_inf"] - (60 - 5 * 2 ** 0.5)) < 1e-9
+
+
+def test_scenario_without_history_uses_defaults(spark):
+    from arrivo.operators import scenario as SC
+
+    rows = SC.grid(None, ["mes", "precio_promedio_usd", "variacion_usd_mensual", "dias"], ["pais_origen", "punto_entrada", "canal"],
+                   SC.Scenario(2025, 7, 900.0), spark=spark).collect()
+    assert len(rows) == 35 and {r.canal for r in rows} == {"Desconocido"}
+    assert {(r.mes, r.precio_promedio_usd, r.variacion_usd_mensual, r.dias) for r in rows} == {(7.0, 900.0, 850.0, 0.0)}
