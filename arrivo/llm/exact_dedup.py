@@ -50,6 +50,28 @@ def _run_stream(spark: SparkSession, intake: str, schema, state: str) -> DataFra
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+#: Words of 64 bits in the sieve of hit digests: a table of at most 2 MB at any size of the input.
+SIEVE = 1 << 17
+
+
+def _sieve(digest: Column) -> tuple[Column, Column]:
+    """Word and bit of a digest in the sieve."""
+    h = F.xxhash64(digest)
+    return F.pmod(h, F.lit(SIEVE)), F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _sifted(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """The rows whose digest may be among the hits: texts of all others need not be moved to find that out.
+
+    A bit per hit digest, gathered into a table of fixed size; the exact join follows.
+    """
+    word, bit = _sieve(F.col("digest"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    sieve = hits.select(word.alias("word"), one.alias("one")).groupBy("word").agg(F.bit_or("one").alias("bits"))
+    return (rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(sieve), "word")
+            .where(F.getbit("bits", F.col("bit")) == 1).drop("word", "bit", "bits"))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Column | None = None,
                 state_dir: str | None = None, contents: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: row (all its columns), doc_id, keep_id, group_size, kept, text_sha256.
@@ -78,8 +100,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # Full bytes of the hits: each text that shares a digest against the text that stays.
     hits = state.where("n > 1")
-    texts = stored(docs.select(key.alias("digest"), norm.alias("norm"), col(id_col).alias("id"), file.alias("file"),
-                               row.alias("row")).join(hits, "digest"), "dedup-hits")
+    located_texts = docs.select(key.alias("digest"), norm.alias("norm"), col(id_col).alias("id"), file.alias("file"), row.alias("row"))
+    texts = stored(_sifted(located_texts, hits).join(hits, "digest"), "dedup-hits")
     if contents is None:
         stays = texts.where("keep.file = file and keep.row = row").select("digest", F.col("norm").alias("kept_norm"))
     else:
