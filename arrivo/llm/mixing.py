@@ -105,5 +105,6 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken."""
     docs, file, row = located(docs)
     queue = stored(mix(docs, **options)[1].select(F.col("file").alias("q_file"), F.col("at").alias("q_at")), "taken")
-    joined = docs.join(queue, (file == queue["q_file"]) & (row == queue["q_at"]))
+    # the queue grows with the documents, and its compressed files look smaller than it is: no broadcast
+    joined = docs.join(queue.hint("merge"), (file == queue["q_file"]) & (row == queue["q_at"]))
     return joined.select([docs[f"`{c.replace('`', '``')}`"] for c in docs.columns])

@@ -90,7 +90,8 @@ def near_pairs(prints: DataFrame, max_bits: int = 2) -> DataFrame:
             probes.append(flipped(own, keys) if flips else keys(own))
     asked = prints.select(F.col("fp").alias("x"), F.explode(F.concat(*probes)).alias("key"))
     there = prints.select(F.col("fp").alias("y"), F.explode(F.concat(*table)).alias("key"))
-    return (asked.join(there, "key")
+    # both sides grow with the input; Spark takes an explode for as small as its input and might broadcast it
+    return (asked.join(there.hint("merge"), "key")
             .where((F.col("x") != F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= max_bits))
             .select("x", "y"))
 
