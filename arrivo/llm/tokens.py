@@ -17,11 +17,13 @@ identifier all stay, ordered by text; extra columns are not read; an empty table
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import struct
 import unicodedata
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +119,7 @@ class Encoder:
 
     JOINED = 50  # words encoded in one call
 
-    def __init__(self, path: str, cache: int = 1_000_000):
+    def __init__(self, path: str, cache: int = 1_300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -137,15 +139,34 @@ class Encoder:
             for piece, i in model["vocab"].items():
                 self.size[i] = len(piece)
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        words = [self.split(t) if self.by_words and not self.other(t) and not any(s in t for s in self.special) else None for t in texts]
-        used = set().union(*(w for w in words if w))
+    def ids(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the number of each text; ``end_id`` ends every text."""
+        index, flat, words_of = defaultdict(itertools.count().__next__), [], []
+        for text in texts:
+            by_words = self.by_words and (text.isascii() or not self.other(text)) and not any(s in text for s in self.special)
+            words = self.split(text) if by_words else [(text,)]  # a tuple: encoded whole
+            if end_id is not None:
+                words.append(None)
+            flat.extend(map(index.__getitem__, words))
+            words_of.append(len(words))
+        used = {w for w in index if isinstance(w, str)}
         if len(self.known) + len(used) > self.cache:  # go on with the words of these texts only
             self.known = {w: self.known[w] for w in used if w in self.known}
         self._learn(used.difference(self.known))
-        known = self.known.__getitem__
-        return [self._whole(t) if w is None else b"".join(map(known, w)) for t, w in zip(texts, words, strict=True)]
+        end = b"" if end_id is None else struct.pack("<I", end_id)
+        data = [self.known[w] if isinstance(w, str) else end if w is None else self._whole(w[0]) for w in index]
+
+        # each distinct word's ids once, then all occurrences by their places in them
+        table = np.frombuffer(b"".join(data), dtype="<u4")
+        sizes = np.array([len(x) // 4 for x in data], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        codes = np.array(flat, dtype=np.int64)
+        sizes_at = sizes[codes]
+        until = np.cumsum(sizes_at)
+        n = int(until[-1]) if len(until) else 0
+        ids = table[np.arange(n) + np.repeat(starts[codes] - (until - sizes_at), sizes_at)]
+        ends = np.concatenate([[0], until])[np.cumsum(words_of)] if texts else np.zeros(0, np.int64)
+        return ids, np.diff(ends, prepend=0)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -186,32 +207,32 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
     A segment ends with a document, so a longer document makes a longer segment.
     """
     rows = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    end = struct.pack("<I", end_id)
 
     def run(batches):
         encode = encoder(tokenizer).ids
         part, seq = TaskContext.get().partitionId(), 0
-        ids, counts, data, size = [], [], [], 0
+        docs, counts, data, size = [], [], [], 0
 
         def segment():
             return pa.RecordBatch.from_pylist(
-                [{"part": part, "seq": seq, "doc_ids": ids, "counts": counts, "tokens": size // 4,
-                  "payload": pack(np.frombuffer(b"".join(data), dtype="<u4"))}],
+                [{"part": part, "seq": seq, "doc_ids": docs, "counts": counts, "tokens": size, "payload": pack(np.concatenate(data))}],
                 schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
                                   ("counts", pa.list_(pa.int64())), ("tokens", pa.int64()), ("payload", pa.binary())]))
 
         for batch in batches:
-            for piece in in_bytes(batch, 1, 2 << 20):
-                for doc, got in zip(piece.column(0).to_pylist(), encode(piece.column(1).to_pylist()), strict=True):
-                    ids.append(doc)
-                    counts.append(len(got) // 4 + 1)
-                    data.append(got)
-                    data.append(end)
-                    size += len(got) + 4
-                    if size >= 4 * segment_tokens:
+            for piece in in_bytes(batch, 1, 4 << 20):
+                ids, own = encode(piece.column(1).to_pylist(), end_id)
+                at = 0
+                for doc, n in zip(piece.column(0).to_pylist(), own.tolist(), strict=True):
+                    docs.append(doc)
+                    counts.append(n)
+                    data.append(ids[at:at + n])
+                    at += n
+                    size += n
+                    if size >= segment_tokens:
                         yield segment()
-                        ids, counts, data, size, seq = [], [], [], 0, seq + 1
-        if ids:
+                        docs, counts, data, size, seq = [], [], [], 0, seq + 1
+        if docs:
             yield segment()
 
     (rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
