@@ -234,7 +234,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
         item = StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("lang", StringType())])
         fields.append(StructField("spans", ArrayType(item)))
     return map_texts(docs, [whole_row(docs).alias("row")], col(text_col), lambda: _labeller(model, penalty, spans),
-                     fields, limit=6 << 20)
+                     fields, limit=3 << 20)
 
 
 def held_out(id_col: Column) -> Column:

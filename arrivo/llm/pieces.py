@@ -292,7 +292,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
     def run(batches):
         decoder = Decoder(vocabulary)
         for batch in batches:
-            for part in in_bytes(batch, n + 1, 2 << 20):
+            for part in in_bytes(batch, n + 1, 3 << 19):
                 texts = part.column(n + 1).to_pylist()
                 ids, counts = sample(vocabulary, texts, part.column(n).to_numpy(), seed)
                 back = decoder.texts(ids, counts)
