@@ -29,7 +29,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, St
 
 from arrivo.llm.common import col, map_texts, mix64, stored, whole_row
 
-LETTERS = re.compile(r"[^\W\d_]{1,24}")
+LETTERS = re.compile(r"[^\W\d_]{1,24}")  # also takes number signs that are no letters (½, ①, Ⅳ); see words_of
 BUCKETS = 1 << 16
 
 # First code points of Unicode script blocks, each up to the next entry.
@@ -63,6 +63,28 @@ class Model:
     allowed: np.ndarray
 
 
+def _blanked(text: str, words: list[str]) -> str | None:
+    """``text`` with blanks for the number signs in its ``words``, or None if these are all letters (category L)."""
+    joined = "".join(words)
+    if not joined or joined.isalpha():
+        return None
+    return text.translate({ord(c): " " for c in set(joined) if not c.isalpha()})
+
+
+def words_of(text: str) -> list[str]:
+    """The words of ``text``: runs of letters."""
+    found = LETTERS.findall(text)
+    clean = _blanked(text, found)
+    return found if clean is None else LETTERS.findall(clean)
+
+
+def word_matches(text: str) -> list[re.Match]:
+    """``words_of`` with their places."""
+    found = list(LETTERS.finditer(text))
+    clean = _blanked(text, [m.group() for m in found])
+    return found if clean is None else list(LETTERS.finditer(clean))
+
+
 def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of all bigrams and trigrams of the lower-cased words, the word of each, the script of each word."""
     text = "\n" + "\n".join(words).lower() + "\n"
@@ -94,7 +116,7 @@ def fit(docs: DataFrame, lang: Column, text: Column, usable: Column, key: Column
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = {}
-                for w in LETTERS.findall(text):
+                for w in words_of(text):
                     found[w] = found.get(w, 0) + 1
                 if not found:
                     continue
@@ -190,11 +212,11 @@ def _labeller(model: Model, penalty: float, spans: bool):
         known, codes, lengths, begins = defaultdict(itertools.count().__next__), [], [], []
         for text in texts.to_pylist():
             if spans:
-                found = list(LETTERS.finditer(text or "")) if langs else []
+                found = word_matches(text or "") if langs else []
                 begins.extend(m.start() for m in found)
                 found = [m.group() for m in found]
             else:
-                found = LETTERS.findall(text) if text and langs else []
+                found = words_of(text) if text and langs else []
             lengths.append(len(found))
             codes.extend(map(known.__getitem__, found))
         lengths = np.array(lengths, dtype=np.int64)
