@@ -99,6 +99,12 @@ def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buckets.astype(np.int64), np.concatenate([word[:-1], word[1:-1][inner]]), script
 
 
+def _scripts(words: list[str]) -> np.ndarray:
+    """The script of each word, as ``_grams`` gives it."""
+    first = np.array([ord(w[0].lower()[0]) for w in words], dtype=np.int64)
+    return SCRIPT_OF_RANGE[np.searchsorted(SCRIPT_STARTS, first, side="right") - 1]
+
+
 def fit(docs: DataFrame, lang: Column, text: Column, usable: Column, key: Column, fit_docs: int = 4000,
         least_share: float = 0.002) -> Model:
     """Count grams and scripts per language over about ``fit_docs`` usable rows of each.
@@ -204,12 +210,12 @@ def viterbi(scores: np.ndarray, codes: np.ndarray, lengths: np.ndarray, penalty:
     return label[index]
 
 
-def _labeller(model: Model, penalty: float, spans: bool):
+def _labeller(model: Model, penalty: float, spans: bool, known: bool = False):
     langs = model.langs
     count = max(1, len(langs))
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        known, codes, lengths, begins = defaultdict(itertools.count().__next__), [], [], []
+        codes_of, codes, lengths, begins = defaultdict(itertools.count().__next__), [], [], []
         for text in texts.to_pylist():
             if spans:
                 found = word_matches(text or "") if langs else []
@@ -218,10 +224,10 @@ def _labeller(model: Model, penalty: float, spans: bool):
             else:
                 found = words_of(text) if text and langs else []
             lengths.append(len(found))
-            codes.extend(map(known.__getitem__, found))
+            codes.extend(map(codes_of.__getitem__, found))
         lengths = np.array(lengths, dtype=np.int64)
         codes = np.array(codes, dtype=np.int64)
-        words = list(known)
+        words = list(codes_of)
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         label = viterbi(word_scores(model, words), codes, lengths, penalty) if words else np.zeros(0, np.int16)
         doc = np.repeat(np.arange(len(lengths)), lengths)
@@ -243,19 +249,26 @@ def _labeller(model: Model, penalty: float, spans: bool):
                 [pa.array(begin[head].astype(np.int32)), pa.array(end[tail].astype(np.int32)),
                  pa.array([langs[k] for k in label[head]], pa.string())], names=["start", "end", "lang"])
             out.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), items))
+        if known:
+            own = np.bincount(doc, weights=(sizes * model.allowed[_scripts(words)].any(1))[codes] if words else None,
+                              minlength=len(lengths))
+            out.append(pa.array(np.where(total > 0, own / np.maximum(total, 1), 0.0)))
         return out
 
     return run
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 8.0,
-             spans: bool = True) -> DataFrame:
-    """row (all columns of ``docs``), lang_pred, score and, if asked for, spans (start, end in code points, lang)."""
+             spans: bool = True, known: bool = False) -> DataFrame:
+    """row (all columns of ``docs``), lang_pred, score and, if asked for, spans (start, end in code points, lang) and
+    known (the share of letters in words whose script a learned language uses)."""
     fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     if spans:
         item = StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("lang", StringType())])
         fields.append(StructField("spans", ArrayType(item)))
-    return map_texts(docs, [whole_row(docs).alias("row")], col(text_col), lambda: _labeller(model, penalty, spans),
+    if known:
+        fields.append(StructField("known", DoubleType()))
+    return map_texts(docs, [whole_row(docs).alias("row")], col(text_col), lambda: _labeller(model, penalty, spans, known),
                      fields, limit=3 << 20)
 
 
@@ -270,6 +283,9 @@ def fit_documents(docs: DataFrame, fit_docs: int = 4000) -> Model:
 
 
 def known_language(docs: DataFrame, fit_docs: int = 4000, least_score: float = 0.0) -> DataFrame:
-    """The rows with a language (not ``und``) of at least ``least_score``, with the columns of ``docs``."""
-    found = identify(docs, fit_documents(docs, fit_docs), spans=False)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select("row.*")
+    """The rows with a language (not ``und``) of at least ``least_score``, with the columns of ``docs``.
+
+    A text with most of its letters in scripts that no learned language uses has no known language.
+    """
+    found = identify(docs, fit_documents(docs, fit_docs), spans=False, known=True)
+    return found.where((F.col("lang_pred") != "und") & (F.col("known") >= 0.5) & (F.col("score") >= least_score)).select("row.*")

@@ -15,7 +15,7 @@ from arrivo.llm.common import stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter (language ``und``) go."""
+    """Documents without a letter (language ``und``) or mostly in scripts of no learned language go."""
     return language.known_language(docs)
 
 

@@ -1,6 +1,7 @@
 """Words are letters only, and the pipeline's language stage knows scripts."""
 
 import sys
+import zlib
 
 from helpers import documents
 from pyspark.sql import functions as F
@@ -30,3 +31,20 @@ def test_number_signs_are_no_language(spark, tmp_path):
     assert {r.row.doc_id: (r.lang_pred, r.score) for r in short} == {k: (r.lang_pred, r.score) for k, r in rows.items()}
     docs = documents(spark, tmp_path, [EN * 5, FR * 5] * 8 + t[:2], langs=["en", "fr"] * 8 + ["en"] * 2, name="stage")
     assert sorted(r.doc_id for r in language.known_language(docs).collect()) == list(range(16))
+
+
+def test_stage_rejects_texts_in_unlearned_scripts(spark, tmp_path):
+    han, kana, greek = "猫は" * 40, "ねこ " * 40, "γάτα " * 40
+    t = [EN * 5, FR * 5] * 200 + [han, kana, greek, EN + "字" * 5, han + "cat", "字 cat"]
+    docs = documents(spark, tmp_path, t, langs=["en", "fr"] * 200 + ["zh", "ja", "el", "en", "zh", "en"], name="scripts",
+                     ids=[*range(400), *(i for i in range(400, 1000) if zlib.crc32(str(i).encode()) % 4 == 2)][:406])
+    held = sorted(r.doc_id for r in docs.collect())[400:]  # not learned from, so zh, ja and el are no learned languages
+    assert language.fit_documents(docs).langs == ["en", "fr"]
+    kept = language.known_language(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(400), held[3], held[5]]
+
+
+def test_scripts_of_words_are_those_of_the_grams():
+    words = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()]
+    assert (language._scripts(words) == language._grams(words)[2]).all()
