@@ -24,12 +24,13 @@ from pyspark.sql.types import StringType, StructField
 
 from arrivo.llm.common import LOWER, UPPER, col, map_texts, whole_row
 
-# A small general vocabulary; callers may pass their own.
-STRICT = ["adult", "casino", "casinos", "cheap-pills", "cialis", "escort", "escorts", "hentai", "malware", "phishing", "porn",
-          "porno", "spam-farm", "viagra", "warez", "xxx"]
-SOFT = ["ad", "ads", "bet", "bets", "betting", "bonus", "cam", "cams", "cheap", "click", "clicks", "cracked", "dating", "discount",
-        "farm", "free", "gambling", "hot", "jackpot", "keygen", "loan", "loans", "nude", "pharmacy", "pills", "poker", "popup",
-        "promo", "replica", "sex", "slots", "spam", "torrent", "track", "tracker", "tracking", "win", "winner"]
+# A small general vocabulary; callers may pass their own. A term that also names a harmless topic is soft.
+STRICT = ["casino", "casinos", "cialis", "hentai", "porn", "porno", "viagra", "warez", "xxx"]
+SOFT = ["ad", "ads", "adult", "adults", "babes", "bet", "bets", "betting", "bonus", "cam", "cams", "cheap", "click", "clicks", "crack",
+        "cracked", "dating", "discount", "erotic", "escort", "escorts", "farm", "fetish", "free", "gambling", "hookup", "hot", "jackpot",
+        "keygen", "loan", "loans", "malware", "naked", "nsfw", "nude", "nudes", "payday", "pharmacy", "phishing", "pills", "poker",
+        "popup", "promo", "replica", "roulette", "sex", "sexy", "slots", "spam", "stripper", "strippers", "torrent", "torrents", "track",
+        "tracker", "tracking", "webcam", "webcams", "win", "winner"]
 
 DOWN = str.maketrans(UPPER, LOWER)
 REST = re.compile(r"([^/?#]*)([^?#]*)")
