@@ -10,6 +10,8 @@ no per-page Python.
 
 from __future__ import annotations
 
+from html.entities import html5, name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +22,11 @@ from arrivo.functions import strip_ws
 ANCHOR = (r"""(?is)<a\s[^>]*?(?<![\w-])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>"""
           r"""(.*?)(?=</a\s*>|<a\s|\z)""")
 
-# Named HTML entities decoded in hrefs and texts (``&amp;`` is decoded last, numeric ones by rule).
-ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "iexcl": "¡", "iquest": "¿", "copy": "©", "reg": "®",
-    "middot": "·", "laquo": "«", "raquo": "»", "ndash": "–", "mdash": "—", "hellip": "…", "euro": "€", "deg": "°",
-    "ordm": "º", "ordf": "ª", "aacute": "á", "eacute": "é", "iacute": "í", "oacute": "ó", "uacute": "ú", "ntilde": "ñ",
-    "uuml": "ü", "Aacute": "Á", "Eacute": "É", "Iacute": "Í", "Oacute": "Ó", "Uacute": "Ú", "Ntilde": "Ñ", "Uuml": "Ü",
-    "agrave": "à", "egrave": "è", "ccedil": "ç", "ecirc": "ê", "ouml": "ö", "auml": "ä", "szlig": "ß",
-}
+# The named HTML entities with their semicolon, as in Python's table. The usual ones come first, as Spark
+# looks a key up from the start of the map.
+USUAL = ["amp", "lt", "gt", "quot", "apos", "nbsp", *name2codepoint]
+ENTITIES = {f"&{name};": html5[f"{name};"] for name in [*USUAL, *(x[:-1] for x in html5 if x.endswith(";"))]}
+ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 # The reference's discovery parameters.
 TARGET_FILES = ["turistas_no_residentes_por_residencia_aeropuerto_mendoza",
@@ -42,21 +41,20 @@ DATA_SUFFIX = ".csv"
 
 
 def unescape(c: Column) -> Column:
-    """HTML entities as a parser would decode them: the named ones of ``ENTITIES``, decimal and hexadecimal ones."""
-    out = c
-    for name, ch in ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(ch))
+    """HTML entities as a parser would decode them, once: the named ones of ``ENTITIES``, decimal and hexadecimal ones."""
+    named = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in ENTITIES.items())), F.lit("\x01"), F.lit("\x02"))
 
     def char(code: Column) -> Column:
         return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
-    def decoded(text: Column, pattern: str, code) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-        return F.aggregate(found, text, lambda acc, m: F.replace(acc, m, char(code(F.regexp_extract(m, pattern, 1)))))
+    def decoded(e: Column) -> Column:
+        return (F.when(e.rlike("^&#[xX]"), char(F.conv(F.regexp_extract(e, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 10).cast("long")))
+                .when(e.startswith("&#"), char(F.regexp_extract(e, "^&#([0-9]+)", 1).try_cast("long")))
+                .otherwise(F.coalesce(F.try_element_at(named, e), e)))
 
-    out = decoded(out, "&#([0-9]{1,7});", lambda m: m.cast("long"))
-    out = decoded(out, "&#[xX]([0-9a-fA-F]{1,6});", lambda m: F.conv(m, 16, 10).cast("long"))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    between, found = F.split(c, ENTITY, -1), F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0))
+    whole = F.array_join(F.zip_with(between, found, lambda t, e: F.concat(t, F.coalesce(decoded(e), F.lit("")))), "")
+    return F.when(c.contains("&"), whole).otherwise(c)
 
 
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
