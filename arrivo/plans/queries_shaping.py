@@ -153,11 +153,15 @@ def q_csv_comma_roundtrip(spark, d):
 
 @query("json_list_roundtrip", O.with_(["quotes_monthly"], "SELECT indice_tiempo, precio_promedio_usd, dias FROM quotes_monthly"))
 def q_json_list_roundtrip(spark, d):
-    """S3: one JSON document holding a list of records (a month table, bounded by the calendar), read back as rows."""
+    """S3: JSON documents holding a list of records each, one document and file per year, read back as rows.
+
+    Written by year, since the multi-line reader takes one document per file.
+    """
     df = pl.quotes_monthly(spark, d).select("indice_tiempo", "precio_promedio_usd", "dias")
     path = scratch_path(spark, "list")
-    df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")).coalesce(1).write.text(path)
-    return catalog.read_json(spark, path, schema=df.schema)
+    lists = df.groupBy(F.substring("indice_tiempo", 1, 4).alias("year")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    lists.write.partitionBy("year").text(path)
+    return catalog.read_json(spark, path, schema=df.schema).select(*df.columns)
 
 
 @query("flags_without_quotes", O.with_(["fact"], """
