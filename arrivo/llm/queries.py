@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivo.llm import chat, exact_dedup, language, mixing, pieces, quality, sharding, simhash, tokens, urls
+from arrivo.llm import chat, exact_dedup, language, mixing, pieces, quality, search, sharding, simhash, tokens, trie, urls
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -182,3 +182,85 @@ taken AS (
 SELECT q.doc_id, q.size, q.source_size, q.target, CAST(coalesce(taken.taken, 0) AS BIGINT) AS taken
 FROM q LEFT JOIN taken USING (doc_id)
 """
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The conversations of operator 12's query and their identifiers: the first h turns of conversation c - c % 5, then
+    c's own turns after its first h."""
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), *[F.coalesce(c, F.lit("")) for c in ("role", "text")])
+    placed = turns.select("conv_id", F.row_number().over(order).alias("pos"), "role", "text")
+    h = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % 9
+    ids = turns.select("conv_id").distinct()
+    own = placed.where(F.col("pos") > h).select("conv_id", F.lit(1).alias("part"), "pos", "role", "text")
+    source = ids.select(F.col("conv_id").alias("to"), (F.col("conv_id") - F.col("conv_id") % 5).alias("conv_id"), h.alias("h"))
+    first = (placed.where("pos <= 8").join(source, "conv_id").where("pos <= h")
+             .select(F.col("to").alias("conv_id"), F.lit(0).alias("part"), "pos", "role", "text"))
+    return first.unionByName(own), ids
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12 over all conversations, rebuilt on shared first turns."""
+    turns, ids = rebuilt(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return trie.prefix_trie(turns, ids, order=("part", "pos")).withColumnRenamed("saved", "saved_tokens")
+
+
+# The twin lists every prefix of every conversation. CRC-32 is taken bit by bit (its polynomial is a fixed value).
+ORACLE["op12_prefix_trie"] = """
+WITH RECURSIVE crc AS (
+  SELECT conv_id, coalesce(CAST(conv_id AS VARCHAR), '') AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, s, i + 1, xor(x >> 1, 3988292384 * (x & 1))
+  FROM (SELECT conv_id, s, i, CASE WHEN i % 8 = 0 THEN xor(v, CAST(ascii(substr(s, CAST(i // 8 + 1 AS BIGINT), 1)) AS BIGINT)) ELSE v END AS x
+        FROM crc WHERE i < 8 * length(s))),
+ids AS (SELECT conv_id, xor(v, 4294967295) % 9 AS h FROM crc WHERE i = 8 * length(s)),
+placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations),
+turns AS (
+  SELECT ids.conv_id, 0 AS part, pos, role, text FROM ids JOIN placed ON placed.conv_id = ids.conv_id - ids.conv_id % 5 WHERE pos <= h
+  UNION ALL
+  SELECT conv_id, 1, pos, role, text FROM placed JOIN ids USING (conv_id) WHERE pos > h),
+prefixes AS (
+  SELECT conv_id, strlen(text) AS bytes, row_number() OVER w AS depth,
+         md5(string_agg(strlen(role) || ':' || strlen(text) || ':' || role || text, '') OVER w) AS key
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)),
+rows AS (
+  SELECT conv_id, depth, key, bytes, lag(key, 1, '') OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+         lead(key) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS ended FROM prefixes
+  UNION ALL
+  SELECT ids.conv_id, 0, '', 0, NULL, max(depth) IS NULL FROM ids LEFT JOIN prefixes USING (conv_id) GROUP BY ids.conv_id),
+nodes AS (
+  SELECT key, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+  FROM rows GROUP BY key, depth),
+children AS (SELECT parent AS key, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT a.key, count(*) FILTER (children.n IS NULL) AS n_leaves, sum((d.n_convs - 1) * d.bytes) AS saved
+  FROM nodes d LEFT JOIN children USING (key) JOIN rows a ON a.conv_id = d.conv_id AND a.depth <= d.depth GROUP BY a.key)
+SELECT nodes.conv_id, nodes.depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes LEFT JOIN nodes up ON nodes.parent = up.key LEFT JOIN children ON nodes.key = children.key JOIN below ON nodes.key = below.key
+"""
+
+
+@query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: the ten best of all documents for each benchmark item."""
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(_NORM)
+ORACLE["op13_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+sizes AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS words FROM d WHERE len(terms) > 0),
+tf AS (SELECT r, doc_id, len(terms) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, terms, unnest(terms) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, sizes GROUP BY term, docs),
+s AS (
+  SELECT item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term), sizes GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""

@@ -23,7 +23,7 @@ def documents(spark, tmp_path, texts, sources=None, langs=None, name="docs", ids
     return table(spark, tmp_path, rows, schema, name)
 
 
-def twin(sql, sf, tables="documents pages conversations labels"):
+def twin(sql, sf, tables="documents pages conversations labels benchmark"):
     con = duckdb.connect()
     for t in tables.split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
