@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivo.llm import chat, exact_dedup, language, mixing, pieces, quality, search, sharding, simhash, tokens, trie, urls
+from arrivo.llm import chat, exact_dedup, language, mixing, pieces, quality, search, sharding, simhash, suffix_index, tokens, trie, urls
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -184,6 +184,12 @@ FROM q LEFT JOIN taken USING (doc_id)
 """
 
 
+@query
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11 over all documents: bytes of repeated passages of 100 bytes go, the first of each stays."""
+    return suffix_index.remove_repeats(_table(spark, sf_dir, "documents"), length=100).drop("kept_text")
+
+
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The conversations of operator 12's query and their identifiers: the first h turns of conversation c - c % 5, then
     c's own turns after its first h."""

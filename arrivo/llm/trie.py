@@ -73,8 +73,10 @@ def peel(convs: DataFrame) -> tuple[DataFrame, DataFrame]:
     home = shared_path(spark, "trie")
     convs.write.partitionBy("depth").parquet(f"{home}/chains")
     convs = spark.read.schema(convs.schema).parquet(f"{home}/chains")
-    last = F.element_at("chain", -1)
-    ends = convs.select(F.when(F.col("depth") > 0, F.get(F.col("chain"), F.col("depth") - 1)["key"]).otherwise(_root()).alias("key"), "conv_id")
+    # by the chain's own length, not the level's number: all levels then share one generated code
+    turn = lambda back: F.get("chain", F.size("chain") - back)
+    key = F.coalesce(turn(1)["key"], _root())
+    ends = convs.select(key.alias("key"), "conv_id")
     deepest = convs.agg(F.max("depth")).first()[0]
     zero = F.lit(0).cast("long")
     schema = None
@@ -84,14 +86,13 @@ def peel(convs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if schema is not None:  # the nodes of the level below, their last turn stripped
             below = spark.read.schema(schema).parquet(f"{home}/nodes/depth={depth + 1}")
             rows = rows.unionByName(below.select(
-                F.slice("chain", 1, depth).alias("chain"), "conv_id", F.col("n_convs").alias("n"),
+                F.slice("chain", F.lit(1), F.size("chain") - 1).alias("chain"), "conv_id", F.col("n_convs").alias("n"),
                 F.lit(1).cast("long").alias("child"), F.col("n_leaves").alias("leaves"), "saved"))
-        # the root has no last turn; equal keys have equal chains
-        key, size = (last["key"], last["size"]) if depth else (_root(), zero)
-        found = rows.groupBy(key.alias("key"), size.alias("size")).agg(
+        # equal keys have equal chains; the root has no last turn
+        found = rows.groupBy(key.alias("key"), F.coalesce(turn(1)["size"], zero).alias("size")).agg(
             F.first("chain").alias("chain"), F.min("conv_id").alias("conv_id"), F.sum("n").alias("n_convs"),
             F.sum("child").alias("n_children"), F.sum("leaves").alias("inner"), F.sum("saved").alias("below"))
-        parent = F.when(F.lit(depth > 1), F.get(F.col("chain"), F.lit(max(depth, 2) - 2))["key"]).when(F.lit(depth == 1), _root())
+        parent = F.when(F.size("chain") > 0, F.coalesce(turn(2)["key"], _root()))
         level = found.select(
             "key", parent.alias("parent_key"), "conv_id", "n_convs", "n_children",
             F.when(F.col("n_children") == 0, F.lit(1).cast("long")).otherwise(F.col("inner")).alias("n_leaves"),
