@@ -187,7 +187,7 @@ FROM q LEFT JOIN taken USING (doc_id)
 @query
 def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 11 over all documents: bytes of repeated passages of 100 bytes go, the first of each stays."""
-    return suffix_index.remove_repeats(_table(spark, sf_dir, "documents"), length=100).drop("kept_text")
+    return suffix_index.remove_repeats(_table(spark, sf_dir, "documents"), length=100, texts=False)
 
 
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:

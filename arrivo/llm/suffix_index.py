@@ -45,7 +45,7 @@ SEED = 32
 #: Distinct spans of one seed from which the seed is hot.
 HOT = 64
 #: Text that a task turns into one piece of an array, text per bucket, and positions that are hashed at a time.
-FLUSH_BYTES, BUCKET_BYTES, PIECE = 32 << 20, 32 << 20, 1 << 18
+FLUSH_BYTES, BUCKET_BYTES, PIECE = 16 << 20, 32 << 20, 1 << 18
 #: Least number of buckets.
 BUCKETS = 64
 BASE = 0x9E3779B97F4A7C15
@@ -91,17 +91,20 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> Array:
     """The governing seeds of texts that lie one after the other in ``data``; ``doc`` is the text's number."""
-    step = np.zeros(len(data) + 1, dtype=np.int32)
-    np.add.at(step, np.maximum(starts, ends - length + 1), 1)
-    np.add.at(step, ends, -1)
-    whole = np.cumsum(step[:-1]) == 0  # where a window begins that ends inside its text
+    outside = np.maximum(starts, ends - length + 1)  # from here to the text's end no window begins
     found: list[list[np.ndarray]] = [[] for _ in range(5)]
     for at in range(0, len(data), PIECE):
         part = data[at:at + PIECE + length - 1]
         n = len(part) - length + 1
-        if n <= 0 or not whole[at:at + n].any():
+        if n <= 0:
+            break
+        near = slice(np.searchsorted(ends, at, side="right"), np.searchsorted(starts, at + n))
+        step = np.zeros(n + 1, dtype=np.int32)
+        np.add.at(step, np.clip(outside[near] - at, 0, n), 1)
+        np.add.at(step, np.clip(ends[near] - at, 0, n), -1)
+        ok = np.cumsum(step[:-1], dtype=np.int32) == 0  # where a window begins that ends inside its text
+        if not ok.any():
             continue
-        ok = whole[at:at + n]
         by_seed, by_window = grams(part, SEED, length)
         by_seed = mix64(by_seed)
         order = (by_seed & ~MASK) | np.arange(len(by_seed), dtype=np.uint64)
@@ -195,9 +198,10 @@ def array_of(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     """Suffix arrays of the tasks' texts in pieces per bucket, with what is settled inside a task."""
     def flush(ids: list[int], texts: list[bytes], task: int) -> Iterator[pa.RecordBatch]:
         order = np.argsort(np.array(ids), kind="stable")
-        texts = [texts[k] for k in order]
-        ends = np.cumsum([len(t) for t in texts])
-        x = spans(np.frombuffer(b"".join(texts), dtype=np.uint8), ends - [len(t) for t in texts], ends, length)
+        sizes = np.array([len(texts[k]) for k in order])
+        data = np.frombuffer(b"".join([texts[k] for k in order]), dtype=np.uint8)
+        texts.clear()
+        x = spans(data, np.cumsum(sizes) - sizes, np.cumsum(sizes), length)
         x["doc"] = np.array(ids, dtype=np.int64)[order][x["doc"]]
         x = take(x, np.lexsort((x["span"], x["seed"])))  # stable: the earliest of equal spans comes first
         new = heads(x["seed"], x["span"])
@@ -449,11 +453,12 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, in
     return stored(rows.select(F.monotonically_increasing_id().alias("doc"), "id", "text"), "numbered"), bytes_ or 0
 
 
-def cut_texts(docs: DataFrame, intervals: DataFrame) -> DataFrame:
-    """id, n_bytes, n_removed, n_spans, kept_text (binary), kept_sha256 of every row of ``docs`` (doc, id, text)."""
+def cut_texts(docs: DataFrame, intervals: DataFrame, texts: bool = True) -> DataFrame:
+    """id, n_bytes, n_removed, n_spans, kept_sha256 and with ``texts`` kept_text (binary) of every row of ``docs`` (doc, id, text)."""
     of_doc = intervals.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("own"))
     rows = docs.join(of_doc, "doc", "left").select("id", F.coalesce("text", F.lit("")).alias("text"), "own")
-    fields = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_text", pa.binary()), ("kept_sha256", pa.string())]
+    fields = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
+    fields += [("kept_text", pa.binary())] * texts
 
     def run(batches):
         for batch in batches:
@@ -468,16 +473,18 @@ def cut_texts(docs: DataFrame, intervals: DataFrame) -> DataFrame:
                         _, a, b = merged(np.zeros(len(a), np.int64), a, b)
                         cuts = list(zip(a.tolist(), b.tolist(), strict=True))
                     kept = b"".join(text[x:y] for x, y in zip([0, *(y for _, y in cuts)], [*(x for x, _ in cuts), len(text)], strict=True))
-                    for x, v in zip(out, (len(text), len(text) - len(kept), len(cuts), kept, hashlib.sha256(kept).hexdigest()), strict=True):
+                    for x, v in zip(out, (len(text), len(text) - len(kept), len(cuts), hashlib.sha256(kept).hexdigest(), kept)):
                         x.append(v)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, t) for x, (_, t) in zip(out, fields, strict=True))],
                                                  names=["id", *(n for n, _ in fields)])
 
-    return rows.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_text binary, kept_sha256 string")
+    made = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text binary" * texts
+    return rows.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, {made}")
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, n_bytes, n_removed, n_spans (maximal removed runs), kept_text (binary), kept_sha256 of every row."""
+def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 4, id_col: str = "doc_id", text_col: str = "text",
+                   texts: bool = True) -> DataFrame:
+    """``id_col``, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and with ``texts`` kept_text (binary) of every row."""
     spark = docs.sparkSession
     rows, size = numbered(docs, id_col, text_col)
     index = SuffixIndex(spark, shared_path(spark, "suffixes"), max(BUCKETS, -(-size // BUCKET_BYTES)), length)
@@ -487,4 +494,4 @@ def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 4, id_col:
     for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
         part = rows if low is None else rows.where(F.col("doc") > low)
         index.add(part if high is None else part.where(F.col("doc") <= high), last=k == len(bounds) - 2)
-    return cut_texts(rows, index.repeated(rows)).withColumnRenamed("id", id_col)
+    return cut_texts(rows, index.repeated(rows), texts).withColumnRenamed("id", id_col)
