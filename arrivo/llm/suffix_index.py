@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,7 +116,8 @@ def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -
         own = seed[first]
         # the first and the last window overlap: with their distance they determine the span
         shape = ((last - first) * 1009 + (own - first)).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        for k, x in enumerate((by_seed[own], mix64(by_window[first] * np.uint64(0xA0761D6478BD642F) + mix64(by_window[last] + shape)),
+        # the least hashes were chosen: mixed anew, they deal evenly over the buckets
+        for k, x in enumerate((mix64(by_seed[own] ^ np.uint64(BASE)), mix64(by_window[first] * np.uint64(0xA0761D6478BD642F) + mix64(by_window[last] + shape)),
                                own + at, own - first, own - last)):
             found[k].append(x)
     seed, span, place, first, last = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
@@ -166,11 +168,11 @@ def _rows(side: str, n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([side] * n) if f.name == "side" else put(f) for f in ARROW], schema=ARROW)
 
 
-def _repeated(x: Array, length: int, bucket: int) -> pa.RecordBatch:
+def _repeated(x: Array, length: int, buckets: int) -> pa.RecordBatch:
     """Spans as intervals of bytes; those that go on in each other become one."""
     a, b = x["pos"].astype(np.int64) - x["first"], x["pos"].astype(np.int64) - x["last"] + length
     doc, a, b = merged(x["doc"], a, b)
-    return _rows("repeated", len(a), bucket=np.full(len(a), bucket), doc=doc, a=a, b=b)
+    return _rows("repeated", len(a), bucket=doc % buckets, doc=doc, a=a, b=b)
 
 
 def merged(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,14 +191,14 @@ def merged(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, n
     return doc[at], a[at], top[np.append(at[1:], len(a)) - 1]
 
 
-def _candidates(x: Array, hot: np.ndarray, bucket: int) -> pa.RecordBatch:
+def _candidates(x: Array, hot: np.ndarray, buckets: int) -> pa.RecordBatch:
     pos = x["pos"].astype(np.int64)
-    return _rows("candidate", len(pos), bucket=np.full(len(pos), bucket), seed=x["seed"].view(np.int64), doc=x["doc"], a=pos - x["first"], b=pos - x["last"], hot=hot)
+    return _rows("candidate", len(pos), bucket=x["doc"] % buckets, seed=x["seed"].view(np.int64), doc=x["doc"], a=pos - x["first"], b=pos - x["last"], hot=hot)
 
 
 def array_of(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     """Suffix arrays of the tasks' texts in pieces per bucket, with what is settled inside a task."""
-    def flush(ids: list[int], texts: list[bytes], task: int) -> Iterator[pa.RecordBatch]:
+    def flush(ids: list[int], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(np.array(ids), kind="stable")
         sizes = np.array([len(texts[k]) for k in order])
         data = np.frombuffer(b"".join([texts[k] for k in order]), dtype=np.uint8)
@@ -205,12 +207,12 @@ def array_of(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         x["doc"] = np.array(ids, dtype=np.int64)[order][x["doc"]]
         x = take(x, np.lexsort((x["span"], x["seed"])))  # stable: the earliest of equal spans comes first
         new = heads(x["seed"], x["span"])
-        yield _repeated(take(x, ~new), length, task % buckets)
+        yield _repeated(take(x, ~new), length, buckets)
         x = take(x, new)
         seeds = np.flatnonzero(heads(x["seed"]))
         rank = np.arange(len(new[new])) - np.repeat(seeds, np.diff(np.append(seeds, len(x["seed"]))))
         over = rank >= HOT
-        yield _candidates(take(x, over), np.ones(over.sum(), dtype=bool), task % buckets)
+        yield _candidates(take(x, over), np.ones(over.sum(), dtype=bool), buckets)
         x = take(x, ~over)
         bucket = ((x["seed"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -218,9 +220,6 @@ def array_of(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             yield _rows("new", 1, bucket=[b], blob=[pack(take(x, slice(cuts[b], cuts[b + 1])))])
 
     def run(batches):
-        from pyspark import TaskContext
-
-        task = TaskContext.get().partitionId()
         ids, texts, size = [], [], 0
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -231,29 +230,24 @@ def array_of(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 texts.append(t)
                 size += len(t)
                 if size >= FLUSH_BYTES:
-                    yield from flush(ids, texts, task)
+                    yield from flush(ids, texts)
                     ids, texts, size = [], [], 0
         if ids:
-            yield from flush(ids, texts, task)
+            yield from flush(ids, texts)
 
     return docs.select("doc", "text").mapInArrow(run, ROW)
 
 
-def scan(length: int, merge: list[int], keep: bool):
+def scan(length: int, buckets: int, merge: list[int], keep: bool):
     """The work on one bucket: merge-scan of the new array against the levels, and the merged array if it is kept."""
     def run(table: pa.Table) -> pa.Table:
-        side = table.column("side").to_pylist()
-        blobs = [[] for _ in range(2)]
-        levels: dict[str, list[Array]] = {}
-        for s, blob in zip(side, table.column("blob"), strict=True):
-            if s == "new":
-                blobs[0].append(unpack(blob.as_buffer()))
-            elif s.startswith("level"):
-                levels.setdefault(s, []).append(unpack(blob.as_buffer()))
-        bucket = table.column("bucket")[0].as_py()
-        passed = [b for b in table.filter(pa.array([s in ("repeated", "candidate") for s in side])).to_batches()]
-        old = joined([a for parts in levels.values() for a in parts])
-        new = joined(blobs[0])
+        passed = table.filter(pc.is_null(table.column("blob"))).to_batches()  # settled by the tasks
+        blobs = table.filter(pc.is_valid(table.column("blob")))
+        arrays: dict[str, list[Array]] = {}
+        for s, blob in zip(blobs.column("side").to_pylist(), blobs.column("blob"), strict=True):
+            arrays.setdefault(s, []).append(unpack(blob.as_buffer()))
+        new = joined(arrays.pop("new", []))
+        old = joined([a for parts in arrays.values() for a in parts])
         x = {k: np.concatenate([old[k], new[k]]) for k in new}
         x["old"] = np.arange(len(x["seed"])) < len(old["seed"])
         x = take(x, np.lexsort((x["pos"], x["doc"], x["span"], x["seed"])))  # identifiers ascend from batch to batch
@@ -269,13 +263,13 @@ def scan(length: int, merge: list[int], keep: bool):
             every = known = np.zeros(0, dtype=np.int64)
         turned = (known == 1) | (known < HOT) & (every >= HOT)  # known spans that now are candidates, or now hot ones
         chosen = (every > known) & (every > 1) & (~x["old"] | turned)
-        out = [*passed, _repeated(repeated, length, bucket), _candidates(take(x, chosen), (every >= HOT)[chosen], bucket)]
+        out = [*passed, _repeated(repeated, length, buckets), _candidates(take(x, chosen), (every >= HOT)[chosen], buckets)]
         if keep:
-            mine = joined([new, *(a for m in merge for a in levels.get(f"level{m}", []))])
+            mine = joined([new, *(a for m in merge for a in arrays.get(f"level{m}", []))])
             mine = take(mine, np.lexsort((mine["pos"], mine["doc"], mine["span"], mine["seed"])))
             mine = take(mine, heads(mine["seed"], mine["span"]))
             if len(mine["seed"]):
-                out.append(_rows("kept", 1, bucket=[bucket], blob=[pack(mine)]))
+                out.append(_rows("kept", 1, bucket=[table.column("bucket")[0].as_py()], blob=[pack(mine)]))
         return pa.Table.from_batches(out, schema=ARROW)
 
     return run
@@ -307,7 +301,7 @@ class SuffixIndex:
         for batch, _ in self.levels:
             rows = rows.unionByName(self._read(batch, "kept").withColumn("side", F.lit(f"level{batch}")))
         at = self.batches
-        (rows.groupBy("bucket").applyInArrow(scan(self.length, merge, not last), ROW)
+        (rows.groupBy("bucket").applyInArrow(scan(self.length, self.buckets, merge, not last), ROW)
          .write.partitionBy("side").parquet(f"{self.home}/batch={at}"))
         self.batches += 1
         if not last:
