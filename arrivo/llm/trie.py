@@ -8,8 +8,9 @@ children, leaves and savings, each of which a node hands on to its parent. Level
 folder, so a lost executor repeats one level at most. A node that a third of all conversations share is a hot
 key of an aggregation with partial sums only; nothing gathers a node's members.
 
-There are as many rounds as the deepest conversation has turns, and the digests of one conversation (about 50 bytes
-a turn) are one row.
+The deepest conversations are few: what of them is deeper than all others is peeled in one task in the same way, as long
+as they have at most 20,000 turns in all or are one conversation. So there are as many rounds as the depth that more
+of them reach. The digests of one conversation (about 50 bytes a turn) are one row.
 
 Edge cases: null role or text counts as empty. Turns are ordered by the columns of ``order`` (null first), turns
 at one place by their digests; repeated rows are turns each. A null conversation is a conversation, a member like any other, that names a
@@ -24,11 +25,14 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from arrivo.llm.common import col, shared_path
 
 #: Characters of a list of identifiers that are joined in one row.
 JOINED = 4096
+#: Turns (about 50 bytes each) of the deepest conversations that one task peels alone, instead of a round for every level.
+TAIL = 20_000
 
 
 def _digest(*parts: Column) -> Column:
@@ -63,6 +67,52 @@ def chains(turns: DataFrame, conv: str = "conv_id", order: tuple[str, ...] = ("t
     return listed.select("conv_id", F.size("turns").alias("depth"), chain.alias("chain"))
 
 
+def _tail(convs: DataFrame) -> int:
+    """The depth below which one task may peel: what is deeper has at most ``TAIL`` turns in all, or is one conversation."""
+    cut = n = turns = 0
+    for depth, count in sorted(convs.groupBy("depth").count().collect(), reverse=True):  # one row per depth that occurs
+        cut, n, turns = depth, n + count, turns + depth * count
+        if n > 1 and turns > TAIL:
+            return cut
+    return 0
+
+
+def peel_tail(cut: int):
+    """In one task: the nodes deeper than ``cut``, level by level; those at ``cut + 1`` with their chains."""
+    def run(batches):
+        names, chain_of, ended = [], [], {}
+        for batch in batches:
+            for conv, depth, chain in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                ended.setdefault(depth, []).append(len(names))
+                names.append(conv)
+                chain_of.append(chain)
+        alive: dict[bytes, list] = {}
+        rows = []
+        for depth in range(max(ended, default=cut), cut, -1):
+            level: dict[bytes, list] = {}  # key: smallest member, members, children, leaves, saved, a conversation's chain
+            below = [([names[r], 1, 0, 0, 0], r) for r in ended.get(depth, [])]
+            below += [([conv, n, 1, leaves, saved], r) for conv, n, _, leaves, saved, r in alive.values()]
+            for own, r in below:
+                node = level.setdefault(chain_of[r][depth - 1]["key"], [None, 0, 0, 0, 0, r])
+                node[0] = own[0] if node[0] is None or own[0] is not None and own[0] < node[0] else node[0]
+                for k in range(1, 5):
+                    node[k] += own[k]
+            for key, node in level.items():
+                chain = chain_of[node[5]]
+                node[3] = node[3] if node[2] else 1
+                node[4] += (node[1] - 1) * chain[depth - 1]["size"]
+                rows.append({"key": key, "parent_key": chain[depth - 2]["key"] if depth > 1 else None, "conv_id": node[0], "n_convs": node[1],
+                             "n_children": node[2], "n_leaves": node[3], "saved": node[4], "depth": depth,
+                             "chain": chain[:depth] if depth == cut + 1 else None})
+            alive = level
+            if len(rows) >= 10_000:
+                yield rows
+                rows = []
+        yield rows
+
+    return run
+
+
 def peel(convs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of the rows of :func:`chains`: nodes and ends.
 
@@ -71,38 +121,48 @@ def peel(convs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     spark = convs.sparkSession
     home = shared_path(spark, "trie")
-    convs.write.partitionBy("depth").parquet(f"{home}/chains")
+    convs.write.parquet(f"{home}/chains")
     convs = spark.read.schema(convs.schema).parquet(f"{home}/chains")
+    kind = convs.schema["conv_id"].dataType.simpleString()
+    schema = (f"key binary, parent_key binary, conv_id {kind}, n_convs bigint, n_children bigint, n_leaves bigint, saved bigint, depth int, "
+              "chain array<struct<key: binary, size: bigint>>")
     # by the chain's own length, not the level's number: all levels then share one generated code
     turn = lambda back: F.get("chain", F.size("chain") - back)
     key = F.coalesce(turn(1)["key"], _root())
     ends = convs.select(key.alias("key"), "conv_id")
-    deepest = convs.agg(F.max("depth")).first()[0]
     zero = F.lit(0).cast("long")
-    schema = None
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
+    cut = _tail(convs)
+    tail, arrow = peel_tail(cut), None
+
+    def run(batches):
+        for rows in tail(batches):
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    arrow = pa.schema([("key", pa.binary()), ("parent_key", pa.binary()), ("conv_id", to_arrow_type(convs.schema["conv_id"].dataType)),
+                       *[(c, pa.int64()) for c in ("n_convs", "n_children", "n_leaves", "saved")], ("depth", pa.int32()),
+                       ("chain", pa.list_(pa.struct([("key", pa.binary()), ("size", pa.int64())])))])
+    root = F.when(F.col("depth") == 1, _root()).otherwise(F.col("parent_key"))
+    (convs.where(F.col("depth") > cut).select("conv_id", "depth", "chain").repartition(1).mapInArrow(run, schema)
+     .withColumn("parent_key", root).write.parquet(f"{home}/nodes/level={cut + 1}"))
+    for depth in range(cut, -1, -1):
         rows = convs.where(F.col("depth") == depth).select(
             "chain", "conv_id", F.lit(1).cast("long").alias("n"), zero.alias("child"), zero.alias("leaves"), zero.alias("saved"))
-        if schema is not None:  # the nodes of the level below, their last turn stripped
-            below = spark.read.schema(schema).parquet(f"{home}/nodes/depth={depth + 1}")
-            rows = rows.unionByName(below.select(
-                F.slice("chain", F.lit(1), F.size("chain") - 1).alias("chain"), "conv_id", F.col("n_convs").alias("n"),
-                F.lit(1).cast("long").alias("child"), F.col("n_leaves").alias("leaves"), "saved"))
+        # and the nodes of the level below, their last turn stripped
+        below = spark.read.schema(schema).parquet(f"{home}/nodes/level={depth + 1}").where("chain IS NOT NULL")
+        rows = rows.unionByName(below.select(
+            F.slice("chain", F.lit(1), F.size("chain") - 1).alias("chain"), "conv_id", F.col("n_convs").alias("n"),
+            F.lit(1).cast("long").alias("child"), F.col("n_leaves").alias("leaves"), "saved"))
         # equal keys have equal chains; the root has no last turn
         found = rows.groupBy(key.alias("key"), F.coalesce(turn(1)["size"], zero).alias("size")).agg(
             F.first("chain").alias("chain"), F.min("conv_id").alias("conv_id"), F.sum("n").alias("n_convs"),
             F.sum("child").alias("n_children"), F.sum("leaves").alias("inner"), F.sum("saved").alias("below"))
         parent = F.when(F.size("chain") > 0, F.coalesce(turn(2)["key"], _root()))
-        level = found.select(
+        found.select(
             "key", parent.alias("parent_key"), "conv_id", "n_convs", "n_children",
             F.when(F.col("n_children") == 0, F.lit(1).cast("long")).otherwise(F.col("inner")).alias("n_leaves"),
-            (F.col("below") + (F.col("n_convs") - 1) * F.col("size")).alias("saved"), "chain")
-        level.write.parquet(f"{home}/nodes/depth={depth}")
-        schema = level.schema
-    if schema is None:
-        empty = convs.select(_root().alias("key"), _root().alias("parent_key"), "depth", "conv_id", *[zero.alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved")])
-        return empty, ends
-    nodes = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, depth int").parquet(f"{home}/nodes")
+            (F.col("below") + (F.col("n_convs") - 1) * F.col("size")).alias("saved"), F.size("chain").alias("depth"), "chain",
+        ).write.parquet(f"{home}/nodes/level={depth}")
+    nodes = spark.read.schema(schema).parquet(*[f"{home}/nodes/level={depth}" for depth in range(cut + 1, -1, -1)])
     return nodes.drop("chain"), ends
 
 

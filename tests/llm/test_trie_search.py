@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from helpers import CLASH, documents, lower, same_as_twin, table
 
 from arrivo.llm import queries, search, trie
@@ -49,10 +50,13 @@ def in_order(rows):
     return convs
 
 
-def test_trie_against_every_prefix(spark, tmp_path):
+@pytest.mark.parametrize("tail", [20_000, 60, 0])  # all levels in the tail's task, some, only the deepest conversation
+def test_trie_against_every_prefix(spark, tmp_path, monkeypatch, tail):
+    monkeypatch.setattr(trie, "TAIL", tail)
     rng = random.Random(3)
     rows = [(c, t, rng.choice(["user", "assistant"]), rng.choice(["a", "b", "é\n"])) for c in range(60) for t in range(rng.randint(1, 6))]
     rows += [(c, t, "user", "same") for c in range(100, 150) for t in range(3)]  # a hot conversation
+    rows += [(c, t, "user", f"{t if t < 12 else c * t}") for c in (160, 161, 162) for t in range(25 + c % 3)]  # deep ones
     rows += [(200, None, None, "x"), (200, 1, "user", None), (200, 1, "user", None), (201, 0, "ab", "c"), (202, 0, "a", "bc"),
              (None, 0, "user", "alone"), (None, 1, "user", "a"), (203, 0, "user", "long " * 100_000)]
     rows.append((204, 0, rows[0][2], rows[0][3]))
