@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from arrivo.functions import mean_of, month_key, rint_round
 from arrivo.operators.calendar import calendar_features
+from arrivo.operators.ranks import quantiles
 
 KEYS = ["indice_tiempo", "pais_origen", "punto_entrada"]
 
@@ -109,14 +110,14 @@ def median_flag(df: DataFrame, value: str, name: str, median_of: DataFrame | Non
                 require_match: bool = True) -> DataFrame:
     """``name`` = value > median(value) as 0/1; NULL value gives 0.
 
-    The median is an exact (interpolated) aggregate used as a scalar subquery:
+    The median is an exact (interpolated) rank selection used as a scalar subquery:
     computed once, then compared on every row in the same projection.  Never a
     window over the whole table, which would run in one task.  With
     ``require_match`` the flag is NULL when no row has a value (the reference
     adds no column then; we keep the schema, quirk Q8).
     """
     src = median_of if median_of is not None else df
-    med = src.agg(F.percentile(F.col(value), F.lit(0.5))).scalar()
+    med = quantiles(src, [], value, [0.5]).select(F.element_at("q", 1)).scalar()
     flag = F.coalesce((F.col(value) > med).cast("int"), F.lit(0))
     if require_match:
         flag = F.when(src.agg(F.count(F.col(value))).scalar() > 0, flag)

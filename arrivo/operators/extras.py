@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivo.functions import mean_of, month_key, rint_round
+from arrivo.operators.ranks import quantiles
 
 # Class labels and thresholds from the reference configuration.
 PRICE_CLASSES = ["bajo", "medio", "alto", "muy_alto"]
@@ -68,12 +69,12 @@ def seasonal_ratio(df: DataFrame, keys=("pais_origen", "punto_entrada"), month:
 def quantile_classes(df: DataFrame, value: str, labels: list[str], name: str) -> DataFrame:
     """D4 (edges ours): classes by the value's quantiles (k labels -> k-1 inner edges, exact).
 
-    The edges are one aggregate used as a scalar subquery; a value equal to an
+    The edges are one rank selection used as a scalar subquery; a value equal to an
     edge goes to the lower class.
     """
     k = len(labels)
     ps = [i / k for i in range(1, k)]
-    edges = df.agg(F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in ps]))).scalar()
+    edges = quantiles(df, [], value, ps).select("q").scalar()
     v = F.col(value)
     out = None
     for i in range(k - 1):

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from arrivo.functions import rint_round
 from arrivo.operators.assemble import KEYS, positional_rank
 from arrivo.operators.profile import DATE_DENY, numeric_columns, text_columns, to_long
+from arrivo.operators.ranks import quantiles
 
 TARGET = "turistas"
 
@@ -71,8 +72,7 @@ def target_stats(split_df: DataFrame, target: str = TARGET) -> DataFrame:
     t = F.col(target).cast("double")
     g = split_df.groupBy("split").agg(
         F.avg(t).alias("mean"), F.stddev_samp(t).alias("std"), F.min(t).alias("min"), F.max(t).alias("max"),
-        F.percentile(t, F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75))).alias("_q"),
-    )
+    ).join(quantiles(split_df, ["split"], target, [0.5, 0.25, 0.75]).select("split", F.col("q").alias("_q")), "split", "left")
     return g.select(
         "split", rint_round("mean", 4).alias("mean"), rint_round("std", 4).alias("std"), "min", "max",
         *[rint_round(F.element_at("_q", i + 1), 4).alias(n) for i, n in enumerate(("median", "q25", "q75"))],
@@ -106,8 +106,8 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
     """M3: fill NULLs with the exact (interpolated) median of the fitting rows, per column.
 
     ``ml.feature.Imputer`` uses an approximate, non-interpolated quantile
-    (2.0 instead of 2.5 for 1, 2, 3, 10).  The medians come from one grouped
-    aggregate over the stacked columns.
+    (2.0 instead of 2.5 for 1, 2, 3, 10).  The medians come from one rank
+    selection over the stacked columns.
     """
 
     def __init__(self, inputCols=None):
@@ -116,8 +116,8 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
 
     def _fit(self, df: DataFrame) -> "MedianImputerModel":
         cols = self.getInputCols()
-        med = to_long(df, cols).groupBy("columna").agg(F.percentile("v", F.lit(0.5)).alias("m"))
-        got = {r["columna"]: r["m"] for r in med.collect()}  # one value per column
+        med = quantiles(to_long(df, cols), ["columna"], "v", [0.5])
+        got = {r["columna"]: r["q"][0] for r in med.collect()}  # one value per column
         return MedianImputerModel(inputCols=cols, values=[float(got.get(c) if got.get(c) is not None else 0.0) for c in cols])
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from arrivo.functions import mean_of
 from arrivo.operators.features import TARGET, preprocessing
 from arrivo.session import materialize
+from arrivo.operators.ranks import quantiles
 
 # The reference's model settings and random-search spaces.
 RIDGE_ALPHA = 1.0
@@ -168,13 +169,13 @@ def normal_equations(model: PipelineModel, train: DataFrame, alpha: float = RIDG
 # ---------------------------------------------------------------- M10, M11, M16 metrics
 
 def metrics(pred: DataFrame, by: str = "split", label: str = TARGET, prediction: str = "prediction") -> DataFrame:
-    """RMSE, MAE and R2 per group in one aggregate (R2 from sums: 1 - SSE / SST)."""
+    """RMSE, MAE and R2 per group in one aggregate (1 - SSE / SST, SST by mergeable central moments)."""
     y = F.col(label).cast("double")
     e = y - F.col(prediction)
     g = pred.groupBy(by).agg(
         F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("_sse"), F.sum(F.abs(e)).alias("_sae"),
-        F.sum(y).alias("_sy"), F.sum(y * y).alias("_syy"), F.avg(y).alias("media"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
+        F.var_pop(y).alias("_var"), F.avg(y).alias("media"))
+    sst = F.col("_var") * F.col("n")
     return g.select(
         by, "n",
         F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"),
@@ -345,10 +346,11 @@ def keep_tuned(original: DataFrame, tuned: DataFrame, max_ratio: float = KEEP_RA
 
 def residual_stats(pred: DataFrame, split: str = "test") -> DataFrame:
     """Mean, median, std, min, max of ``y - prediction`` on one split."""
-    r = (F.col(TARGET).cast("double") - F.col("prediction"))
-    return pred.filter(F.col("split") == split).agg(
-        F.avg(r).alias("media"), F.percentile(r, F.lit(0.5)).alias("mediana"), F.stddev_samp(r).alias("std"),
-        F.min(r).alias("min"), F.max(r).alias("max"), F.count(F.lit(1)).alias("n"))
+    rows = pred.filter(F.col("split") == split).select((F.col(TARGET).cast("double") - F.col("prediction")).alias("r"))
+    median = quantiles(rows, [], "r", [0.5]).select(F.element_at("q", 1)).scalar()
+    g = rows.agg(F.avg("r").alias("media"), F.stddev_samp("r").alias("std"), F.min("r").alias("min"), F.max("r").alias("max"),
+                 F.count(F.lit(1)).alias("n"))
+    return g.select("media", median.alias("mediana"), "std", "min", "max", "n")
 
 
 def drift_alert(pred: DataFrame, month: str = "indice_tiempo", split: str = "test", factor: float = DRIFT_FACTOR) -> DataFrame:

@@ -3,8 +3,8 @@
 Each profile is one aggregate with many expressions (never one job per
 column), reshaped to long form with ``stack``.  Means and standard deviations
 take the values as they are and are rounded to 12 significant digits, so they
-are the same on any partitioning; quantiles are exact (``percentile``) unless an ``accuracy`` is
-given, which switches to ``percentile_approx`` for very large groups.
+are the same on any partitioning; quantiles are exact (rank selection, ``ranks.quantiles``) unless an ``accuracy``
+is given, which switches to ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivo.functions import first_max_by, mean_of, rint_round, std_of
+from arrivo.operators.ranks import quantiles
 
 # Date-like columns that are never features.
 DATE_DENY = ["indice_tiempo", "fecha", "mes_ano", "indice_tiempo_dt"]
@@ -33,10 +34,13 @@ def text_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
 
 
-def _quantile(c: Column, p: float, accuracy: int | None) -> Column:
-    if accuracy:
-        return F.percentile_approx(c, F.lit(p), F.lit(accuracy)).cast("double")
-    return F.percentile(c, F.lit(p))
+def _quantiles(df: DataFrame, by: list[str], value: str, ps: list[float], accuracy: int | None) -> DataFrame:
+    """``by`` and q, the array of quantiles: exact, or by a sketch of the given accuracy."""
+    if not accuracy:
+        return quantiles(df, by, value, ps).select(*by, "q")
+    x = F.col(f"`{value}`").cast("double")
+    sketch = F.percentile_approx(x, F.array(*[F.lit(p) for p in ps]), F.lit(accuracy))
+    return df.groupBy(*by).agg(sketch.cast("array<double>").alias("q"))
 
 
 def to_long(df: DataFrame, cols: list[str], key: str = "columna", value: str = "v", cast: str = "double") -> DataFrame:
@@ -48,23 +52,20 @@ def to_long(df: DataFrame, cols: list[str], key: str = "columna", value: str = "
 def describe(df: DataFrame, cols: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
     """Q-1: count, mean, std, min, quartiles, max of every numeric column, one row per column.
 
-    Columns are stacked to long form and grouped by name, so one aggregate of
-    seven expressions serves every column (the three quartiles share one
-    ``percentile`` buffer).  NULLs are skipped, as pandas does.
+    Columns are stacked to long form and grouped by name, so one aggregate
+    serves every column, and one rank selection all quartiles.  NULLs are
+    skipped, as pandas does.
     """
     cols = cols or numeric_columns(df)
     long = to_long(df, cols)
     v = F.col("v")
-    qs = (F.percentile_approx(v, F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)]), F.lit(accuracy)) if accuracy
-          else F.percentile(v, F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])))
     g = long.groupBy("columna").agg(
         F.count(v).alias("count"),
         rint_round(mean_of(v), 6).alias("mean"),
         rint_round(std_of(v), 6).alias("std"),
         F.min(v).alias("min"),
-        qs.alias("_q"),
         F.max(v).alias("max"),
-    )
+    ).join(_quantiles(long, ["columna"], "v", [0.25, 0.5, 0.75], accuracy).withColumnRenamed("q", "_q"), "columna", "left")
     return g.select(
         "columna", "count", "mean", "std", "min",
         *[rint_round(F.element_at("_q", i + 1).cast("double"), 6).alias(n) for i, n in enumerate(("q25", "q50", "q75"))],
@@ -77,11 +78,12 @@ def target_profile(df: DataFrame, target: str = "turistas") -> DataFrame:
     t = _q(target)
     g = df.agg(
         mean_of(t).alias("media"),
-        F.percentile(t.cast("double"), F.lit(0.5)).alias("mediana"),
         rint_round(std_of(t), 6).alias("desviacion"),
         F.min(t).cast("double").alias("minimo"),
         F.max(t).cast("double").alias("maximo"),
     )
+    median = quantiles(df, [], target, [0.5]).select(F.element_at("q", 1)).scalar()
+    g = g.select("media", median.alias("mediana"), "desviacion", "minimo", "maximo")
     cv = rint_round(F.try_divide(F.col("desviacion"), F.col("media")) * F.lit(100.0), 2)
     return g.select(
         "*", (F.col("maximo") - F.col("minimo")).alias("rango"), cv.alias("cv_pct"),
@@ -133,8 +135,8 @@ def duplicates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def iqr_bounds(df: DataFrame, target: str = "turistas", k: float = 1.5, accuracy: int | None = None) -> DataFrame:
     """Q-6 (first half): one row with Q1, Q3, IQR and the outlier bounds."""
-    x = _q(target).cast("double")
-    g = df.agg(_quantile(x, 0.25, accuracy).alias("q1"), _quantile(x, 0.75, accuracy).alias("q3"))
+    both = _quantiles(df, [], target, [0.25, 0.75], accuracy).agg(F.first("q").alias("q"))  # one row, also without values
+    g = both.select(F.element_at("q", 1).alias("q1"), F.element_at("q", 2).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return g.select("q1", "q3", iqr.alias("iqr"), (F.col("q1") - F.lit(k) * iqr).alias("limite_inferior"),
                     (F.col("q3") + F.lit(k) * iqr).alias("limite_superior"))
@@ -143,11 +145,10 @@ def iqr_bounds(df: DataFrame, target: str = "turistas", k: float = 1.5, accuracy
 def iqr_outliers(df: DataFrame, target: str = "turistas", k: float = 1.5, accuracy: int | None = None) -> DataFrame:
     """Q-6: bounds plus the count and percent of rows outside them (bounds as scalar subqueries)."""
     b = iqr_bounds(df, target, k, accuracy)
-    lo, hi = b.select("limite_inferior").scalar(), b.select("limite_superior").scalar()
+    both = b.select(F.struct("limite_inferior", "limite_superior")).scalar()
     x = _q(target)
-    c = df.agg(F.count_if((x < lo) | (x > hi)).alias("atipicos"), F.count(F.lit(1)).alias("filas"))
-    return b.select("*", c.select("atipicos").scalar().alias("atipicos"),
-                    rint_round(c.select("atipicos").scalar() / c.select("filas").scalar() * F.lit(100.0), 2).alias("pct"))
+    c = df.agg(F.count_if((x < both["limite_inferior"]) | (x > both["limite_superior"])).alias("atipicos"), F.count(F.lit(1)).alias("filas"))
+    return b.crossJoin(c).select(*b.columns, "atipicos", rint_round(F.col("atipicos") / F.col("filas") * F.lit(100.0), 2).alias("pct"))  # one row each
 
 
 def top_outliers(df: DataFrame, target: str = "turistas", n: int = 5, context=("año", "mes", "pais_origen", "punto_entrada"),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivo.functions import first_max_by, first_min_by, mean_of, rint_round
+from arrivo.operators.ranks import quantiles
 
 
 def _sum_long(c: str = "turistas"):
@@ -65,23 +66,24 @@ def box_stats(df: DataFrame, flags: list[str], value: str = "turistas") -> DataF
 
     Rows are exploded to ``(flag, level, value)`` so all flags share one
     aggregate; whiskers (most extreme values inside 1.5 IQR) and outlier counts
-    need the quartiles first, so the small quartile table (flags x levels rows)
-    is broadcast back for a second aggregate.
+    need the quartiles first (rank selection), so the quartile table (flags x
+    levels rows) is joined back for a second aggregate.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("flag"), F.col(f).cast("int").alias("level")) for f in flags]))
     long = df.select(pairs.alias("p"), F.col(value).cast("double").alias("v")).select("p.flag", "p.level", "v")
     q = long.groupBy("flag", "level").agg(
         F.count("v").alias("n"),
-        F.percentile("v", F.lit(0.25)).alias("q1"),
-        F.percentile("v", F.lit(0.5)).alias("mediana"),
-        F.percentile("v", F.lit(0.75)).alias("q3"),
         F.min("v").alias("minimo"),
         F.max("v").alias("maximo"),
     )
+    parts = quantiles(long, ["flag", "level"], "v", [0.25, 0.5, 0.75]).select(
+        "flag", "level", *[F.element_at("q", k).alias(n) for k, n in enumerate(("q1", "mediana", "q3"), 1)])
+    same = q["flag"].eqNullSafe(parts["flag"]) & q["level"].eqNullSafe(parts["level"])
+    q = q.join(parts, same, "left").select(q["flag"], q["level"], "n", "q1", "mediana", "q3", "minimo", "maximo")
     lo = F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))
     bounds = q.select("flag", "level", lo.alias("lo"), hi.alias("hi"))
-    w = long.join(F.broadcast(bounds), ["flag", "level"]).groupBy("flag", "level").agg(
+    w = long.join(bounds, ["flag", "level"]).groupBy("flag", "level").agg(
         F.min(F.when(F.col("v") >= F.col("lo"), F.col("v"))).alias("bigote_inf"),
         F.max(F.when(F.col("v") <= F.col("hi"), F.col("v"))).alias("bigote_sup"),
         F.count_if((F.col("v") < F.col("lo")) | (F.col("v") > F.col("hi"))).alias("atipicos"),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from arrivo.functions import rint_round
 from arrivo.operators.calendar import calendar_sql
 from arrivo.operators.profile import to_long
+from arrivo.operators.ranks import quantiles
 
 # Demand bands relative to the train mean.
 DEMAND_BANDS = [(1.5, "Demanda Muy Alta"), (1.0, "Demanda Por Encima del Promedio"), (0.7, "Demanda Moderada")]
@@ -44,8 +45,8 @@ class Scenario:
 
 
 def defaults(history: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """One row with the exact median of each numeric feature (rounded to 6), from one grouped aggregate."""
-    med = to_long(history, numeric).groupBy("columna").agg(rint_round(F.percentile("v", F.lit(0.5)), 6).alias("m"))
+    """One row with the exact median of each numeric feature (rounded to 6), from one rank selection."""
+    med = quantiles(to_long(history, numeric), ["columna"], "v", [0.5]).select("columna", rint_round(F.element_at("q", 1), 6).alias("m"))
     return med.groupBy().pivot("columna", numeric).agg(F.first("m"))
 
 
