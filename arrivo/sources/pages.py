@@ -1,11 +1,11 @@
 """Link discovery over a table of web pages.
 
 The reference looks for data-file links on catalogue pages.  Here a page is a
-row ``(page_id, url, html)``; links are pulled out with regular expressions,
-exploded with their position, matched against target names and keyword sets,
-resolved against the page URL, and reduced per (page, target).  Everything is
-column expressions plus one grouped aggregate keyed by page: no HTML parser,
-no per-page Python.
+row ``(page_id, url, html)``; a scanner cuts it into tokens (comments, raw text
+elements, tags with quoted values, text), the anchors' links are exploded with
+their position, matched against target names and keyword sets, resolved against
+the page URL, and reduced per (page, target).  Everything is column expressions
+plus one grouped aggregate keyed by page: no per-page Python.
 """
 
 from __future__ import annotations
@@ -17,10 +17,16 @@ from pyspark.sql import functions as F
 
 from arrivo.functions import strip_ws
 
-# An opening anchor tag with an href (double-quoted, single-quoted or bare) and what follows it up to its
-# closing tag, the next anchor or the end of the page.
-ANCHOR = (r"""(?is)<a\s[^>]*?(?<![\w-])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>"""
-          r"""(.*?)(?=</a\s*>|<a\s|\z)""")
+# Tokens of a page, tried in this order at each place. Loops are possessive: a page is scanned once, without going back.
+# What follows a tag's name: quotes only count after an equals sign, and a quoted value may hold ">".
+REST = r"""(?:[^=>]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
+COMMENT = r"<!--.*?(?:-->|\z)|<[!?][^>]*+>"
+RAW = rf"<(script|style|textarea|title)(?=[\s/>]){REST}.*?(?:</\1(?=[\s/>])[^>]*+>|\z)"
+TAG = rf"</?+[a-z][^\s/>]*+{REST}"
+TOKEN = f"(?is){COMMENT}|{RAW}|{TAG}|[^<]++|<"
+ATTRIBUTE = r"""(?is)[^\s/=>][^\s/=>]*+(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?"""
+# Marks in the joined pieces of a page: an anchor, the end of its link, the end of its text.
+ANCHOR, LINK_END, TEXT_END = "\x01", "\x02", "\x03"
 
 # The named HTML entities with their semicolon, as in Python's table. The usual ones come first, as Spark
 # looks a key up from the start of the map.
@@ -57,35 +63,82 @@ def unescape(c: Column) -> Column:
     return F.when(c.contains("&"), whole).otherwise(c)
 
 
+def _href(tag: Column) -> Column:
+    """The link of an opening anchor tag as written (the last one, if it is given twice); NULL without one."""
+    found = F.filter(F.regexp_extract_all(F.substr(tag, F.lit(3)), F.lit(ATTRIBUTE), F.lit(0)), lambda x: x.rlike(r"(?i)^href\s*="))
+    value = F.regexp_replace(F.get(found, F.size(found) - 1), r"(?is)^href\s*=\s*", "")
+    quoted = (value.startswith('"') & value.endswith('"') | value.startswith("'") & value.endswith("'")) & (F.length(value) > 1)
+    return F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
+def _piece(token: Column) -> Column:
+    """What a token adds to the joined text of a page: marks for anchors, text as it is, nothing for all else."""
+    opens = token.rlike(r"(?i)^<a[\s/>]")
+    return (F.when(~token.startswith("<"), F.translate(token, ANCHOR + LINK_END + TEXT_END, ""))
+            .when(token == "<", token)
+            .when(opens, F.coalesce(F.concat(F.lit(ANCHOR), _href(token), F.lit(LINK_END)), F.lit(TEXT_END)))
+            .when(token.rlike(r"(?i)^</a[\s/>]"), F.lit(TEXT_END))
+            .otherwise(F.lit("")))
+
+
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """All anchors of every page: ``page_id, url, pos, href, text`` (text without tags, stripped). One pass over a page."""
-    found = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))
-    z = pages.select("page_id", "url", F.posexplode(found).alias("pos", "a"))
+    """All anchors of every page: ``page_id, url, pos, href, text`` (text without tags, stripped). One pass over a page.
+
+    Nothing is found in comments and in script, style, textarea and title
+    elements, which go on to the end of the page if they are not closed. An
+    anchor's text ends at its closing tag, the next anchor or the end of the page.
+    """
+    tokens = F.regexp_extract_all(F.col(html), F.lit(TOKEN), F.lit(0))
+    joined = F.array_join(F.transform(tokens, _piece), "")
+    # what is ahead of the first anchor is dropped
+    z = pages.select("page_id", "url", F.posexplode(F.split(joined, ANCHOR)).alias("pos", "a")).where("pos > 0").withColumn("pos", F.col("pos") - 1)
     return z.select(
         "page_id", "url", "pos",
-        unescape(F.regexp_replace(F.regexp_extract("a", ANCHOR, 1), r"""^["']|["']$""", "")).alias("href"),
-        strip_ws(unescape(F.regexp_replace(F.regexp_extract("a", ANCHOR, 2), r"<[^>]*>", ""))).alias("text"),
+        unescape(F.substring_index("a", LINK_END, 1)).alias("href"),
+        strip_ws(unescape(F.substring_index(F.element_at(F.split("a", LINK_END), 2), TEXT_END, 1))).alias("text"),
     )
 
 
-def resolve(href: Column, base: Column) -> Column:
-    """Absolute link from ``href`` and the page URL (``urljoin`` without ``..`` folding).
+REFERENCE = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
-    ``http...`` is kept; ``//host/x`` takes the page scheme; ``/x`` takes scheme
-    and host; anything else is appended to the page's folder.
-    """
-    scheme = F.parse_url(base, F.lit("PROTOCOL"))
-    host = F.parse_url(base, F.lit("HOST"))
-    port = F.parse_url(base, F.lit("PORT"))
-    origin = F.concat(scheme, F.lit("://"), host, F.when(port.isNotNull(), F.concat(F.lit(":"), port)).otherwise(F.lit("")))
-    path = F.coalesce(F.parse_url(base, F.lit("PATH")), F.lit(""))
-    folder = F.regexp_replace(path, r"[^/]*$", "")
-    return (
-        F.when(href.startswith("http"), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .otherwise(F.concat(origin, F.when(folder == "", F.lit("/")).otherwise(folder), href))
-    )
+
+def _parts(ref: Column) -> tuple[Column, ...]:
+    """Scheme (lower case), authority (NULL if there is none), path, query, fragment."""
+    scheme, authority, path, query, fragment = (F.regexp_extract(ref, REFERENCE, k) for k in range(1, 6))
+    has = ref.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]")
+    return F.lower(scheme), F.when(has, authority), path, query, fragment
+
+
+def join_path(base: Column, path: Column) -> Column:
+    """A relative path on a base path: a stack of segments, on which ``..`` takes one off and ``.`` stands for nothing."""
+    folder = F.regexp_replace(base, "[^/]*$", "")
+    whole = F.split(F.when(path.startswith("/"), path).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path)), "/")
+    # empty segments inside go; the last one says whether the result names a folder
+    inner = F.filter(F.slice(whole, F.lit(2), F.size(whole) - 1), lambda x, i: (x != "") | (i == F.size(whole) - 2))
+    none = F.expr("CAST(array() AS array<string>)")
+    stack = F.aggregate(inner, none, lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+                        .when(x == ".", acc).otherwise(F.concat(acc, F.array(x))))
+    last = F.element_at(whole, -1)
+    closed = F.when(last.isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
+    return F.concat(F.lit("/"), F.array_join(closed, "/"))
+
+
+def url_join(base: Column, href: Column) -> Column:
+    """A reference resolved against a base URL (RFC 3986, as Python's ``urljoin`` for web addresses)."""
+    href = F.regexp_replace(F.regexp_replace(href, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    scheme, authority, path, query, fragment = _parts(href)
+    b_scheme, b_authority, b_path, b_query, _ = _parts(base)
+    same = (path == "") & authority.isNull()
+    own = F.when(authority.isNotNull(), path).when(same, b_path).otherwise(join_path(b_path, path))
+    asked = F.when(same & (query == ""), b_query).otherwise(query)
+    tail = lambda mark, x: F.when(x == "", F.lit("")).otherwise(F.concat(F.lit(mark), x))
+    joined = F.concat(b_scheme, F.lit("://"), F.coalesce(authority, b_authority, F.lit("")), own, tail("?", asked), tail("#", fragment))
+    return F.when(href == "", base).when((scheme != "") & (scheme != b_scheme), href).otherwise(joined)
+
+
+def resolve(href: Column, base: Column) -> Column:
+    """Absolute link from ``href`` and the page URL; what starts with ``http`` is kept, as the reference does."""
+    return F.when(href.startswith("http"), href).otherwise(url_join(base, href))
 
 
 def target_links(pages: DataFrame, targets=TARGET_FILES, suffix: str = DATA_SUFFIX) -> DataFrame:
