@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivo.functions import rint_round
-from arrivo.sources.catalog import DEFAULTS, header_status, small_file_rule
+from arrivo.sources.catalog import DEFAULTS, header_status, landing_status
 
 # Categories, critical ones, and column keywords per category.
 CATEGORIES = ["turismo", "economico", "infraestructura", "general", "trends"]
@@ -50,21 +50,20 @@ def file_checks(files: DataFrame, tables: dict[str, DataFrame], categories: dict
     ``files`` is as from ``catalog.file_sizes`` (one row per table, whatever its
     number of part files); ``tables`` maps a table's name to its DataFrame;
     ``categories`` maps it to a category.  Status: ``cached`` when at least ``min_bytes`` long (already
-    landed), else ``downloaded_small``, upgraded by the small-file rule (S6) or
-    ``rejected``; the header check (S13) marks tables with no expected word.
+    landed), else ``downloaded_small`` if the small-file rule (S6) takes it, else
+    ``error``; the header check (S13) marks tables with no expected word, small ones first.
     """
     prof = reduce(lambda a, b: a.unionByName(b), [table_profile(n, t) for n, t in tables.items()])
     cat = files.sparkSession.createDataFrame(list(categories.items()), "name string, category string")
     j = files.join(prof, "name").join(cat, "name", "left").withColumn("category", F.coalesce("category", F.lit("general")))
     small = F.col("size") < F.lit(min_bytes)
-    accepted = small_file_rule(F.col("rows"), F.col("columns"), F.col("size"), F.lit(min_bytes))
-    status = F.when(~small, F.lit("cached")).when(accepted, F.lit("downloaded_small")).otherwise(F.lit("rejected"))
+    status = landing_status(F.col("size"), F.col("rows"), F.col("columns"), F.lit(min_bytes))
     enough = F.col("rows") >= F.lit(min_rows)
     return j.select(
         "name", "path", "category", "size", "files",
         rint_round(F.col("size") / F.lit(1024.0 * 1024.0), 3).alias("size_mb"),
         status.alias("status"),
-        header_status(F.col("column_names"), header_words, F.lit(False)).alias("header_status"),
+        header_status(F.col("column_names"), header_words, small).alias("header_status"),
         "rows", "columns", "empty_columns", "numeric_columns",
         "keyword_columns", enough.alias("has_data"),
         F.when(enough, F.lit("good")).otherwise(F.lit("needs_review")).alias("data_quality"),

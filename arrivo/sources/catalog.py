@@ -148,24 +148,29 @@ def base_name(path_col) -> F.Column:
     return F.regexp_extract(path_col, r"([^/]+?)(\.[^./]*)?$", 1)
 
 
-def landing_manifest(files: DataFrame, cat: DataFrame) -> DataFrame:
-    """One row per catalogue source with size and status.
+def landing_manifest(files: DataFrame, cat: DataFrame, content: DataFrame) -> DataFrame:
+    """S5 + S6: one row per catalogue source with size and status.
 
     A landed file at least ``min_bytes`` long is ``cached`` (already landed, no
-    new download needed); a shorter one is ``downloaded_small``; none is
-    ``error``.  ``files`` is as from ``file_sizes``; a table belongs to the
+    new download needed).  A shorter one is ``downloaded_small`` if it passes
+    the small-file rule, else ``error`` without a path, like a missing one.
+    ``content`` has a landed table's ``dataset_name``, ``records`` and
+    ``n_columns``.  ``files`` is as from ``file_sizes``; a table belongs to the
     source whose ``dataset_name`` equals its name (an equi-join, so any number
     of tables is joined by hash, never pair by pair).
     """
     f = files.select(F.col("path").alias("file_path"), "size", F.col("name").alias("dataset_name"))
-    joined = cat.drop("path").join(f, "dataset_name", "left")
-    status = (
-        F.when(F.col("file_path").isNull(), F.lit("error"))
-        .when(F.col("size") >= F.col("min_bytes"), F.lit("cached"))
-        .otherwise(F.lit("downloaded_small"))
-    )
-    return joined.select("src", "dataset_name", F.col("file_path").alias("path"), "size", status.alias("status"),
-                         "category", "frequency", "min_bytes")
+    joined = cat.drop("path").join(f, "dataset_name", "left").join(content, "dataset_name", "left")
+    status = landing_status(F.col("size"), F.col("records"), F.col("n_columns"), F.col("min_bytes"))
+    return joined.select("src", "dataset_name", F.when(status != "error", F.col("file_path")).alias("path"), "size", status.alias("status"),
+                         "category", "frequency", "min_bytes", "records")
+
+
+def landing_status(size, n_rows, n_cols, min_bytes) -> F.Column:
+    """S5 + S6: ``cached``, ``downloaded_small`` or ``error`` of a landed table (``size`` NULL: not landed)."""
+    return (F.when(size >= min_bytes, F.lit("cached"))
+            .when(F.coalesce(small_file_rule(n_rows, n_cols, size, min_bytes), F.lit(False)), F.lit("downloaded_small"))
+            .otherwise(F.lit("error")))
 
 
 def small_file_rule(n_rows, n_cols, size, min_bytes):

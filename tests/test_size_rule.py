@@ -17,7 +17,7 @@ def plain_status(root, name):
     meta = pq.read_metadata(path)
     if os.path.getsize(path) >= 2000:
         return "cached"
-    return "downloaded_small" if meta.num_rows > 0 and meta.num_columns > 2 else "rejected"
+    return "downloaded_small" if meta.num_rows > 0 and meta.num_columns > 2 else "error"
 
 
 @pytest.fixture(scope="module")
@@ -28,24 +28,25 @@ def want(sf):
 def test_sized_checks_against_plain_rule(spark, sf, want):
     got = {r["name"]: (r["status"], r["size"]) for r in E.queries()["sized_checks"](spark, sf).collect()}
     assert got == {n: (s, os.path.getsize(f"{sf}/{n}.parquet")) for n, s in want.items()}
-    assert set(want.values()) == {"cached", "downloaded_small", "rejected"}
+    assert set(want.values()) == {"cached", "downloaded_small", "error"}
 
 
 def test_sized_report_and_rollup_count_rejected_tables(spark, sf, want):
-    failed = sum(s == "rejected" for s in want.values())
+    failed = sum(s == "error" for s in want.values())
     r = E.queries()["sized_report"](spark, sf).first()
     assert (r.total_files, r.successful_files, r.failed_files) == (len(want), len(want) - failed, failed)
     assert r.success_rate == round((len(want) - failed) * 100 / len(want), 1) < 100
     skipped = {r.category: (r.processed, r.skipped) for r in E.queries()["sized_rollup"](spark, sf).collect()}
     for c, counts in skipped.items():
         own = [s for n, s in want.items() if CATEGORY_OF.get(n, "general") == c]
-        assert counts == (sum(s != "rejected" for s in own), sum(s == "rejected" for s in own))
+        assert counts == (sum(s != "error" for s in own), sum(s == "error" for s in own))
 
 
 def test_sized_manifest_knows_small_and_missing_tables(spark, sf, want):
     got = {r.src: (r.status, r.min_bytes, r.admitted) for r in E.queries()["sized_manifest"](spark, sf).collect()}
-    status = {n: "cached" if s == "cached" else "downloaded_small" for n, s in want.items()}
-    assert got == {n: (s, 2000, True) for n, s in status.items()} | {"missing_feed": ("error", 2000, False)}
+    assert got == {n: (s, 2000, s != "error") for n, s in want.items()} | {"missing_feed": ("error", 2000, False)}
+    plain = {r.src: (r.status, r.min_bytes, r.admitted) for r in E.queries()["landing_manifest"](spark, sf).collect()}
+    assert plain == got
 
 
 def test_size_of_part_files_is_their_sum(spark, tmp_path):
@@ -59,4 +60,5 @@ def test_size_of_part_files_is_their_sum(spark, tmp_path):
     limit = max(sizes[n] for n in ("two", "three", "none")) + 1
     assert max(p.stat().st_size for p in (tmp_path / "parts.parquet").glob("*.parquet")) < limit <= sizes["parts"]
     checks = quality.file_checks(catalog.file_sizes(spark, str(tmp_path)), tables, {}, min_bytes=limit).collect()
-    assert {r["name"]: r.status for r in checks} == {"two": "rejected", "three": "downloaded_small", "none": "rejected", "parts": "cached"}
+    assert {r["name"]: r.status for r in checks} == {"two": "error", "three": "downloaded_small", "none": "error", "parts": "cached"}
+    assert {r["name"]: r.header_status for r in checks}["three"] == "downloaded_small"
