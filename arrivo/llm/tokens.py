@@ -5,20 +5,24 @@ segments: an id is cut into chunks of eight bits; level k holds the k-th chunk o
 continuation bitmap says which go on in the next level, and a rank directory (ones before each block of 512
 bits) gives an id's place there. So any token is found from a few bytes of each level (:func:`token_at`)
 without decoding a block. A segment is one row of a Parquet table in a folder that Spark writes and commits:
-part, seq (ascending in identifier order), doc_ids, counts, tokens, payload.
+part, seq (ascending in identifier order), doc_ids, counts, tokens, payload. The column is not compressed, and
+:func:`token` finds any token of the corpus by its number: it sums the segments' counts, reads the one segment that
+holds it, and addresses the id there. (A Parquet value has no address of its own, so a segment is read whole.)
 
 Encoding goes through the tokenizers library. If its file is plain byte-level BPE, texts in Latin characters
 are split as the file's splitter does and each distinct word is encoded by the library once per cache; all
 other texts are given to the library whole.
 
 Edge cases: null text is empty and has the end id only; a null identifier comes first; rows that repeat an
-identifier all stay, ordered by text; extra columns are not read; an empty table writes no segments.
+identifier all stay, ordered by text; identifiers must be integers (a ValueError is raised for other types); a very
+long text makes one long segment; extra columns are not read; an empty table writes no segments.
 """
 
 from __future__ import annotations
 
 import itertools
 import json
+import os
 import re
 import struct
 import unicodedata
@@ -122,6 +126,8 @@ class Encoder:
     def __init__(self, path: str, cache: int = 1_300_000):
         from tokenizers import Tokenizer
 
+        # the tasks are what runs in parallel; the library's own threads would only wait for each other
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -206,6 +212,8 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
 
     A segment ends with a document, so a longer document makes a longer segment.
     """
+    if docs.schema[id_col].dataType.simpleString() not in ("bigint", "int", "smallint", "tinyint"):
+        raise ValueError(f"{id_col} must be an integer column")
     rows = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
 
     def run(batches):
@@ -236,20 +244,31 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
             yield segment()
 
     (rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
-     .mapInArrow(run, SEGMENT).write.parquet(out))
+     .mapInArrow(run, SEGMENT).write.option("compression", "none").parquet(out))
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of every document in the files.
-
-    Only the tokens per part (one row per written task) are summed in one task.
-    """
-    files = spark.read.schema(SEGMENT).parquet(path)
+def segment_starts(files: DataFrame) -> DataFrame:
+    """part, seq, start (ids of all segments before it); only the tokens per part (one row per written task) are summed in one task."""
     before = lambda order, by: F.sum("tokens").over(Window.partitionBy(*by).orderBy(order)) - F.col("tokens")
     parts = (files.groupBy("part").agg(F.sum("tokens").alias("tokens"))
              .select("part", before("part", []).alias("part_start")))
     starts = files.select("part", "seq", before("seq", ["part"]).alias("seq_start")).join(parts, "part")
-    index = stored(starts.select("part", "seq", (F.col("part_start") + F.col("seq_start")).alias("start")), "token-index")
+    return starts.select("part", "seq", (F.col("part_start") + F.col("seq_start")).alias("start"))
+
+
+def token(spark: SparkSession, path: str, i: int) -> int:
+    """The i-th id of all files at ``path``: the payload of its segment alone is read."""
+    files = spark.read.schema(SEGMENT).parquet(path)
+    own = segment_starts(files).where(F.col("start") <= i).orderBy(F.col("start").desc(), F.col("part").desc(), F.col("seq").desc()).first()
+    if own is None or i < 0:
+        raise IndexError(i)
+    return token_at(files.where((F.col("part") == own.part) & (F.col("seq") == own.seq)).first().payload, i - own.start)
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of every document in the files."""
+    files = spark.read.schema(SEGMENT).parquet(path)
+    index = stored(segment_starts(files), "token-index")
     placed = files.join(index, ["part", "seq"]).select("start", "doc_ids", "counts", "payload")
 
     def run(batches):

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from helpers import CLASH, WORDS, documents, same_as_twin, table
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -201,6 +202,14 @@ def test_token_files_edges(spark, tmp_path):
     ids = [i for s in segments for i in tokens.unpack(s.payload).tolist()]
     flat = [[*PLAIN.encode(x or "", add_special_tokens=False).ids, 0] for _, x in order]
     assert ids == [i for x in flat for i in x]
+    many = str(tmp_path / "many")
+    tokens.write_tokens(docs, many, FILE, segment_tokens=50)
+    assert [tokens.token(spark, many, i) for i in (0, 1, 77, len(ids) - 1)] == [ids[i] for i in (0, 1, 77, len(ids) - 1)]
+    for i in (-1, len(ids)):
+        with pytest.raises(IndexError):
+            tokens.token(spark, many, i)
+    with pytest.raises(ValueError):
+        tokens.token_files(docs.selectExpr("'d1' AS doc_id", "text"), FILE)
 
 
 # --- chats ------------------------------------------------------------------------------------------------
