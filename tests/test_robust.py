@@ -69,7 +69,7 @@ def test_row_minimum_uses_all_rows(spark, tmp_path):
     assert (r.rows, r.files, r.has_data, r.data_quality) == (250, 4, True, "good")
     assert r.size == sum(f.stat().st_size for f in (tmp_path / "t.parquet").glob("*.parquet"))
     small = quality.file_checks(files, {"t": spark.read.parquet(str(tmp_path / "t.parquet")).limit(0)}, {}, min_bytes=1 << 30).first()
-    assert small.status == "rejected" and small.category == "general"
+    assert small.status == "error" and small.category == "general"
 
 
 def test_only_a_missing_path_leads_to_the_sample(spark, tmp_path):
