@@ -7,5 +7,6 @@ files not yet recorded in the stream's checkpoint, then stops.
 """
 
 from arrivo.streaming.landing import land_new_files
+from arrivo.streaming.status import land_with_status
 
-__all__ = ["land_new_files"]
+__all__ = ["land_new_files", "land_with_status"]
