@@ -2,7 +2,7 @@
 
 Writes, under ``OUT``: the standardised rows by entry point (S15), the monthly
 quote and interest tables, the final table sorted by month, origin and entry
-point (S16), and the validation report as JSON (S17), each inside a
+point (S16), and the run's counters and the validation report as JSON (S17), each inside a
 ``run_date=...`` folder so a re-run replaces only its own date (S18).
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 def run(spark, sf_dir: str, out: str, run_date: str, csv: bool = False) -> dict:
     from arrivo.operators import quality
+    from arrivo.operators.counters import RunCounters
     from arrivo.plans import pipeline as pl
     from arrivo.plans.queries_sources import CATEGORY_OF
     from arrivo.sources import catalog
@@ -23,9 +24,11 @@ def run(spark, sf_dir: str, out: str, run_date: str, csv: bool = False) -> dict:
 
     fmt = "csv" if csv else "parquet"
     base = f"{out.rstrip('/')}/run_date={run_date}"
-    std = pl.standardised(spark, sf_dir)
+    watch = RunCounters()
+    std = pl.standardised(spark, sf_dir, watch=watch)
     catalog.write_partitioned(std.withColumn("category", F.lit("turismo")).withColumnRenamed("src", "source"),
                               f"{base}/curated", partition_cols=("category", "source"), fmt=fmt)
+    catalog.write_json_doc(watch.table(spark), f"{base}/reports/counters")
     pl.quotes_monthly(spark, sf_dir).write.mode("overwrite").format(fmt).save(f"{base}/processed/quotes_monthly")
     pl.interest_monthly(spark, sf_dir).write.mode("overwrite").format(fmt).save(f"{base}/processed/interest_monthly")
     catalog.write_sorted(pl.final(spark, sf_dir), f"{base}/processed/final", fmt=fmt)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from arrivo.functions import clean_text, num_of, rint_round, strip_ws, ts_of
 from arrivo.operators.calendar import expand_by_frequency
+from arrivo.operators.counters import RunCounters
 
 # Column-name keywords that identify each role in a raw file.
 DATE_KEYWORDS = ["indice_tiempo", "anio_trimestre", "año_trimestre", "trimestre", "periodo", "fecha"]
@@ -90,7 +91,8 @@ def union_by_roles(sources: dict[str, DataFrame], roles=ARRIVAL_ROLES, keep=("sr
 
 # ---------------------------------------------------------------- C6-C13 standardise
 
-def standardise_arrivals(raw: DataFrame, cat: DataFrame, start: str = "2014-01-01") -> DataFrame:
+def standardise_arrivals(raw: DataFrame, cat: DataFrame, start: str = "2014-01-01",
+                         watch: RunCounters | None = None) -> DataFrame:
     """Raw arrival rows ``(src, period, country, visitors)`` to monthly rows.
 
     Joins the catalogue (C7, inner: unknown sources are skipped), cleans the
@@ -98,22 +100,24 @@ def standardise_arrivals(raw: DataFrame, cat: DataFrame, start: str = "2014-01-0
     on the date itself: quirk Q2 fixed), then expands quarterly rows (T1, T2).
     The catalogue has one row per source (configuration), so the join is a
     broadcast by size.  Output: ``src, indice_tiempo, fecha_std, pais_origen,
-    punto_entrada, turistas``.
+    punto_entrada, turistas``.  ``watch`` counts rows, losses and totals while the result is written.
     """
     c = cat.select("src", "frequency", "punto_entrada")
     d = ts_of(raw, "period")
-    visitors = F.coalesce(num_of(raw, "visitors").try_cast("long"), F.lit(0).cast("long"))
-    rows = (
-        raw.join(c, "src")
-        .select(
-            "src", "frequency", "punto_entrada",
-            clean_text("country").alias("pais_origen"),
-            visitors.alias("turistas"),
-            d.alias("fecha"),
-        )
-        .filter(F.col("fecha").isNotNull() & (F.col("fecha") >= F.lit(start).cast("timestamp_ntz")))
-    )
+    number = num_of(raw, "visitors").try_cast("long")
+    floor = F.lit(start).cast("timestamp_ntz")
+    joined = (watch.read(raw) if watch else raw).join(c, "src")
+    cols = ["src", "frequency", "punto_entrada", clean_text("country").alias("pais_origen"),
+            F.coalesce(number, F.lit(0).cast("long")).alias("turistas"), d.alias("fecha")]
+    if watch:
+        rows = watch.cleaned(joined.select(*cols, number.alias("_number")), F.col("_number"), F.col("fecha"), floor,
+                             F.col("turistas")).drop("_number")
+    else:
+        rows = joined.select(*cols)
+    rows = rows.filter(F.col("fecha").isNotNull() & (F.col("fecha") >= floor))
     out = expand_by_frequency(rows, "fecha", "turistas")
+    if watch:
+        out = watch.expanded(out, "turistas")
     return out.select("src", "indice_tiempo", "fecha_std", "pais_origen", "punto_entrada", "turistas")
 
 

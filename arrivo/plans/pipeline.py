@@ -41,8 +41,8 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.union_by_roles({"landed": fx.landed_arrivals(spark, sf_dir)})[0]
 
 
-def standardised(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    return clean.standardise_arrivals(raw_arrivals(spark, sf_dir), fixture_catalog(spark), p.start)
+def standardised(spark: SparkSession, sf_dir: str, p: Params = DEFAULT, watch=None) -> DataFrame:
+    return clean.standardise_arrivals(raw_arrivals(spark, sf_dir), fixture_catalog(spark), p.start, watch)
 
 
 def fact(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from arrivo.functions import clean_text, month_key, normalise_month_key, number_or_zero, parse_ts, safe_number
 from arrivo.operators import assemble, calendar, clean
+from arrivo.operators.counters import RunCounters
 from arrivo.plans import oracle as O
 from arrivo.plans import pipeline as pl
+from arrivo.sources import catalog
 from arrivo.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,6 +209,40 @@ def q_conservation(spark, d):
     return assemble.conservation(raw, std, assemble.monthly_fact(std))
 
 
+# Landed arrivals as text, with countries whose numbers or dates cannot be read, and one source that the catalogue lacks.
+_SPOILED_SQL = """
+spoiled AS (SELECT *, pais_residencia LIKE 'A%' AS no_number, pais_residencia LIKE 'I%' AS no_date,
+                   src IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AS quarterly, src <> '4-NOT SPECIFIED' AS known,
+                   CASE WHEN pais_residencia LIKE 'A%' THEN 0 ELSE turistas_no_residentes END AS n FROM landed)"""
+
+
+@query("run_counters", O.with_extra(["landed"], _SPOILED_SQL, """
+SELECT count(*) AS rows_read, count(*) FILTER (NOT known) AS unknown_sources, count(*) FILTER (known) AS rows_of_known_sources,
+       count(*) FILTER (known AND no_number) AS bad_numbers, count(*) FILTER (known AND no_date) AS bad_dates,
+       count(*) FILTER (known AND NOT no_date AND periodo < DATE '1996-01-01') AS before_floor,
+       CAST(sum(n) FILTER (stays) AS BIGINT) AS total_kept,
+       CAST(sum(CASE WHEN quarterly THEN 3 ELSE 1 END) FILTER (stays) AS BIGINT) AS rows_out,
+       CAST(sum(CASE WHEN quarterly THEN n // 3 * 3 ELSE n END) FILTER (stays) AS BIGINT) AS total_out,
+       CAST(sum(CASE WHEN quarterly THEN n % 3 ELSE 0 END) FILTER (stays) AS BIGINT) AS split_loss,
+       CAST(sum(CASE WHEN quarterly THEN 3 ELSE 1 END) FILTER (stays) AS BIGINT) AS rows_written,
+       count(DISTINCT src) FILTER (stays) AS folders
+FROM (SELECT *, known AND NOT no_date AND periodo >= DATE '1996-01-01' AS stays FROM spoiled)"""))
+def q_run_counters(spark, d):
+    """A2 + A20 + C5 + C10-C13 + S15: counters observed on the write of the standardised rows by source."""
+    from arrivo.session import scratch_path
+
+    raw = pl.raw_arrivals(spark, d)
+    starts = lambda x: F.col("country").startswith(x)
+    spoiled = raw.select("src", "country", F.when(starts("A"), "n/a").otherwise(F.col("visitors").cast("string")).alias("visitors"),
+                         F.when(starts("I"), "unknown").otherwise(F.col("period").cast("string")).alias("period"))
+    known = pl.fixture_catalog(spark).where("src != '4-NOT SPECIFIED'")
+    watch, path = RunCounters(), scratch_path(spark, "counted")
+    std = clean.standardise_arrivals(spoiled, known, "1996-01-01", watch)
+    catalog.write_partitioned(std.withColumnRenamed("src", "source"), path, ("source",))
+    back = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_written"), F.count_distinct("source").alias("folders"))
+    return back.withColumns({k: F.lit(v).cast("long") for k, v in watch.values().items()})
+
+
 @query("quotes_monthly", O.with_(["quotes_monthly"], "SELECT * FROM quotes_monthly"))
 def q_quotes_monthly(spark, d):
     """A3: monthly quote statistics."""
