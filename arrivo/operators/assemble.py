@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from arrivo.functions import mean_of, month_key, rint_round
 from arrivo.operators.calendar import calendar_features
-from arrivo.operators.ranks import quantiles
+from arrivo.operators.ranks import LIMIT, quantiles, rank_by_ranges
 
 KEYS = ["indice_tiempo", "pais_origen", "punto_entrada"]
 
@@ -224,27 +224,31 @@ def join_coverage(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- W5
 
-def positional_rank(df: DataFrame, keys=KEYS, name: str = "pos") -> DataFrame:
+def positional_rank(df: DataFrame, keys=KEYS, name: str = "pos", limit: int = LIMIT) -> DataFrame:
     """1-based global row number in key order, without a single-partition window over the rows.
 
     The first key (the month) splits the work: each month's rows are numbered
-    by ``row_number`` inside that month (one task per month; a month holds at
-    most origins x entry points fact rows), and each month gets the offset of
+    by ``row_number`` inside that month (one task per month), and each month gets the offset of
     all earlier months from a cumulative sum over the per-month count table,
     which has one row per month (a missing month is one, ordered first).
-    Deterministic: no row ids, no sampling.
+    Where a month holds more than ``limit`` rows, the rows are ranked by ranges of
+    all keys instead (``ranks.rank_by_ranges``), which cut a hot month as well.
+    Counts the months when called.  Rows with equal keys get their numbers in any order.
     """
     first, rest = keys[0], list(keys[1:])
-    per = df.groupBy(first).agg(F.count(F.lit(1)).alias("_n"))
+    per = df.groupBy(F.col(f"`{first}`").alias("_first")).agg(F.count(F.lit(1)).alias("_n"))
+    largest, rows = per.agg(F.max("_n"), F.sum("_n")).first()
+    if (largest or 0) > limit:
+        return rank_by_ranges(df, list(keys), name, rows, limit)
     offsets = per.select(
-        first,
-        F.coalesce(F.sum("_n").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        "_first",
+        F.coalesce(F.sum("_n").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_off"),
     )
-    w = Window.partitionBy(first).orderBy(*[F.col(f"`{k}`") for k in rest])
+    w = Window.partitionBy(f"`{first}`").orderBy(*[F.col(f"`{k}`") for k in rest])
     return (
         df.withColumn("_local", F.row_number().over(w))
-        .join(offsets.withColumnRenamed(first, "_first"), F.col(f"`{first}`").eqNullSafe(F.col("_first")))
+        .join(offsets, F.col(f"`{first}`").eqNullSafe(F.col("_first")))
         .withColumn(name, (F.col("_off") + F.col("_local")).cast("long"))
         .drop("_local", "_off", "_first")
     )

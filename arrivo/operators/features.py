@@ -33,7 +33,7 @@ def with_split(df: DataFrame, train_share: float = 0.8, keys=KEYS, n_folds: int
 
     Folds are contiguous over the train rows in order, unshuffled, the first
     ``n_train % k`` folds one row larger (scikit-learn ``KFold``); test rows get
-    fold NULL.  ``n`` is a scalar subquery, so nothing is collected.
+    fold NULL.  ``n`` is a scalar subquery; only the size of the largest month comes to the driver.
     """
     ranked = positional_rank(df, keys, "pos")
     n = df.agg(F.count(F.lit(1))).scalar()

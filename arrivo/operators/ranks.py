@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrivo.session import materialize
+from arrivo.session import materialize, scratch_path
 
 #: Values of a group that one task ranks.
 LIMIT = 1_000_000
@@ -117,3 +117,38 @@ def _small(rows: DataFrame, by: list[str], ps: list[float]) -> DataFrame:
     z = z.groupBy(*by, "n").agg(*[f(x).alias(f"{s}{k}") for k, p in enumerate(ps)
                                   for s, f, x in (("lo", first, F.floor(_place(p))), ("hi", first, F.ceil(_place(p))))])
     return z.select(*by, "n", F.array(*[_between(p, F.col(f"lo{k}"), F.col(f"hi{k}")) for k, p in enumerate(ps)]).alias("q"))
+
+
+# ---------------------------------------------------------------- W5
+
+#: Parts that a sampled range partitioning makes for every ``LIMIT`` rows: its parts differ in size.
+PARTS_PER_LIMIT = 4
+
+
+def range_parts(df: DataFrame, keys: list[str], rows: int, limit: int = LIMIT) -> DataFrame:
+    """``df`` written in the order of ``keys``, one sorted file per range; with ``__part`` and the row's place ``__at`` in it.
+
+    Equal keys follow a hash of all columns, so a hot key is cut into several ranges, too; only rows that are equal in
+    every column stay together. The files fix the ranges, which a second sampling could draw otherwise.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "ranged")
+    order = [F.col(f"`{k}`") for k in keys]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")] or [F.lit(0)])
+    ranged = (df.withColumn("__tie", tie).repartitionByRange(max(1, -(-rows * PARTS_PER_LIMIT // limit)), *order, "__tie")
+              .sortWithinPartitions(*order, "__tie").drop("__tie").withColumn("__part", F.spark_partition_id()))
+    ranged.write.option("maxRecordsPerFile", 0).parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path).withColumn("__at", F.col("_metadata.row_index"))
+
+
+def rank_by_ranges(df: DataFrame, keys: list[str], name: str, rows: int, limit: int = LIMIT) -> DataFrame:
+    """1-based global row number in the order of ``keys`` (nulls first), whatever the keys' distribution.
+
+    A row's number is the count of rows in earlier files plus its place in its own: one exchange, no window over rows.
+    The table of offsets has a row per file.
+    """
+    parts = range_parts(df, keys, rows, limit)
+    sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select(F.col("__part").alias("__of"), before.alias("__before"))
+    return (parts.join(offsets, F.col("__part") == F.col("__of"))
+            .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + F.col("__at") + 1).alias(name)))

@@ -156,3 +156,14 @@ def q_incremental_landing(spark, d):
     landed = spark.read.parquet(f"{root}/sink")
     return landed.groupBy(F.col("run_date").cast("string").alias("run_date")).agg(
         F.count(F.lit(1)).alias("records"), F.count_distinct("o_orderkey").alias("orders"))
+
+
+_LINE_ORDER = ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("line_positions", f"""
+SELECT {", ".join(_LINE_ORDER)}, row_number() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in _LINE_ORDER)}) AS pos FROM lineitem""")
+def q_line_positions(spark, d):
+    """W5 + O1: the global position of every line, where the first key has three values and one holds half of the rows."""
+    lines = fx.table(spark, d, "lineitem").select(*_LINE_ORDER)
+    return assemble.positional_rank(lines, _LINE_ORDER, limit=10_000)
