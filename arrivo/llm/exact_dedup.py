@@ -72,25 +72,53 @@ def _sifted(rows: DataFrame, hits: DataFrame) -> DataFrame:
             .where(F.getbit("bits", F.col("bit")) == 1).drop("word", "bit", "bits"))
 
 
+def _intake(thin: DataFrame, home: str) -> tuple[str, bool]:
+    """Path of the thin records under ``home``, and whether other batches were passed before.
+
+    Named by the rows' locators: a batch that is passed again after a failed run finds its records there. They are not
+    written again, so that the stream, which knows its files by name, never takes a row twice.
+    """
+    spark = thin.sparkSession
+    h = F.xxhash64("file", "row")
+    n, mixed, total = thin.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.pmod(h, F.lit(1 << 31)))).first()
+    name = f"run={n}-{(mixed or 0) & (2**64 - 1):016x}-{total or 0}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{home}/intake")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    others = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{home}/intake/{name}/_SUCCESS")):
+        thin.write.mode("overwrite").parquet(f"{home}/intake/{name}")
+    return f"{home}/intake/{name}", any(o != name for o in others)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Column | None = None,
                 state_dir: str | None = None, contents: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: row (all its columns), doc_id, keep_id, group_size, kept, text_sha256.
 
     ``digest`` replaces SHA-256 of the normalised text (any deterministic expression is right, a weak one
     only costs more byte checks). ``state_dir`` keeps intake and state between runs over growing data:
-    pass only new rows each time, and as ``contents`` the table of all rows passed so far, in which the
-    locators are looked up; the result covers the new rows, with the state of all runs.
+    pass only new rows each time, and as ``contents`` the table of all rows passed so far, these included; the result covers the new rows, with the state of all runs. Both must be read from Parquet
+    files, whose rows can be found again. A batch that is passed again, after a failed run or a full one, counts once.
+    Where ``contents`` lacks a row of a group that the new rows join, the run fails: full bytes are always compared.
+    The state keeps the number of partitions (``spark.sql.shuffle.partitions``) of its first run.
     """
     spark = docs.sparkSession
+    given = docs
     docs, file, row = located(docs)
+    if state_dir and docs is not given:
+        raise ValueError("with state_dir the rows must be read from Parquet files")
     norm = lower_ascii(col(text_col))
     sha = F.unhex(F.sha2(norm, 256))
     key = sha if digest is None else digest
     thin = docs.select(key.alias("digest"), col(id_col).alias("id"), file.alias("file"), row.alias("row"))
     home = state_dir or shared_path(spark, "dedup")
-    run = shared_path(spark, "x").rsplit("-", 1)[1]
-    thin.write.parquet(f"{home}/intake/run={run}")
-    intake = spark.read.schema(thin.schema).parquet(f"{home}/intake/run={run}")
+    if state_dir:
+        path, earlier = _intake(thin, home)
+        if earlier and contents is None:
+            raise ValueError("the state holds earlier rows: pass all rows as contents")
+    else:
+        path = f"{home}/intake/run=1"
+        thin.write.parquet(path)
+    intake = spark.read.schema(thin.schema).parquet(path)
     out = docs.select(whole_row(docs).alias("row"), key.alias("digest"), file.alias("file"), row.alias("at"),
                       col(id_col).alias("doc_id"), F.hex(sha).alias("sha"))
     if intake.isEmpty():
@@ -98,17 +126,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           F.lit(True).alias("kept"), F.lower("sha").alias("text_sha256"))
     state = _run_stream(spark, f"{home}/intake/*", thin.schema, f"{home}/state")
 
-    # Full bytes of the hits: each text that shares a digest against the text that stays.
+    # Full bytes of the hits: each text that shares a digest, of all runs, against the text that stays.
     hits = state.where("n > 1")
-    located_texts = docs.select(key.alias("digest"), norm.alias("norm"), col(id_col).alias("id"), file.alias("file"), row.alias("row"))
+    source, s_file, s_row = docs, file, row
+    if contents is not None:
+        hits = hits.join(intake.select("digest"), "digest", "left_semi")
+        source, s_file, s_row = located(contents)
+        if source is not contents:
+            raise ValueError("contents must be read from Parquet files")
+    located_texts = source.select(key.alias("digest"), norm.alias("norm"), col(id_col).alias("id"), s_file.alias("file"), s_row.alias("row"))
     texts = stored(_sifted(located_texts, hits).join(hits, "digest"), "dedup-hits")
-    if contents is None:
-        stays = texts.where("keep.file = file and keep.row = row").select("digest", F.col("norm").alias("kept_norm"))
-    else:
-        contents, c_file, c_row = located(contents)
-        stays = (contents.select(lower_ascii(col(text_col)).alias("kept_norm"), c_file.alias("c_file"), c_row.alias("c_row"))
-                 .join(hits.select("digest", "keep"), (F.col("c_file") == F.col("keep.file")) & (F.col("c_row") == F.col("keep.row")))
-                 .select("digest", "kept_norm"))
+    if contents is not None:
+        found = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("found"))
+        if not hits.join(found, "digest", "left").where("coalesce(found, 0) != n").isEmpty():
+            raise ValueError("contents must hold the rows of all runs, once each")
+    stays = texts.where("keep.file = file and keep.row = row").select("digest", F.col("norm").alias("kept_norm"))
     other = stored(texts.join(stays, "digest").where("norm != kept_norm")
                    .select("digest", "norm", "id", "file", "row"), "dedup-other")
     regrouped = other.groupBy("digest", "norm").agg(F.max(F.struct("id", "file", "row")).alias("own_keep"),

@@ -58,6 +58,40 @@ def test_exact_goes_on_from_its_state(spark, tmp_path):
     assert found(out) == {i: plain[i] for i in range(1000, 1021)}
 
 
+def test_exact_batch_passed_again_counts_once(spark, tmp_path, monkeypatch):
+    docs, state = documents(spark, tmp_path, ["A", "a", "b"]), str(tmp_path / "state")
+    run = exact_dedup._run_stream
+
+    def fails(*args):
+        run(*args)
+        raise RuntimeError("lost after the stream")
+
+    monkeypatch.setattr(exact_dedup, "_run_stream", fails)
+    with pytest.raises(RuntimeError):
+        exact_dedup.exact_dedup(docs, state_dir=state)
+    monkeypatch.setattr(exact_dedup, "_run_stream", run)
+    want = plain_groups(enumerate(["A", "a", "b"]))
+    assert found(exact_dedup.exact_dedup(docs, state_dir=state)) == want
+    assert found(exact_dedup.exact_dedup(docs, state_dir=state, contents=docs)) == want
+
+
+def test_exact_bytes_are_compared_over_runs(spark, tmp_path):
+    """Under a digest of one value for all texts, a later text is parted from the earlier one that stays."""
+    first, later = documents(spark, tmp_path, ["A", "zzz"], name="a"), documents(spark, tmp_path, ["y", "a"], name="b", ids=[-2, -1])
+    state, weak = str(tmp_path / "state"), F.lit("same")
+    assert found(exact_dedup.exact_dedup(first, digest=weak, state_dir=state)) == plain_groups(enumerate(["A", "zzz"]))
+    with pytest.raises(ValueError, match="pass all rows as contents"):
+        exact_dedup.exact_dedup(later, digest=weak, state_dir=state)
+    with pytest.raises(ValueError, match="rows of all runs"):
+        exact_dedup.exact_dedup(later, digest=weak, state_dir=state, contents=later)
+    with pytest.raises(ValueError, match="read from Parquet"):
+        exact_dedup.exact_dedup(spark.createDataFrame(later.collect(), later.schema), state_dir=state, contents=later)
+    both = spark.read.parquet(str(tmp_path / "a.parquet"), str(tmp_path / "b.parquet"))
+    got = found(exact_dedup.exact_dedup(later, digest=weak, state_dir=state, contents=both))
+    plain = plain_groups([(0, "A"), (1, "zzz"), (-2, "y"), (-1, "a")])
+    assert got == {i: plain[i] for i in (-2, -1)} and got[-1][:3] == (0, 2, False)
+
+
 def test_exact_repeated_rows_and_null_ids(spark, tmp_path):
     docs = documents(spark, tmp_path, ["a", "a", "a", "b", "b"], ids=[7, 7, None, None, None])
     rows = exact_dedup.exact_dedup(docs).collect()
