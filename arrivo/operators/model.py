@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from arrivo.functions import mean_of
 from arrivo.operators.features import TARGET, preprocessing
+from arrivo.operators.ledger import Ledger, run_key
 from arrivo.session import materialize
 from arrivo.operators.ranks import quantiles
 
@@ -233,40 +234,53 @@ def evaluate(df: DataFrame, numeric: list[str], categorical: list[str], kind: st
 # ---------------------------------------------------------------- M9, M13 cross-validation and search
 
 def cross_validate(train: DataFrame, numeric: list[str], categorical: list[str], kind: str,
-                   param_maps: list[dict], n_folds: int = 5, parallelism: int = 4) -> DataFrame:
+                   param_maps: list[dict], n_folds: int = 5, parallelism: int = 4, ledger: str | None = None,
+                   most_fits: int | None = None) -> DataFrame:
     """Contiguous k-fold CV of every parameter map; one row per map with RMSE mean/std and R2 mean.
 
     Each fold's pre-processing is fitted once on the fold's train rows and
     reused by every parameter map; fits run in ``parallelism`` driver threads,
     and each returns one row of metrics over its held-out rows. Maps that give
     Spark the same estimator are fitted once and share their scores.
+
+    With a ``ledger`` folder every finished fit is kept, and a later call on the same rows and settings fits only
+    what is missing, at most ``most_fits`` of it; maps without all their folds are left out of the result.
     """
     spark = train.sparkSession
-    prepared = []
-    for f in range(n_folds):
+    same: dict[tuple, int] = {}  # first map of each estimator
+    first = [same.setdefault(effective(kind, p), i) for i, p in enumerate(param_maps)]
+    names = {i: Ledger.name(e) for e, i in same.items()}
+    kept, done = None, {}
+    if ledger:
+        kept = Ledger(spark, ledger, run_key(train, [*numeric, *categorical, TARGET, "fold"], numeric, categorical, kind, n_folds))
+        done = kept.done()
+    todo = [(i, f) for i in names for f in range(n_folds) if (names[i], f) not in done][:most_fits]
+    prepared = {}
+    for f in sorted({f for _, f in todo}):
         tr = train.filter(F.col("fold") != f)
         val = train.filter(F.col("fold") == f)
         pre = Pipeline(stages=preprocessing(numeric, categorical)).fit(tr)
         # the transformed fold is read by every parameter map: written once, lineage cut
         tr_x = materialize(pre.transform(tr).select("features", TARGET), f"cv_train_{f}")
         val_x = materialize(pre.transform(val).select("features", TARGET), f"cv_val_{f}")
-        prepared.append((f, tr_x, val_x, label_stats(tr_x) if kind == "ridge" else None))
+        prepared[f] = tr_x, val_x, label_stats(tr_x) if kind == "ridge" else None
 
     def one(task):
-        i, params, (f, tr_x, val_x, stats) = task
-        m = regressor(kind, params, tr_x, stats=stats).fit(tr_x)
+        i, f = task
+        tr_x, val_x, stats = prepared[f]
+        m = regressor(kind, param_maps[i], tr_x, stats=stats).fit(tr_x)
         r = metrics(m.transform(val_x).withColumn("_all", F.lit(1)), by="_all").first()
-        return i, f, r["rmse"], r["r2"]
+        if kept:
+            kept.add(names[i], f, r["rmse"], r["r2"])
+        return (names[i], f), (r["rmse"], r["r2"])
 
-    same: dict[tuple, int] = {}  # first map of each estimator
-    first = [same.setdefault(effective(kind, p), i) for i, p in enumerate(param_maps)]
-    tasks = [(i, param_maps[i], prep) for i in same.values() for prep in prepared]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        fits = list(ex.map(one, tasks))
-    rows = [(k, f, rmse, r2) for k, i in enumerate(first) for j, f, rmse, r2 in fits if j == i]
+        done.update(ex.map(one, todo))
+    rows = [(k, f, *done[names[i], f]) for k, i in enumerate(first) for f in range(n_folds) if (names[i], f) in done]
     per_fold = spark.createDataFrame(rows, "map_id int, fold int, rmse double, r2 double")
     agg = per_fold.groupBy("map_id").agg(F.avg("rmse").alias("cv_rmse"), F.stddev_pop("rmse").alias("cv_rmse_std"),
                                          F.avg("r2").alias("cv_r2"), F.count(F.lit(1)).alias("folds"))
+    agg = agg.where(F.col("folds") == n_folds)
     maps = spark.createDataFrame([(i, json.dumps(p, sort_keys=True)) for i, p in enumerate(param_maps)],
                                  "map_id int, params string")
     return agg.join(maps, "map_id").select("map_id", "params", "folds", "cv_rmse", "cv_rmse_std", "cv_r2")
@@ -311,9 +325,14 @@ def draw_params(kind: str, n: int | None = None, seed: int = 42) -> list[dict]:
 
 
 def random_search(train: DataFrame, numeric: list[str], categorical: list[str], kind: str,
-                  n_iter: int | None = None, seed: int = 42, parallelism: int = 4) -> DataFrame:
-    """CV every drawn map; rows ordered best first (lowest mean RMSE, ties by map id)."""
-    res = cross_validate(train, numeric, categorical, kind, draw_params(kind, n_iter, seed), parallelism=parallelism)
+                  n_iter: int | None = None, seed: int = 42, parallelism: int = 4, ledger: str | None = None,
+                  most_fits: int | None = None) -> DataFrame:
+    """CV every drawn map; rows ordered best first (lowest mean RMSE, ties by map id).
+
+    ``ledger`` and ``most_fits`` spread a long search over several sessions (see ``cross_validate``).
+    """
+    res = cross_validate(train, numeric, categorical, kind, draw_params(kind, n_iter, seed), parallelism=parallelism,
+                         ledger=ledger, most_fits=most_fits)
     return res.orderBy("cv_rmse", "map_id")
 
 
