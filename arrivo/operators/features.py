@@ -9,8 +9,8 @@ persistable stages whose fitted values are one aggregate over the train rows.
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
@@ -202,3 +202,21 @@ def nonfinite_report(df: DataFrame, col: str = "features") -> DataFrame:
     return df.agg(F.count_if(F.size(bad) > 0).alias("filas_no_finitas"),
                   F.coalesce(F.sum(F.size(bad)), F.lit(0)).cast("long").alias("celdas_no_finitas"),
                   F.max(F.size(arr)).alias("ancho"))
+
+
+def feature_names(pre: PipelineModel, numeric: list[str], categorical: list[str]) -> list[str]:
+    """M5-M7: the names of the assembled vector's places: numbers, then ``column=level`` by column and sorted level."""
+    indexer = [s for s in pre.stages if isinstance(s, StringIndexerModel)]
+    levels = [f"{c}={v}" for m in indexer for c, labels in zip(categorical, m.labelsArray) for v in labels]
+    return [*numeric, *levels]
+
+
+def encoded_long(pre: PipelineModel, df: DataFrame, numeric: list[str], categorical: list[str], keys) -> DataFrame:
+    """M5-M7: the encoded rows as ``keys``, ``feature``, ``value``: every number and every level that a row has.
+
+    A level that the fitting rows lack gives no row, as its places are all zero. The names are as many as the vector is wide.
+    """
+    names = F.array(*[F.lit(n) for n in feature_names(pre, numeric, categorical)])
+    cells = pre.transform(df).select(*keys, F.posexplode(vector_to_array("features")).alias("_at", "value"))
+    return cells.where((F.col("_at") < len(numeric)) | (F.col("value") != 0)).select(
+        *keys, F.element_at(names, F.col("_at") + 1).alias("feature"), "value")

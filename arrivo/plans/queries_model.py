@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from arrivo.functions import rint_round
@@ -12,6 +13,7 @@ from arrivo.operators import model as MO
 from arrivo.plans import oracle as O
 from arrivo.plans import pipeline as pl
 from arrivo.plans.queries import query
+from arrivo.sources import fixtures as fx
 from arrivo.sources.catalog import input_state
 from arrivo.plans.queries_reports import FINAL_NUMERIC
 from arrivo.session import scratch_path
@@ -144,6 +146,48 @@ def q_nonfinite_check(spark, d):
     return FE.nonfinite_report(pre.transform(t))
 
 
+def _encoded_sql() -> str:
+    """Scaled numbers and set levels of every row, by the medians, means and deviations of the train rows."""
+    cells = []
+    for c in NUMERIC:
+        v = f'CAST("{c}" AS DOUBLE)'
+        cells.append(f"""
+SELECT indice_tiempo, pais_origen, punto_entrada, '{c}' AS feature, {O.rnd("(coalesce(v, med) - m) / s", 6)} + 0.0 AS value
+FROM (SELECT *, {v} AS v FROM ms2), (
+  SELECT med, avg(w) AS m, CASE WHEN coalesce(stddev_pop(w), 0) = 0 THEN 1.0 ELSE stddev_pop(w) END AS s FROM (
+    SELECT med, coalesce({v}, med) AS w FROM ms2, (
+      SELECT coalesce(quantile_cont({v}, 0.5), 0.0) AS med FROM ms2 WHERE split = 'train') WHERE split = 'train') GROUP BY med)""")
+    for c in CATEGORICAL:
+        level = f"coalesce({c}, 'missing')"
+        cells.append(f"""
+SELECT indice_tiempo, pais_origen, punto_entrada, '{c}=' || {level} AS feature, 1.0 AS value FROM ms2
+WHERE {level} IN (SELECT {level} FROM ms2 WHERE split = 'train')""")
+    return O.with_extra(["final"], _SPLIT_CTE, " UNION ALL ".join(cells))
+
+
+@query("encoded_features", _encoded_sql())
+def q_encoded_features(spark, d):
+    """M3-M7: every row as the models see it, in long form: scaled numbers (6 places) and the levels it has."""
+    t = model_table(spark, d)
+    num, cat = feature_lists(t)
+    pre = FE.preprocessing_pipeline(num, cat).fit(t.filter(F.col("split") == "train"))
+    # the encoder replaces the columns of its numbers, not the keys
+    return FE.encoded_long(pre, t, num, cat, KEYS).select(*KEYS, "feature", (rint_round("value", 6) + F.lit(0.0)).alias("value"))
+
+
+# Q-20's own input: a quote of zero in every 50th order makes an infinite inverse price, a missing one none.
+@query("nonfinite_rows", """
+SELECT count(*) FILTER (o_orderkey % 50 = 0) AS filas_no_finitas,
+       CAST(count(*) FILTER (o_orderkey % 50 = 0) + count(*) FILTER (o_orderkey % 100 = 0) AS BIGINT) AS celdas_no_finitas,
+       3 AS ancho FROM orders""")
+def q_nonfinite_rows(spark, d):
+    """Q-20: rows and cells that are not finite, on vectors that hold infinite and undefined numbers."""
+    o, key = fx.table(spark, d, "orders"), F.col("o_orderkey")
+    inverse = F.when(key % 50 == 0, F.lit(float("inf"))).otherwise(F.lit(1.0) / F.col("o_totalprice"))
+    change = F.when(key % 100 == 0, F.lit(float("nan"))).otherwise(F.log("o_totalprice"))
+    return FE.nonfinite_report(o.select(array_to_vector(F.array(F.col("o_totalprice"), inverse, change)).alias("features")))
+
+
 _FITTED: dict = {}
 
 
