@@ -278,14 +278,45 @@ def cross_validate(train: DataFrame, numeric: list[str], categorical: list[str],
         done.update(ex.map(one, todo))
     rows = [(k, f, *done[names[i], f]) for k, i in enumerate(first) for f in range(n_folds) if (names[i], f) in done]
     per_fold = spark.createDataFrame(rows, "map_id int, fold int, rmse double, r2 double")
-    agg = per_fold.groupBy("map_id").agg(F.avg("rmse").alias("cv_rmse"), F.stddev_pop("rmse").alias("cv_rmse_std"),
-                                         F.avg("r2").alias("cv_r2"), F.count(F.lit(1)).alias("folds"))
-    agg = agg.where(F.col("folds") == n_folds)
+    agg = cv_summary(per_fold, "map_id").where(F.col("folds") == n_folds)
     maps = spark.createDataFrame([(i, json.dumps(p, sort_keys=True)) for i, p in enumerate(param_maps)],
                                  "map_id int, params string")
     return agg.join(maps, "map_id").select("map_id", "params", "folds", "cv_rmse", "cv_rmse_std", "cv_r2")
 
 
+def cv_summary(per_fold: DataFrame, by: str) -> DataFrame:
+    """M9: mean and population std of the folds' RMSE, mean of their R2, number of folds."""
+    return per_fold.groupBy(by).agg(F.avg("rmse").alias("cv_rmse"), F.stddev_pop("rmse").alias("cv_rmse_std"),
+                                    F.avg("r2").alias("cv_r2"), F.count(F.lit(1)).alias("folds"))
+
+
+def out_of_fold_mean(train: DataFrame, keys: list[str], label: str = TARGET) -> DataFrame:
+    """M9 for ``mean_predictor``: every train row with the mean of the *other* folds' rows of its keys as ``prediction``.
+
+    All folds at once: a key's sum and count less those of the row's own fold (one pre-aggregation per key and fold,
+    no pass per fold). A key that only the own fold holds gets the other folds' overall mean.
+    """
+    y = F.col(label).cast("double")
+    per = train.groupBy(*keys, "fold").agg(F.sum(y).alias("_s"), F.count(y).alias("_n"))
+
+    def others(part: DataFrame, by: list[str], name: str) -> DataFrame:
+        whole = part.groupBy(*by).agg(F.sum("_s").alias("_ts"), F.sum("_n").alias("_tn"))
+        if by:
+            whole = whole.withColumnsRenamed({k: f"_{k}" for k in by})
+            both = part.join(whole, [part[k].eqNullSafe(whole[f"_{k}"]) for k in by])
+        else:
+            both = part.withColumns({"_ts": whole.select("_ts").scalar(), "_tn": whole.select("_tn").scalar()})
+        return both.select(*by, "fold", F.try_divide(F.col("_ts") - F.col("_s"), F.col("_tn") - F.col("_n")).alias(name))
+
+    folds = per.groupBy("fold").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    out = train.join(others(folds, [], "_overall"), "fold")
+    if not keys:
+        return out.withColumnRenamed("_overall", "prediction")
+    own = others(per, keys, "_mean")
+    on = [out[k].eqNullSafe(own[k]) for k in keys] + [out["fold"] == own["fold"]]
+    return out.join(own, on).select(*[out[c] for c in train.columns], F.coalesce("_mean", "_overall").alias("prediction"))
+
+
 def effective(kind: str, params: dict) -> tuple:
     """What Spark's estimator gets for a parameter map: two maps with an equal result are the same model."""
     est = regressor(kind, params, stats=(1, 1.0))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivo.operators import assemble, clean
+from arrivo.session import materialize, memo
 from arrivo.sources import catalog as cat
 from arrivo.sources import fixtures as fx
 from arrivo.sources.catalog import input_state
@@ -67,7 +68,7 @@ def final(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
                                 interest_monthly(spark, sf_dir, p))
 
 
-_WRITTEN: dict[tuple, DataFrame] = {}
+_WRITTEN: dict[tuple, DataFrame] = memo()
 
 
 def written_once(spark: SparkSession, sf_dir: str, name: str, build, *more) -> DataFrame:
@@ -76,8 +77,6 @@ def written_once(spark: SparkSession, sf_dir: str, name: str, build, *more) -> D
     The state is the number, size and last change of the input files, so a
     changed input under the same path is built anew.
     """
-    from arrivo.session import materialize
-
     key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), name, more)
     if key not in _WRITTEN:
         _WRITTEN[key] = materialize(build(), re.sub(r"[^A-Za-z0-9]+", "_", name)[:40])

@@ -6,6 +6,9 @@ train mean where a key was not seen. It goes through the same operators as the f
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrivo.functions import rint_round
@@ -182,3 +185,41 @@ def q_ridge_equations(spark, d):
     num, cat = FE.feature_columns(t)
     train = t.filter(F.col("split") == "train")
     return MO.normal_equations(MO.fit(train, num, cat, "ridge"), train)
+
+
+def _oof_sql(name: str) -> str:
+    """The metrics of each fold under the means of the other folds, written as a join of every row with the other folds' rows."""
+    keys = KEYS[name]
+    same = " AND ".join(f"o.{k} IS NOT DISTINCT FROM k.{k}" for k in keys)
+    cols = ", ".join(f"{k}" for k in keys)
+    value = (f"coalesce((SELECT sum(o.s) / sum(o.n) FROM sums_{name} o WHERE o.fold <> k.fold AND {same}), g.m)" if keys else "g.m")
+    return f"""
+sums_{name} AS (SELECT {cols + ',' if keys else ''} fold, sum(CAST(turistas AS DOUBLE)) AS s, count(*) AS n FROM folded GROUP BY ALL),
+pk_{name} AS (SELECT k.*, {value} AS prediction FROM sums_{name} k, (
+  SELECT a.fold, avg(CAST(b.turistas AS DOUBLE)) AS m FROM (SELECT DISTINCT fold FROM folded) a, folded b WHERE b.fold <> a.fold GROUP BY 1) g
+  WHERE g.fold = k.fold),
+of_{name} AS (
+  SELECT '{name}' AS modelo, fold, sqrt(avg(e * e)) AS rmse, 1 - sum(e * e) / nullif(var_pop(turistas) * count(*), 0) AS r2
+  FROM (SELECT f.fold, f.turistas, f.turistas - p.prediction AS e FROM folded f JOIN pk_{name} p
+        ON f.fold = p.fold {"".join(f" AND f.{k} IS NOT DISTINCT FROM p.{k}" for k in keys)}) GROUP BY fold)"""
+
+
+_FOLDED = """
+folded AS (
+  SELECT *, CAST(CASE WHEN pos - 1 < rem * (q + 1) THEN (pos - 1) // (q + 1)
+                 ELSE rem + (pos - 1 - rem * (q + 1)) // q END AS INTEGER) AS fold FROM ms2 WHERE split = 'train')"""
+
+
+@query("mean_cross_validation", O.with_extra(["final"], ",\n".join([_SPLIT_CTE.strip(), _FOLDED, *map(_oof_sql, KEYS)]), f"""
+SELECT modelo, folds, {O.rnd("cv_rmse", ROUNDED)} AS cv_rmse, {O.rnd("cv_rmse_std", ROUNDED)} AS cv_rmse_std,
+       {O.rnd("cv_r2", ROUNDED)} AS cv_r2, CAST(rank() OVER (ORDER BY cv_rmse, modelo) AS INTEGER) AS position
+FROM (SELECT modelo, count(*) AS folds, avg(rmse) AS cv_rmse, stddev_pop(rmse) AS cv_rmse_std, avg(r2) AS cv_r2
+      FROM ({" UNION ALL ".join(f"SELECT * FROM of_{n}" for n in KEYS)}) GROUP BY modelo)"""))
+def q_mean_cross_validation(spark, d):
+    """M9 + M13: contiguous 5-fold validation of three parameter sets of the mean predictor, best first."""
+    train = model_table(spark, d).filter(F.col("split") == "train")
+    folds = [MO.metrics(MO.out_of_fold_mean(train, KEYS[n]), by="fold").select(F.lit(n).alias("modelo"), "fold", "rmse", "r2") for n in KEYS]
+    cv = MO.cv_summary(reduce(DataFrame.unionByName, folds), "modelo")
+    # one row per parameter set, so the ranking window is bounded by their number
+    ranked = cv.withColumn("position", F.rank().over(Window.orderBy("cv_rmse", "modelo")))
+    return _rounded(ranked)

@@ -16,7 +16,7 @@ from arrivo.plans.queries import query
 from arrivo.sources import fixtures as fx
 from arrivo.sources.catalog import input_state
 from arrivo.plans.queries_reports import FINAL_NUMERIC
-from arrivo.session import scratch_path
+from arrivo.session import memo, scratch_path
 
 KEYS = ["indice_tiempo", "pais_origen", "punto_entrada"]
 NUMERIC = [c for c in FINAL_NUMERIC if c != "turistas"]
@@ -188,7 +188,7 @@ def q_nonfinite_rows(spark, d):
     return FE.nonfinite_report(o.select(array_to_vector(F.array(F.col("o_totalprice"), inverse, change)).alias("features")))
 
 
-_FITTED: dict = {}
+_FITTED: dict = memo()
 
 
 def _fit_key(spark, d, kind, params):
@@ -278,9 +278,10 @@ def q_drift_alert(spark, d):
     return MO.drift_alert(_fitted(spark, d, "boosting")[1])
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", O.with_extra(["final"], _SPLIT_CTE, """
+SELECT count(*) AS filas, 0.0 AS max_diferencia FROM ms2 WHERE split = 'test'"""))
 def q_model_roundtrip(spark, d):
-    """S20 + M18: save the fitted pipeline with metadata, load it back, score the test rows (rows-only)."""
+    """S20 + M18: save the fitted pipeline with metadata, load it back, score the test rows: the same numbers."""
     t = model_table(spark, d)
     num, cat = feature_lists(t)
     model, pred, summ = MO.evaluate(t, num, cat, "ridge")

@@ -171,3 +171,21 @@ def q_flags_without_quotes(spark, d):
     fact = pl.fact(spark, d).withColumn("precio_promedio_usd", F.lit(None).cast("double"))
     return assemble.median_flag(fact, "precio_promedio_usd", "usd_alto").select("indice_tiempo", "pais_origen", "punto_entrada", "usd_alto")
 
+
+@query("flags_on_rows", O.with_(["final"], """
+SELECT indice_tiempo, pais_origen, punto_entrada, CAST(CASE WHEN m IS NULL THEN NULL ELSE coalesce(CAST(interes_google_promedio > m AS INTEGER), 0) END
+       AS INTEGER) AS interes_alto_filas FROM final, (SELECT quantile_cont(interes_google_promedio, 0.5) AS m FROM final)"""))
+def q_flags_on_rows(spark, d):
+    """Where the side table has no flag, the flag comes from the median over the joined rows."""
+    rows = pl.curated(spark, d)
+    return assemble.median_flag(rows, "interes_google_promedio", "interes_alto_filas").select(
+        "indice_tiempo", "pais_origen", "punto_entrada", "interes_alto_filas")
+
+
+@query("first_available", O.with_(["quotes_monthly"], "SELECT indice_tiempo, precio_promedio_usd, dias FROM quotes_monthly"))
+def q_first_available(spark, d):
+    """The full table is not there, so the sample under the next path is read."""
+    df = pl.quotes_monthly(spark, d).select("indice_tiempo", "precio_promedio_usd", "dias")
+    path = scratch_path(spark, "sample")
+    df.write.parquet(path)
+    return catalog.read_first(spark, [f"{path}-full", path])

@@ -64,6 +64,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _SCRATCH: dict[str, list[str]] = {}
+_MEMOS: list[dict] = []
+
+
+def memo() -> dict:
+    """A dictionary for results that rest on scratch tables; keys are tuples that begin with the application's id.
+
+    ``remove_scratch`` takes out what rests on the tables it deletes.
+    """
+    _MEMOS.append({})
+    return _MEMOS[-1]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -75,7 +85,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def remove_scratch(spark: SparkSession) -> int:
     """Delete the scratch tables that this application made; for the end of a run, when no result reads them any more."""
-    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    app = spark.sparkContext.applicationId
+    for kept in _MEMOS:
+        for key in [k for k in kept if k[0] == app]:
+            del kept[key]
+    paths = _SCRATCH.pop(app, [])
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
