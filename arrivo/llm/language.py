@@ -1,6 +1,8 @@
 """Language of whole texts and of spans inside them (operator 1).
 
-A word is a run of letters. The script of its first letter narrows the candidate languages; each candidate
+A word is a run of letters; a longer run is cut after every ``WORD_LETTERS`` letters and each piece is a word, so that
+scripts without blanks can change language inside a run and no word's scores outweigh all others; every letter
+belongs to one word. The script of its first letter narrows the candidate languages; each candidate
 gets a log-likelihood from hashed character bigrams and trigrams (word ends included); Viterbi over a
 document's words, with a penalty for each switch, labels spans of one language. The document's language
 is the label with most letters, its score the share of letters under that label.
@@ -11,7 +13,8 @@ tables of fixed size; nothing but text and label is learned from.
 Edge cases: null text or text without a letter gives ``und`` and score 0, no spans; a text whose scripts no
 learned language uses is judged over all learned languages; ties go to the language first by code point;
 no labelled rows at all give ``und`` everywhere. A null identifier counts as not held out. Repeated rows
-get equal results; extra columns pass through in ``row``; an empty table gives an empty result.
+get equal results; extra columns pass through in ``row``; an empty table gives an empty result. Very long texts
+are judged whole, in time and memory linear in their words.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, St
 
 from arrivo.llm.common import col, map_texts, mix64, stored, whole_row
 
-LETTERS = re.compile(r"[^\W\d_]{1,24}")  # also takes number signs that are no letters (½, ①, Ⅳ); see words_of
+WORD_LETTERS = 24  # longer runs of letters are cut into words of this length
+LETTERS = re.compile(rf"[^\W\d_]{{1,{WORD_LETTERS}}}")  # also takes number signs that are no letters (½, ①, Ⅳ); see words_of
 BUCKETS = 1 << 16
 
 # First code points of Unicode script blocks, each up to the next entry.
