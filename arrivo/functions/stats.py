@@ -47,3 +47,15 @@ def mean_of(c) -> Column:
 def std_of(c) -> Column:
     """Sample standard deviation, to 12 significant digits; one value gives NULL."""
     return significant(F.stddev_samp(_col(c).cast("double")))
+
+
+def correlation(x, y) -> Column:
+    """Pearson correlation over the rows where both are present; NULL where one of them is constant there.
+
+    ``corr`` divides by zero on a constant, which is an error in ANSI mode. The constant is told by its least and largest
+    value: merged partial variances of equal values need not be exactly zero.
+    """
+    x, y = _col(x).cast("double"), _col(y).cast("double")
+    px, py = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(px) * F.stddev_pop(py))
+    return F.when((F.min(px) != F.max(px)) & (F.min(py) != F.max(py)), r)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivo.functions import clean_text, num_of, rint_round, strip_ws, ts_of
+from arrivo.functions import clean_text, correlation, num_of, rint_round, strip_ws, ts_of
 from arrivo.operators.calendar import expand_by_frequency
 from arrivo.operators.counters import RunCounters
 
@@ -318,7 +318,7 @@ def scatter_pairs(df: DataFrame, x: str, y: str, group: str | None = None, group
     keys = [group] if group else []
     return d.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("corr"),
+        correlation(x, y).alias("corr"),
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrivo.functions import first_max_by, mean_of, rint_round, std_of
+from arrivo.functions import correlation, first_max_by, mean_of, rint_round, std_of
 from arrivo.operators.ranks import quantiles
 
 # Date-like columns that are never features.
@@ -284,10 +284,14 @@ def correlations(df: DataFrame, cols: list[str] | None = None, drop=("interes_al
 
 
 def target_correlations(df: DataFrame, target: str = "turistas", n: int = 10, drop=("interes_alto",)) -> DataFrame:
-    """Q-12: the ``n`` columns most correlated with the target (largest first, ties by name); one aggregate."""
+    """Q-12: the ``n`` columns most correlated with the target (largest first, ties by name); one aggregate, long form.
+
+    A column that is constant over the rows with a target has no correlation and is left out.
+    """
     cols = [c for c in numeric_columns(df, exclude=[target, *drop])]
-    pairs = [F.corr(_q(target).cast("double"), _q(c).cast("double")).alias(c) for c in cols]
-    t = to_long(df.agg(*pairs), cols, value="r").select("columna", rint_round("r", 6).alias("correlacion"))
+    parts = ", ".join(f"'{c}', CAST(`{c}` AS double)" for c in cols)
+    long = df.selectExpr(f"`{target}` AS __target", f"stack({len(cols)}, {parts}) AS (columna, v)")
+    t = long.groupBy("columna").agg(rint_round(correlation("__target", "v"), 6).alias("correlacion"))
     return (t.filter(F.col("correlacion").isNotNull() & ~F.isnan("correlacion"))
             .orderBy(F.col("correlacion").desc(), "columna").limit(n))
 

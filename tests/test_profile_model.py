@@ -4,11 +4,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from arrivo.operators import features as FE
 from arrivo.operators import model as MO
-from arrivo.operators import profile, reports
+from arrivo.operators import clean, profile, reports
 
 
 def test_describe_matches_pandas(spark):
@@ -32,6 +33,26 @@ def test_correlations_pairwise_like_pandas(spark):
         assert abs(v - want.loc[a, b]) < 1e-6
 
 
+def test_constant_columns_have_no_correlation_with_the_target(spark):
+    n = 400
+    pdf = pd.DataFrame({"turistas": np.arange(1, n + 1), "up": np.arange(n) * 2.0 + (np.arange(n) % 7), "flat": 4.9, "none": np.nan})
+    pdf["holes"] = np.where(np.arange(n) % 3 == 0, np.nan, -(np.arange(n) % 50.0))
+    pdf["once"] = np.where(np.arange(n) == 5, 1.0, np.nan)  # one value
+    df = spark.createDataFrame(pdf).replace(float("nan"), None).repartition(7)
+    got = {r["columna"]: r["correlacion"] for r in profile.target_correlations(df).collect()}
+    want = pdf.corr()["turistas"]
+    assert got == {c: pytest.approx(want[c], abs=1e-6) for c in ("up", "holes")}
+    assert profile.target_correlations(df.withColumn("turistas", F.lit(3))).count() == 0
+    assert profile.target_correlations(df.limit(0)).count() == 0
+
+
+def test_scatter_of_a_group_with_one_price(spark):
+    rows = [("a", 4.9, k) for k in range(30)] + [("b", float(k), 2 * k) for k in range(30)] + [("c", 1.0, 1)]
+    df = spark.createDataFrame(rows, "g string, x double, y long").repartition(5)
+    got = {r["g"]: (r["n"], r["corr"]) for r in clean.scatter_pairs(df, "x", "y", "g").collect()}
+    assert got == {"a": (30, None), "b": (30, pytest.approx(1.0)), "c": (1, None)}
+
+
 def test_top_k_breaks_ties_by_key(spark):
     df = spark.createDataFrame([("b", 5), ("a", 5), ("c", 9), ("d", 1)], "k string, turistas long")
     assert [r["k"] for r in reports.top_k(df, ["k"], 3).collect()] == ["c", "a", "b"]
