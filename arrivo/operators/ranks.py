@@ -123,6 +123,18 @@ def _small(rows: DataFrame, by: list[str], ps: list[float]) -> DataFrame:
 
 #: Parts that a sampled range partitioning makes for every ``LIMIT`` rows: its parts differ in size.
 PARTS_PER_LIMIT = 4
+#: Ranges up to which a limit below ``LIMIT`` is kept to.
+FEW_RANGES = 256
+
+
+def range_count(rows: int, limit: int = LIMIT) -> int:
+    """Ranges for ``rows`` rows: none much over ``limit`` rows if few ranges do for that, else none over ``LIMIT``.
+
+    Each range costs the driver a sample of some hundred keys and a task's result, and its rows only a sort that spills: a
+    small limit must not multiply the ranges of a large table.
+    """
+    wanted = lambda most: -(-rows * PARTS_PER_LIMIT // most)
+    return max(1, min(wanted(limit), FEW_RANGES), wanted(max(limit, LIMIT)))
 
 
 def range_parts(df: DataFrame, keys: list[str], rows: int, limit: int = LIMIT) -> DataFrame:
@@ -134,7 +146,7 @@ def range_parts(df: DataFrame, keys: list[str], rows: int, limit: int = LIMIT) -
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "ranged")
     order = [F.col(f"`{k}`") for k in keys]
     tie = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")] or [F.lit(0)])
-    ranged = (df.withColumn("__tie", tie).repartitionByRange(max(1, -(-rows * PARTS_PER_LIMIT // limit)), *order, "__tie")
+    ranged = (df.withColumn("__tie", tie).repartitionByRange(range_count(rows, limit), *order, "__tie")
               .sortWithinPartitions(*order, "__tie").drop("__tie").withColumn("__part", F.spark_partition_id()))
     ranged.write.option("maxRecordsPerFile", 0).parquet(path)
     return spark.read.schema(ranged.schema).parquet(path).withColumn("__at", F.col("_metadata.row_index"))
@@ -144,11 +156,11 @@ def rank_by_ranges(df: DataFrame, keys: list[str], name: str, rows: int, limit:
     """1-based global row number in the order of ``keys`` (nulls first), whatever the keys' distribution.
 
     A row's number is the count of rows in earlier files plus its place in its own: one exchange, no window over rows.
-    The table of offsets has a row per file.
+    The table of offsets has a row per file, so it is broadcast.
     """
     parts = range_parts(df, keys, rows, limit)
     sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select(F.col("__part").alias("__of"), before.alias("__before"))
-    return (parts.join(offsets, F.col("__part") == F.col("__of"))
+    return (parts.join(F.broadcast(offsets), F.col("__part") == F.col("__of"))
             .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + F.col("__at") + 1).alias(name)))
